@@ -26,6 +26,10 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Local inputs are often one file = one map task; a local shuffle
+        # reader after a broadcast-join rewrite would then run everything
+        # downstream in that single task. Read shuffles normally instead.
+        .config("spark.sql.adaptive.localShuffleReader.enabled", "false")
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )

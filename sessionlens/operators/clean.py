@@ -1,8 +1,8 @@
 """Cleaning: null audit, validity filter, imputation, IQR capping/removal.
 
-Scalars (the raw mean rating, IQR bounds) are one-row aggregates joined with
-``crossJoin(broadcast(...))``: the plan stays lazy and nothing is pulled to
-the driver. A one-row side is the only thing broadcast here.
+Scalars are computed on the executors: the raw mean rating as a scalar
+subquery, the IQR bounds as a one-row aggregate joined with
+``crossJoin(broadcast(...))`` — a one-row side is the only thing broadcast.
 """
 
 from __future__ import annotations
@@ -43,15 +43,16 @@ def valid_sessions(df: DataFrame) -> DataFrame:
 
 def clean_sessions(df: DataFrame) -> DataFrame:
     """Validity filter, missing amount -> 0.0, missing rating -> mean rating
-    of the *raw* table (before the filter). Column order is kept."""
-    mean = df.agg(F.avg("review_score").alias("_raw_mean_review"))
-    return (valid_sessions(df)
-            .crossJoin(F.broadcast(mean))
-            .withColumns({
-                "purchase_amount": F.coalesce(F.col("purchase_amount"), F.lit(0.0)),
-                "review_score": F.coalesce(F.col("review_score"), F.col("_raw_mean_review")),
-            })
-            .drop("_raw_mean_review"))
+    of the *raw* table (before the filter). Column order is kept.
+
+    The mean is a scalar subquery: Spark runs it as its own small aggregate
+    and inlines the value, and drops it entirely from plans that never read
+    ``review_score``."""
+    mean = df.agg(F.avg("review_score")).scalar()
+    return valid_sessions(df).withColumns({
+        "purchase_amount": F.coalesce(F.col("purchase_amount"), F.lit(0.0)),
+        "review_score": F.coalesce(F.col("review_score"), mean),
+    })
 
 
 def clean_audit(df: DataFrame) -> DataFrame:

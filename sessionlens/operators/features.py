@@ -67,7 +67,9 @@ def session_number(df: DataFrame, *, tie: str | None = "session_id",
     })
     local = keyed.withColumn("_local", F.row_number().over(
         Window.partitionBy(*keys).orderBy(*order)))
-    per_day = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    # Group sizes = the last local number; read from the window's output so
+    # both branches share its exchange (already partitioned by the keys).
+    per_day = local.groupBy(*keys).agg(F.max("_local").alias("_n"))
     earlier = (Window.partitionBy("_u_null", "_u")
                .orderBy(F.col("_d_null").desc(), F.col("_d"))
                .rowsBetween(Window.unboundedPreceding, -1))

@@ -60,7 +60,10 @@ def session_view(spark: SparkSession, sf_dir: str, with_text: bool = True) -> Da
         F.concat(F.lit("CITY_"), (F.col("o_custkey") % 100).cast("string")).alias("city"),
     ]
     if with_text:
-        docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+        # Text grows with the data: never broadcast it. A sort-merge join
+        # also spreads the texts over the shuffle partitions, so the
+        # per-row text work after the join runs in parallel.
+        docs = read_table(spark, sf_dir, "documents").select("doc_id", "text").hint("merge")
         s = s.join(docs, key == docs.doc_id, "left")
         text = F.col("text")
     else:
