@@ -37,7 +37,8 @@ def _text(value: Column) -> Column:
 
 
 def _fixed2(value: Column) -> Column:
-    return F.coalesce(F.format_string("%.2f", value), F.lit(NA))
+    # format_string renders a null argument as text ("nu" at %.2f): guard it
+    return F.when(value.isNotNull(), F.format_string("%.2f", value)).otherwise(F.lit(NA))
 
 
 def data_quality(df: DataFrame, *, exact: bool = False,
