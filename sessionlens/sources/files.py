@@ -10,17 +10,20 @@ from sessionlens.schema import SESSION_SCHEMA
 
 def read_sessions_csv(spark: SparkSession, path: str, *, header: bool = True,
                       sep: str = ",", schema: StructType = SESSION_SCHEMA,
-                      mode: str = "PERMISSIVE",
+                      mode: str = "PERMISSIVE", multi_line: bool = False,
                       timestamp_format: str | None = None) -> DataFrame:
     """Scan session CSV files with an explicit schema (no inference).
 
     PERMISSIVE keeps malformed rows and nulls the bad cells, as the
-    reference's default read does. Splittable: one task per file block.
+    reference's default read does. Splittable (one task per file block)
+    unless ``multi_line`` is set for quoted fields holding line breaks, in
+    which case each file is one task.
     """
     reader = (spark.read.schema(schema)
               .option("header", header)
               .option("sep", sep)
-              .option("mode", mode))
+              .option("mode", mode)
+              .option("multiLine", multi_line))
     if timestamp_format:
         reader = reader.option("timestampFormat", timestamp_format)
     return reader.csv(path)
