@@ -40,13 +40,22 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's ``spark.checkpoint.dir``; only when it is unset
-    (local tests) create a scratch folder and register it."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
+def checkpoint_dir(spark: SparkSession) -> str | None:
+    """The configured shared checkpoint folder, if any."""
+    return (spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+            or spark.conf.get("spark.checkpoint.dir", None)
+            or spark.sparkContext.getCheckpointDir())
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
+    """Use the cluster's ``spark.checkpoint.dir``. Only a local-mode session
+    without one (tests, bench) gets a scratch folder; on a cluster a missing
+    setting returns None and callers fall back to persist — a machine-local
+    folder is never used there."""
+    configured = checkpoint_dir(spark)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            return None
         configured = tempfile.mkdtemp(prefix="sessionlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)
@@ -55,4 +64,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-path of the checkpoint folder for written intermediate tables."""
-    return os.path.join(ensure_checkpoint_dir(spark), name)
+    base = ensure_checkpoint_dir(spark)
+    if base is None:
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+    return os.path.join(base, name)

@@ -20,7 +20,8 @@ def stage(df: DataFrame, *, how: str = "persist",
     if how == "persist":
         return df.persist(level)
     if how == "checkpoint":
-        ensure_checkpoint_dir(df.sparkSession)
+        if ensure_checkpoint_dir(df.sparkSession) is None:
+            return df.persist(level)  # no shared folder configured on this cluster
         return df.checkpoint(eager=True)
     if how == "none":
         return df
