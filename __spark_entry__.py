@@ -20,6 +20,7 @@ from sessionlens.operators import (clean, cohorts, descriptive, features, predic
                                    quality, reviews, segmentation, series, temporal)
 from sessionlens.plans.staging import stage
 from sessionlens.sources import read_table, session_view
+from sessionlens.sources.tables import attach_text
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -35,7 +36,10 @@ def raw(spark: SparkSession, sf_dir: str, text: bool = False) -> DataFrame:
 
 
 def cleaned(spark: SparkSession, sf_dir: str, text: bool = False) -> DataFrame:
-    return clean.clean_sessions(raw(spark, sf_dir, text))
+    # Cleaning never reads the review text, so the text is attached after it
+    # (same rows and values as cleaning the view with text).
+    out = clean.clean_sessions(raw(spark, sf_dir))
+    return attach_text(spark, sf_dir, out) if text else out
 
 
 def enriched(spark: SparkSession, sf_dir: str, text: bool = False) -> DataFrame:

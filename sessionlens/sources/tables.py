@@ -5,11 +5,11 @@ One row per order (``FIXTURES.md`` §2). Join order is chosen so the wide
 customer/nation, the per-order line aggregate and part first; documents come
 last. Every join is a left join on a primary key, so row count = orders.
 
-Each lookup side is written as one row per key (an aggregate on the key).
-That states the primary key to Catalyst, which then removes a lookup join
-from any plan that reads none of its columns (e.g. the raw-mean subquery
-reads only ``orders``). For unique keys the aggregate returns the rows
-unchanged.
+The small lookup sides are written as one row per key (an aggregate on the
+key). That states the primary key to Catalyst, which then removes a lookup
+join from any plan that reads none of its columns (e.g. the raw-mean
+subquery reads only ``orders``). For unique keys the aggregate returns the
+rows unchanged.
 """
 
 from __future__ import annotations
@@ -78,15 +78,22 @@ def session_view(spark: SparkSession, sf_dir: str, with_text: bool = True) -> Da
         F.col("n_name").alias("country"),
         F.concat(F.lit("CITY_"), (F.col("o_custkey") % 100).cast("string")).alias("city"),
     ]
-    if with_text:
-        # Text grows with the data: never broadcast it. A sort-merge join
-        # also spreads the texts over the shuffle partitions, so the
-        # per-row text work after the join runs in parallel.
-        docs = (read_table(spark, sf_dir, "documents")
-                .groupBy("doc_id").agg(F.max("text").alias("text")).hint("merge"))
-        s = s.join(docs, key == docs.doc_id, "left")
-        text = F.col("text")
-    else:
-        text = F.lit(None).cast("string")
-    cols.insert(7, text.alias("review_text"))
-    return s.select(*cols)
+    cols.insert(7, F.lit(None).cast("string").alias("review_text"))
+    view = s.select(*cols)
+    return attach_text(spark, sf_dir, view) if with_text else view
+
+
+def attach_text(spark: SparkSession, sf_dir: str, sessions: DataFrame) -> DataFrame:
+    """Fill ``review_text`` from the documents table (left join on the key).
+
+    Can be applied after cleaning, which never reads the text: the filter
+    then shrinks the join input and the raw-mean pass never touches text.
+    Text grows with the data, so it is never broadcast; the sort-merge join
+    also spreads the texts over the shuffle partitions, so per-row text work
+    after the join runs in parallel.
+    """
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text").hint("merge")
+    cols = [F.col("text").alias("review_text") if c == "review_text" else F.col(c)
+            for c in sessions.columns]
+    return (sessions.join(docs, sessions.session_id == docs.doc_id, "left")
+            .select(*cols))
