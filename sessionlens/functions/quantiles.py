@@ -25,6 +25,8 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+MAX_BUCKETS = 512
+
 
 def quantiles(df: DataFrame, cols: list[str], probs: list[float], *, exact: bool = False,
               rel_error: float = 0.05, buckets: int | None = None) -> DataFrame:
@@ -38,7 +40,9 @@ def quantiles(df: DataFrame, cols: list[str], probs: list[float], *, exact: bool
 def _exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                      buckets: int | None) -> DataFrame:
     spark = df.sparkSession
-    nb = buckets or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # One bucket per shuffle partition, capped: the bucket lookup scans the
+    # bound array for every distinct value.
+    nb = buckets or min(MAX_BUCKETS, max(2, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     values = (df.select(*[F.col(c).cast("double").alias(c) for c in cols])
               .unpivot([], cols, "dim", "v")
               .where(F.col("v").isNotNull()))
