@@ -8,11 +8,9 @@ exact quantiles) so they are comparable with the SQL oracle.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from oracle.sql import AS_OF
 from oracle.sql import oracle_sql as _oracle_sql
@@ -227,5 +225,4 @@ if __name__ == "__main__":  # quick smoke: python __spark_entry__.py [sf_dir]
     from sessionlens.config import local_session
     spark = local_session()
     d = sys.argv[1] if len(sys.argv) > 1 else SMOKE_DIR
-    print(entry(spark).collect() if d == SMOKE_DIR else QUERIES["conversion_by_device"](spark, d).collect())
-    _ = os, F
+    print(QUERIES["conversion_by_device"](spark, d).collect())

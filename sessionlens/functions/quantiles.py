@@ -60,14 +60,18 @@ def _exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     cum = (bucketed.join(F.broadcast(offsets), ["dim", "b"])
            .withColumn("cum", F.col("off") + F.sum("c").over(running)))
 
-    picks = []
-    for p in probs:
-        # rank = ceil(p * n) in integer arithmetic (p as an exact fraction)
-        f = Fraction(p).limit_denominator(1_000_000)
-        rank = F.expr(f"(n * {f.numerator} + {f.denominator - 1}) div {f.denominator}")
-        picks.append(F.min(F.when(F.col("cum") >= rank, F.col("v"))))
-    per_dim = cum.groupBy("dim").agg(F.array(*picks).alias("q"))
-    return per_dim.groupBy().pivot("dim", cols).agg(F.first("q"))
+    # One global aggregate picks every cut point: for each column and
+    # probability, the smallest value whose running count reaches
+    # rank = ceil(p * n) (integer arithmetic, p as an exact fraction).
+    out = []
+    for c in cols:
+        picks = []
+        for p in probs:
+            f = Fraction(p).limit_denominator(1_000_000)
+            rank = F.expr(f"(n * {f.numerator} + {f.denominator - 1}) div {f.denominator}")
+            picks.append(F.min(F.when((F.col("dim") == c) & (F.col("cum") >= rank), F.col("v"))))
+        out.append(F.when(F.max((F.col("dim") == c).cast("int")) == 1, F.array(*picks)).alias(c))
+    return cum.agg(*out)
 
 
 def iqr_bounds(df: DataFrame, column: str, *, exact: bool = False,
