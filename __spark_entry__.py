@@ -28,20 +28,36 @@ def _prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+_PLANS: dict[tuple, DataFrame] = {}
+
+
+def _memo(kind: str, spark: SparkSession, sf_dir: str, text: bool, build) -> DataFrame:
+    """Lazy, already-analysed plans are reused across queries of one session:
+    only plan construction is shared, every query still reads its tables."""
+    key = (kind, spark.sparkContext.applicationId, sf_dir, text)
+    df = _PLANS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _PLANS[key] = build()
+    return df
+
+
 def raw(spark: SparkSession, sf_dir: str, text: bool = False) -> DataFrame:
     _prepare(spark)
-    return session_view(spark, sf_dir, with_text=text)
+    return _memo("raw", spark, sf_dir, text, lambda: session_view(spark, sf_dir, with_text=text))
 
 
 def cleaned(spark: SparkSession, sf_dir: str, text: bool = False) -> DataFrame:
     # Cleaning never reads the review text, so the text is attached after it
     # (same rows and values as cleaning the view with text).
-    out = clean.clean_sessions(raw(spark, sf_dir))
-    return attach_text(spark, sf_dir, out) if text else out
+    def build():
+        out = clean.clean_sessions(raw(spark, sf_dir))
+        return attach_text(spark, sf_dir, out) if text else out
+    return _memo("cleaned", spark, sf_dir, text, build)
 
 
 def enriched(spark: SparkSession, sf_dir: str, text: bool = False) -> DataFrame:
-    return features.transform(cleaned(spark, sf_dir, text))
+    return _memo("enriched", spark, sf_dir, text,
+                 lambda: features.transform(cleaned(spark, sf_dir, text)))
 
 
 def _on_enriched(op: Callable[[DataFrame], DataFrame], text: bool = False):
