@@ -8,6 +8,7 @@ exact quantiles) so they are comparable with the SQL oracle.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +17,10 @@ from oracle.sql import AS_OF
 from oracle.sql import oracle_sql as _oracle_sql
 from sessionlens.operators import (clean, cohorts, descriptive, features, prediction,
                                    quality, reviews, segmentation, series, temporal)
+from sessionlens.config import scratch_path
 from sessionlens.plans.staging import stage
-from sessionlens.sources import read_table, session_view
+from sessionlens.schema import SESSION_COLUMNS
+from sessionlens.sources import read_sessions_csv, read_table, session_view, write_csv
 from sessionlens.sources.tables import attach_text
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -114,6 +117,14 @@ def _purchase_scores(spark, sf_dir):
                          "predicted_purchase")
 
 
+def _scan_csv(spark, sf_dir):
+    """CSV sink then CSV scan with the fixed schema: the session table is
+    exported by Spark into the shared checkpoint folder and read back."""
+    path = scratch_path(spark, f"sessions-csv-{uuid.uuid4().hex}")
+    write_csv(raw(spark, sf_dir, text=True).select(*SESSION_COLUMNS), path)
+    return read_sessions_csv(spark, path, multi_line=True)
+
+
 def _time_features(spark, sf_dir):
     return features.time_features(cleaned(spark, sf_dir)).select(
         "session_id", "date", "hour", "day_of_week", "month", "year")
@@ -126,6 +137,7 @@ def _session_features(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # sources and cleaning
     "scan_sessions": lambda s, d: raw(s, d, text=True),
+    "scan_csv": _scan_csv,
     "null_counts": lambda s, d: clean.null_counts(raw(s, d, text=True)),
     "clean_audit": lambda s, d: clean.clean_audit(raw(s, d)),
     "clean_sessions": lambda s, d: cleaned(s, d, text=True),

@@ -300,6 +300,8 @@ ENRICHED_COLS = ("session_id, user_id, session_duration, pages_viewed, product_c
 SQL: dict[str, str] = {
     # sources / cleaning
     "scan_sessions": q("SELECT * FROM raw"),
+    "scan_csv": q("SELECT user_id, session_duration, pages_viewed, product_category, purchase_amount, "
+                  "review_score, review_text, \"timestamp\", device_type, country, city FROM raw"),
     "null_counts": _null_counts(),
     "clean_audit": q("SELECT count(*) AS rows_before, "
                      "CAST(count_if(session_duration >= 0 AND pages_viewed >= 0) AS BIGINT) AS rows_after FROM raw"),
