@@ -7,10 +7,12 @@ Two modes:
   ``approxQuantile`` guarantee and is the mode for very large inputs.
 * ``exact=True`` — the ``ceil(p * n)``-th smallest value (``percentile_disc``
   semantics), computed without gathering the values in one task: distinct
-  values are counted, split into value-range buckets cut from a sketch,
-  prefix-summed inside each bucket and offset by the bucket totals. The only
-  small tables (bucket bounds and totals) have at most
-  ``len(cols) * buckets`` rows, so they are broadcast.
+  values are counted, split into value-range buckets, prefix-summed inside
+  each bucket and offset by the bucket totals. Bucket bounds are exact
+  percentiles of a hash-selected sample of the distinct values, so they are
+  deterministic (the same wherever a plan re-evaluates them) and the sample
+  has a fixed size bound. The only small tables (bounds, totals) have at
+  most ``len(cols) * buckets`` rows, so they are broadcast.
 
 Either way the result has exactly one row and one ``array<double>`` column
 per input column (same name), element ``i`` being quantile ``probs[i]``; an
@@ -26,6 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_BUCKETS = 512
+SAMPLE_PER_BUCKET = 20
 
 
 def quantiles(df: DataFrame, cols: list[str], probs: list[float], *, exact: bool = False,
@@ -48,11 +51,20 @@ def _exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
               .where(F.col("v").isNotNull()))
     counts = values.groupBy("dim", "v").agg(F.count(F.lit(1)).alias("c"))
 
+    # Bucket bounds must be identical wherever the plan evaluates them, so
+    # they come from exact aggregates only: the exact percentiles of a
+    # hash-selected sample of the distinct values (about SAMPLE_PER_BUCKET
+    # x buckets values per column, whatever the data size).
+    sizes = counts.groupBy("dim").agg(F.count(F.lit(1)).alias("nd"), F.sum("c").alias("n"))
+    stride = F.greatest(F.lit(1), F.floor(F.col("nd") / (SAMPLE_PER_BUCKET * nb)))
+    sample = (counts.join(F.broadcast(sizes.select("dim", "nd")), "dim")
+              .where(F.pmod(F.xxhash64("v"), stride) == 0))
     cuts = [i / nb for i in range(1, nb)]
-    stats = counts.groupBy("dim").agg(F.percentile_approx("v", cuts, 10000).alias("bounds"),
-                                      F.sum("c").alias("n"))
+    bounds = sample.groupBy("dim").agg(F.percentile("v", cuts).alias("bounds"))
+    stats = sizes.join(bounds, "dim", "left").select("dim", "n", "bounds")
     bucketed = (counts.join(F.broadcast(stats), "dim")
-                .withColumn("b", F.size(F.filter("bounds", lambda x: x < F.col("v")))))
+                .withColumn("b", F.coalesce(F.size(F.filter("bounds", lambda x: x < F.col("v"))),
+                                            F.lit(0))))
     totals = bucketed.groupBy("dim", "b").agg(F.sum("c").alias("t"))
     before = Window.partitionBy("dim").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("dim", "b", F.coalesce(F.sum("t").over(before), F.lit(0)).alias("off"))
