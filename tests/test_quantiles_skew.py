@@ -59,3 +59,17 @@ def test_session_number_hot_user_matches_single_window(spark):
     simple = {r.session_id: r.session_number for r in features.session_number_simple(df).collect()}
     assert skew_safe == simple
     assert max(skew_safe.values()) == sum(1 for r in rows if r[1] == "hot")
+
+
+def test_exact_quantiles_without_exchange_reuse(spark):
+    """Every branch re-evaluates its inputs when exchanges are not shared;
+    the bucket bounds must still agree, so the result stays exact."""
+    rnd = random.Random(5)
+    vals = [rnd.choice([1.0, 2.0, 2.0, 3.5]) * rnd.randint(1, 400) for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(7)
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = quantiles(df, ["x"], PROBS, exact=True, buckets=9).first()["x"]
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+    assert got == [_disc(vals, p) for p in PROBS]
