@@ -50,11 +50,11 @@ def session_number(df: DataFrame, *, tie: str | None = "session_id",
     """``row_number`` of each session within its user, by (timestamp, tie).
 
     Skew-safe form: a single user may own a third of all rows, so rows are
-    numbered inside (user, hour) groups and shifted by the number of the
-    user's sessions in earlier hours. The shift comes from a (user, hour)
+    numbered inside (user, minute) groups and shifted by the number of the
+    user's sessions in earlier minutes. The shift comes from a (user, minute)
     size table (read off the numbering window's output) whose window holds
-    one row per active hour of a user — at most 24 per calendar day. The
-    wide rows shuffle once, by the group keys.
+    one narrow row per active minute of a user — at most 1440 per calendar
+    day. The wide rows shuffle once, by the group keys.
     Null users and null timestamps are numbered too (null-flag keys).
     """
     keys = ["_u_null", "_u", "_d_null", "_d"]
@@ -63,8 +63,9 @@ def session_number(df: DataFrame, *, tie: str | None = "session_id",
         "_u_null": F.col(user).isNull(),
         "_u": F.coalesce(F.col(user), F.lit("")),
         "_d_null": F.col(ts).isNull(),
-        # hour bucket, non-decreasing in time order (wall-clock date and hour)
-        "_d": F.coalesce(F.unix_date(F.to_date(F.col(ts))) * 24 + F.hour(F.col(ts)), F.lit(0)),
+        # minute bucket, non-decreasing in time order (wall-clock date, hour, minute)
+        "_d": F.coalesce(F.unix_date(F.to_date(F.col(ts))) * 1440 + F.hour(F.col(ts)) * 60
+                         + F.minute(F.col(ts)), F.lit(0)),
     })
     local = keyed.withColumn("_local", F.row_number().over(
         Window.partitionBy(*keys).orderBy(*order)))
