@@ -73,3 +73,39 @@ def test_exact_quantiles_without_exchange_reuse(spark):
     finally:
         spark.conf.set("spark.sql.exchange.reuse", "true")
     assert got == [_disc(vals, p) for p in PROBS]
+
+
+def _hot_user_sessions(spark, n=3000):
+    rnd = random.Random(21)
+    rows = []
+    for i in range(n):
+        user = "hot" if i % 3 == 0 else f"u{rnd.randint(0, 150)}"
+        month = rnd.randint(1, 12)
+        year = rnd.choice([2023, 2024])
+        amount = rnd.choice([0.0, 0.0, round(rnd.uniform(1, 500), 2)])
+        rows.append((i, user, rnd.randint(0, 40), rnd.randint(0, 20), amount, float(rnd.randint(1, 5)),
+                     f"{year}-{month:02d}-{rnd.randint(1, 28):02d} {rnd.randint(0, 23):02d}:{rnd.randint(0, 59):02d}:00"))
+    df = spark.createDataFrame(rows, "session_id long, user_id string, session_duration int, "
+                               "pages_viewed int, purchase_amount double, review_score double, t string")
+    return df.withColumn("timestamp", F.to_timestamp("t")).drop("t").withColumns({
+        "product_category": F.lit("Livres"), "device_type": F.lit("Mobile"),
+        "country": F.lit("France"), "city": F.lit("Paris"), "review_text": F.lit(None).cast("string")})
+
+
+def test_hot_user_cohorts_and_history_match_brute_force(spark):
+    from sessionlens.operators import clean, cohorts, features, segmentation
+    e = features.transform(clean.clean_sessions(_hot_user_sessions(spark)))
+    # cohorts: the reference's join formulation, written directly
+    first = e.groupBy("user_id").agg(F.min("timestamp").alias("fs"))
+    joined = (e.join(first, "user_id")
+              .withColumn("cohort", F.concat(F.year("fs").cast("string"), F.lit("-"), F.month("fs").cast("string")))
+              .withColumn("msf", (F.year("timestamp") - F.year("fs")) * 12 + F.month("timestamp") - F.month("fs")))
+    brute = {(r.cohort, r.msf): (r.a, r.p) for r in joined.groupBy("cohort", "msf").agg(
+        F.count_distinct("user_id").alias("a"), F.sum("has_purchased").alias("p")).collect()}
+    got = {(r.cohort, r.months_since_first): (r.active_users, r.purchases)
+           for r in cohorts.cohort_activity(e).collect()}
+    assert got == brute
+    hot = [r for r in segmentation.user_metrics(e).collect() if r.user_id == "hot"][0]
+    assert hot.total_sessions == 1000
+    feats = features.session_features(e).filter(F.col("user_id") == "hot")
+    assert feats.count() == 1000 and feats.select("total_sessions").distinct().first()[0] == 1000
