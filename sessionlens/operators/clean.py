@@ -32,9 +32,9 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 
 def is_valid(duration: str = "session_duration", pages: str = "pages_viewed") -> Column:
-    """Duration and pages present and non-negative (null fails the test)."""
-    return ((F.col(duration) >= 0) & (F.col(pages) >= 0)) & \
-        F.col(duration).isNotNull() & F.col(pages).isNotNull()
+    """Duration and pages present and non-negative."""
+    return (F.col(duration).isNotNull() & (F.col(duration) >= 0)
+            & F.col(pages).isNotNull() & (F.col(pages) >= 0))
 
 
 def valid_sessions(df: DataFrame) -> DataFrame:

@@ -1,9 +1,10 @@
 """The session table over the driver's star-schema tables.
 
-One row per order (``FIXTURES.md`` §2). Join order is chosen so the wide
-``review_text`` column crosses the network once: the narrow order rows meet
-customer/nation, the per-order line aggregate and part first; documents come
-last. Every join is a left join on a primary key, so row count = orders.
+One row per order (``FIXTURES.md`` §2). The narrow order rows meet
+customer/nation, the per-order line aggregate and part; the wide review text
+is attached last (``attach_text``), so it crosses the network once and only
+for queries that read it. Every join is a left join on a primary key, so
+row count = orders.
 
 The small lookup sides are written as one row per key (an aggregate on the
 key). That states the primary key to Catalyst, which then removes a lookup
