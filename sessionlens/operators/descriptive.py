@@ -28,6 +28,12 @@ def describe_sessions(df: DataFrame, cols: list[str] = DESCRIBE_COLUMNS) -> Data
     return wide.select(F.inline(F.array(*rows)))
 
 
+def describe_text(df: DataFrame, cols: list[str] = DESCRIBE_COLUMNS) -> DataFrame:
+    """The reference's form: Spark's ``describe`` (summary rows count, mean,
+    stddev, min, max as strings; one aggregate pass)."""
+    return df.describe(*cols)
+
+
 def distribution(df: DataFrame, key: str) -> DataFrame:
     """Sessions, mean amount and mean rating per ``key``, most sessions first."""
     return (df.groupBy(key)

@@ -12,7 +12,8 @@ from sessionlens.operators import (cohorts, descriptive, reviews, segmentation,
 
 def descriptive_report(df: DataFrame) -> dict[str, DataFrame]:
     return {
-        "stats": descriptive.describe_sessions(df),
+        "stats": descriptive.describe_text(df),
+        "statsTyped": descriptive.describe_sessions(df),
         "categoryDistribution": descriptive.category_distribution(df),
         "countryDistribution": descriptive.country_distribution(df),
         "conversionRate": descriptive.conversion_rate(df),

@@ -190,3 +190,13 @@ def test_dashboard_series_equal_single_charts(spark):
     assert all(v[0] > 50 for v in by["pages"].values())
     days = [r.day_of_week for r in series.chart_sessions_by_day(e).collect()]
     assert days == ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
+
+
+def test_describe_text_matches_typed(spark):
+    from sessionlens.sources import session_view
+    e = features.transform(clean.clean_sessions(session_view(spark, "/root/testdata/sf0.001", False)))
+    text = {r.summary: r for r in descriptive.describe_text(e).collect()}
+    typed = {r.column_name: r for r in descriptive.describe_sessions(e).collect()}
+    assert int(text["count"].session_duration) == typed["session_duration"]["count"]
+    assert abs(float(text["mean"].purchase_amount) - typed["purchase_amount"].mean) < 1e-6
+    assert float(text["max"].review_score) == typed["review_score"]["max"]
