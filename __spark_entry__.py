@@ -20,7 +20,8 @@ from sessionlens.operators import (clean, cohorts, descriptive, features, predic
 from sessionlens.config import scratch_path
 from sessionlens.plans.staging import stage
 from sessionlens.schema import SESSION_COLUMNS
-from sessionlens.sources import read_sessions_csv, read_table, session_view, write_csv
+from sessionlens.sources import (read_sessions_csv, read_table, session_view, write_csv,
+                                 write_parquet)
 from sessionlens.sources.tables import attach_text
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -125,6 +126,14 @@ def _scan_csv(spark, sf_dir):
     return read_sessions_csv(spark, path, multi_line=True)
 
 
+def _parquet_sink(spark, sf_dir):
+    """Parquet sink partitioned by year/month, read back from the shared
+    checkpoint folder (partition columns come back as a trailing pair)."""
+    path = scratch_path(spark, f"enriched-parquet-{uuid.uuid4().hex}")
+    write_parquet(enriched(spark, sf_dir).drop("review_text"), path, partition_by=["year", "month"])
+    return spark.read.parquet(path)
+
+
 def _time_features(spark, sf_dir):
     return features.time_features(cleaned(spark, sf_dir)).select(
         "session_id", "date", "hour", "day_of_week", "month", "year")
@@ -138,6 +147,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # sources and cleaning
     "scan_sessions": lambda s, d: raw(s, d, text=True),
     "scan_csv": _scan_csv,
+    "parquet_sink": _parquet_sink,
     "null_counts": lambda s, d: clean.null_counts(raw(s, d, text=True)),
     "clean_audit": lambda s, d: clean.clean_audit(raw(s, d)),
     "clean_sessions": lambda s, d: cleaned(s, d, text=True),

@@ -313,6 +313,7 @@ SQL: dict[str, str] = {
     "review_category": q("SELECT session_id, review_score, review_category FROM enriched"),
     "session_number": q('SELECT session_id, user_id, "timestamp", session_number FROM enriched'),
     "enriched_sessions": q(f"SELECT {ENRICHED_COLS} FROM enriched"),
+    "parquet_sink": q(f"SELECT {ENRICHED_COLS.replace('review_text, ', '')} FROM enriched"),
     "pages_per_minute": q("SELECT session_id, CASE WHEN session_duration > 0 "
                           "THEN CAST(pages_viewed AS DOUBLE) / session_duration ELSE 0.0 END AS pages_per_minute "
                           "FROM enriched"),
