@@ -62,7 +62,8 @@ def main() -> None:
     ap.add_argument("--exact", action="store_true")
     ap.add_argument("--stage", default="persist", choices=["persist", "checkpoint", "none"])
     args = ap.parse_args()
-    spark = SparkSession.builder.appName("sessionlens").getOrCreate()
+    spark = (SparkSession.builder.appName("sessionlens")
+             .config("spark.ui.enabled", "false").getOrCreate())
     raw = read_sessions_csv(spark, args.csv) if args.csv else session_view(spark, args.tables)
     for key, path in sorted(run(raw, args.out, as_of=args.as_of, exact=args.exact,
                                 stage_how=args.stage).items()):
