@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import argparse
 import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,13 +22,20 @@ from sessionlens.operators import clean, features, quality
 from sessionlens.plans import reports
 from sessionlens.plans.staging import stage
 from sessionlens.sources import read_sessions_csv, session_view, write_parquet
+from sessionlens.sources.tables import attach_text
 
 
 def run(raw: DataFrame, out_dir: str, *, as_of=None, exact: bool = False,
-        stage_how: str = "persist") -> dict[str, str]:
+        stage_how: str = "persist",
+        attach: Callable[[DataFrame], DataFrame] | None = None) -> dict[str, str]:
     """Compute and write every result under ``out_dir/<group>/<name>``;
-    returns the written paths."""
+    returns the written paths.
+
+    ``attach`` adds columns kept in another table (the review text) after
+    cleaning, which never reads them: the raw mean and the validity filter
+    then run on the narrow table and the join sees only valid rows."""
     written: dict[str, str] = {}
+    add = attach or (lambda df: df)
 
     def sink(group: str, results: dict[str, DataFrame]) -> None:
         for name, df in results.items():
@@ -35,8 +43,8 @@ def run(raw: DataFrame, out_dir: str, *, as_of=None, exact: bool = False,
             write_parquet(df, path)
             written[f"{group}/{name}"] = path
 
-    sink("audit", {"null_counts": clean.null_counts(raw), "clean_audit": clean.clean_audit(raw)})
-    enriched = stage(features.transform(clean.clean_sessions(raw)), how=stage_how)
+    sink("audit", {"null_counts": clean.null_counts(add(raw)), "clean_audit": clean.clean_audit(raw)})
+    enriched = stage(features.transform(add(clean.clean_sessions(raw))), how=stage_how)
     try:
         write_parquet(enriched, os.path.join(out_dir, "enriched"), partition_by=["year", "month"])
         written["enriched"] = os.path.join(out_dir, "enriched")
@@ -64,9 +72,13 @@ def main() -> None:
     args = ap.parse_args()
     spark = (SparkSession.builder.appName("sessionlens")
              .config("spark.ui.enabled", "false").getOrCreate())
-    raw = read_sessions_csv(spark, args.csv) if args.csv else session_view(spark, args.tables)
+    if args.csv:
+        raw, attach = read_sessions_csv(spark, args.csv), None
+    else:
+        raw = session_view(spark, args.tables, with_text=False)
+        attach = lambda df: attach_text(spark, args.tables, df)
     for key, path in sorted(run(raw, args.out, as_of=args.as_of, exact=args.exact,
-                                stage_how=args.stage).items()):
+                                stage_how=args.stage, attach=attach).items()):
         print(key, path)
 
 

@@ -40,3 +40,15 @@ def test_streaming_ingest_matches_batch(spark, tmp_dir):
     want = {r.device_type: r["count"] for r in batch.groupBy("device_type").count().collect()}
     assert by_device == want
     assert sink.filter(F.col("has_purchased") == 1).count() == batch.filter(F.col("purchase_amount") > 0).count()
+
+
+def test_pipeline_with_text_attached_after_cleaning(spark, tmp_dir):
+    from sessionlens.sources.tables import attach_text
+    narrow = session_view(spark, SF, with_text=False)
+    written = run(narrow, os.path.join(tmp_dir, "out2"), as_of="2002-01-01",
+                  attach=lambda df: attach_text(spark, SF, df))
+    plain = run(session_view(spark, SF), os.path.join(tmp_dir, "out3"), as_of="2002-01-01")
+    for key in ("reviews/commonPositiveTerms", "audit/null_counts", "descriptive/countryDistribution"):
+        a = spark.read.parquet(written[key]).collect()
+        b = spark.read.parquet(plain[key]).collect()
+        assert sorted(a) == sorted(b), key
