@@ -42,7 +42,9 @@ def _memo(kind: str, spark: SparkSession, sf_dir: str, text: bool, build) -> Dat
     df = _PLANS.get(key)
     if df is None or df.sparkSession is not spark:
         df = _PLANS[key] = build()
-    return df
+    # a new Dataset each call: a fresh physical plan, so nothing from an
+    # earlier execution (e.g. finished shuffle stages) is ever reused
+    return df.select("*")
 
 
 def raw(spark: SparkSession, sf_dir: str, text: bool = False) -> DataFrame:
@@ -60,8 +62,12 @@ def cleaned(spark: SparkSession, sf_dir: str, text: bool = False) -> DataFrame:
 
 
 def enriched(spark: SparkSession, sf_dir: str, text: bool = False) -> DataFrame:
-    return _memo("enriched", spark, sf_dir, text,
-                 lambda: features.transform(cleaned(spark, sf_dir, text)))
+    # The text is joined after the enrichment too, so the session-numbering
+    # shuffle moves narrow rows and the text crosses the network once.
+    def build():
+        out = features.transform(cleaned(spark, sf_dir))
+        return attach_text(spark, sf_dir, out) if text else out
+    return _memo("enriched", spark, sf_dir, text, build)
 
 
 def _on_enriched(op: Callable[[DataFrame], DataFrame], text: bool = False):
