@@ -194,7 +194,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "segment_distribution": _on_enriched(lambda e: segmentation.segment_distribution(
         segmentation.behavior_segments(segmentation.user_metrics(e)))),
     "rfm_base": _rfm,
-    "rfm_quantiles": lambda s, d: segmentation.rfm_quantiles_long(_rfm(s, d), exact=True),
+    "rfm_quantiles": lambda s, d: segmentation.rfm_quantiles_long(
+        stage(_rfm(s, d), how="checkpoint"), exact=True),
     "rfm_scores": _rfm_scored,
     "rfm_segments": lambda s, d: segmentation.rfm_segments(_rfm_scored(s, d)),
     "rfm_distribution": lambda s, d: segmentation.rfm_distribution(
