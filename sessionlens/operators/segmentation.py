@@ -2,7 +2,7 @@
 
 The user table is one hash aggregate keyed by ``user_id`` (map-side combine
 absorbs hot users). RFM cut points are a one-row aggregate joined back with
-``crossJoin(broadcast(...))``; no scalar visits the driver.
+``crossJoin(broadcast(...))``; the library never collects them.
 """
 
 from __future__ import annotations
