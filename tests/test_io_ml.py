@@ -105,3 +105,43 @@ def test_cross_validation_small_grid(spark):
     best = prediction.cross_validate(train, num_trees=(5, 10), max_depth=(3,), impurity=("gini",),
                                      folds=2, parallelism=2)
     assert prediction.area_under_roc(best, test) > 0.8
+
+
+class _FakeConf(dict):
+    def get(self, key, default=None):
+        return super().get(key, default)
+
+    def set(self, key, value):
+        self[key] = value
+
+
+class _FakeContext:
+    def __init__(self, master):
+        self.master = master
+        self.dir = None
+
+    def getConf(self):
+        return _FakeConf()
+
+    def getCheckpointDir(self):
+        return self.dir
+
+    def setCheckpointDir(self, d):
+        self.dir = d
+
+
+class _FakeSession:
+    def __init__(self, master):
+        self.sparkContext = _FakeContext(master)
+        self.conf = _FakeConf()
+
+
+def test_no_local_checkpoint_folder_on_a_cluster():
+    from sessionlens.config import ensure_checkpoint_dir
+    assert ensure_checkpoint_dir(_FakeSession("yarn")) is None          # never invent a local folder
+    local = _FakeSession("local[4]")
+    made = ensure_checkpoint_dir(local)                                   # tests/bench only
+    assert made and local.sparkContext.dir == made
+    shared = _FakeSession("k8s://cluster")
+    shared.conf["spark.checkpoint.dir"] = "hdfs://nn/ckpt"
+    assert ensure_checkpoint_dir(shared) == "hdfs://nn/ckpt"
