@@ -69,3 +69,13 @@ def test_columns_are_pruned_to_the_scan(spark):
     for table in ("customer.parquet", "part.parquet", "documents.parquet", "nation.parquet"):
         assert table not in plan, table
     assert "lineitem.parquet" in plan  # the validity filter needs the line aggregate
+
+
+def test_session_number_never_partitions_rows_by_user_alone(spark):
+    import re
+    plan = _plan(E.queries()["session_number"](spark, SF))
+    shuffles = [[c.strip().split("#")[0] for c in m.split(",")[:-1]]
+                for m in re.findall(r"hashpartitioning\(([^)]*)\)", plan)]
+    assert ["_u_null", "_u", "_d_null", "_d"] in shuffles  # wide rows by (user, minute)
+    # the one user-keyed shuffle feeds the offsets window over the narrow size table
+    assert shuffles.count(["_u_null", "_u"]) == 1
