@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, language_id, secret_scan, simhash, toxicity
+from . import (byte_bpe, decontaminate, language_id, quality_rules, secret_scan, simhash,
+               toxicity)
 from .common import table
 
 
@@ -37,12 +38,23 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                           keep=("doc_id", "held_out"))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item that it holds."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_secret_scan": op3_secret_scan,
     "op4_simhash": op4_simhash,
     "op7_toxicity": op7_toxicity,
+    "op8_decontaminate": op8_decontaminate,
+    "op9_quality_rules": op9_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -28,8 +28,8 @@ from .common import id_crc, map_arrow, per_text
 
 MAX_TRAIN = 6_000       # documents the model is fitted on, at most
 BITS = 20               # hashed feature space
-EPOCHS = 4
-ALPHA, BETA, L1, L2 = 1.0, 1.0, 5.0, 1.0
+EPOCHS = 6
+ALPHA, BETA, L1, L2 = 3.0, 1.0, 8.0, 0.1
 
 _SPACES = bytes.maketrans(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", b" " * 32)
 
