@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (byte_bpe, decontaminate, language_id, quality_rules, secret_scan, simhash,
-               toxicity)
-from .common import table
+               token_store, toxicity)
+from .common import Scratch, table
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +47,12 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{Scratch(spark, 'token-store').base}/shards"
+    token_store.write(table(spark, sf_dir, "documents"), path)
+    return token_store.read_documents(spark, path)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_byte_bpe": op2_byte_bpe,
@@ -55,6 +61,7 @@ QUERIES = {
     "op7_toxicity": op7_toxicity,
     "op8_decontaminate": op8_decontaminate,
     "op9_quality_rules": op9_quality_rules,
+    "op10_token_store": op10_token_store,
 }
 
 ORACLE_SQL: dict[str, str] = {}
