@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (byte_bpe, chat_format, decontaminate, language_id, quality_rules, secret_scan,
-               simhash, token_store, toxicity)
+from . import (byte_bpe, chat_format, decontaminate, html_extract, language_id, quality_rules,
+               secret_scan, simhash, token_store, toxicity)
 from .common import Scratch, table
 
 
@@ -40,6 +40,10 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.format_turns(turns.unionByName(extra)))
 
 
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), fold=toxicity.learned_fold())
@@ -68,6 +72,7 @@ QUERIES = {
     "op3_secret_scan": op3_secret_scan,
     "op4_simhash": op4_simhash,
     "op5_chat_format": op5_chat_format,
+    "op6_html_extract": op6_html_extract,
     "op7_toxicity": op7_toxicity,
     "op8_decontaminate": op8_decontaminate,
     "op9_quality_rules": op9_quality_rules,
