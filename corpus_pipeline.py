@@ -5,17 +5,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sessionlens.llm import byte_bpe, secret_scan, toxicity
+from sessionlens.llm import byte_bpe, decontaminate, secret_scan, simhash, toxicity
 from sessionlens.llm.common import Scratch, table
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model rejects go. The model is fitted on the
-    labelled rows of ``docs``."""
+    labelled rows of ``docs``. Rows with a null text stay."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.drop_toxic(docs, model)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash class stays, the one with the smallest id."""
+    return simhash.drop_copies(docs)
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, in whatever order, go."""
+    return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret in a text is masked; all documents stay."""
     return secret_scan.mask(docs)
@@ -23,10 +33,12 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, with digests of the ids and of the decoded bytes."""
-    return byte_bpe.round_trip(docs, keep=("doc_id", "lang", "source"), with_ids=True)
+    keep = [c for c in ("doc_id", "lang", "source") if c in docs.columns]
+    return byte_bpe.round_trip(docs, keep=keep, with_ids=True)
 
 
-STAGES = [("toxicity", toxic), ("secret_scan", secrets), ("byte_bpe", encoded)]
+STAGES = [("toxicity", toxic), ("simhash", near_copies), ("decontaminate", benchmark_leaks),
+          ("secret_scan", secrets), ("byte_bpe", encoded)]
 
 ORACLE_SQL = None  # SQL can express neither the classifier nor the tokenizer
 
