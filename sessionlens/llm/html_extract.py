@@ -141,22 +141,24 @@ class Page:
 
     def text(self, template: dict[int, bool]) -> str:
         """Main text. ``template``: places of template tokens, and whether they
-        are on nearly all of very many pages."""
-        body = [(at, said, k) for k, (at, said, main, boiler) in enumerate(self.texts)
-                if not boiler and (main or not self.has_main)]
-        if self.has_main:
-            slots = [x for x in body if not template.get(x[0], False)]
-        else:
-            slots = [x for x in body if x[0] not in template]
-        if not any(said.strip() for _, said, _ in slots):
-            slots = body
-        out, last = [], None
-        for _, said, k in slots:
+        are on nearly all of very many pages. A block goes only as a whole."""
+        blocks: list[list[tuple[int, str]]] = [[]]
+        last = None
+        for k, (at, said, main, boiler) in enumerate(self.texts):
+            if boiler or self.has_main and not main:
+                continue
             if last is not None and any(b in self.breaks for b in range(last + 1, k + 1)):
-                out.append(" ")
-            out.append(said)
+                blocks.append([])
+            blocks[-1].append((at, said))
             last = k
-        return " ".join("".join(out).split())
+
+        def fixed(block):
+            places = [at for at, _ in block if at >= 0]
+            return places and all(template.get(at, False) if self.has_main else at in template for at in places)
+        slots = [x for x in blocks if not fixed(x)]
+        if not any(at >= 0 for block in slots for at, _ in block):
+            slots = blocks
+        return " ".join(" ".join("".join(said for _, said in block) for block in slots).split())
 
 
 def valid_places(page: Page, classes: list) -> dict[int, bool]:
