@@ -18,11 +18,10 @@ from oracle.sql import oracle_sql as _oracle_sql
 from sessionlens.operators import (clean, cohorts, descriptive, features, prediction,
                                    quality, reviews, segmentation, series, temporal)
 from sessionlens.config import scratch_path
-from sessionlens.plans.staging import stage
 from sessionlens.schema import SESSION_COLUMNS
 from sessionlens.sources import (read_sessions_csv, read_table, session_view, write_csv,
                                  write_parquet)
-from sessionlens.sources.tables import attach_text
+from sessionlens.sources.tables import SESSION_TABLES, attach_text, file_state
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -36,9 +35,11 @@ _PLANS: dict[tuple, DataFrame] = {}
 
 
 def _memo(kind: str, spark: SparkSession, sf_dir: str, text: bool, build) -> DataFrame:
-    """Lazy, already-analysed plans are reused across queries of one session:
-    only plan construction is shared, every query still reads its tables."""
-    key = (kind, spark.sparkContext.applicationId, sf_dir, text)
+    """Lazy, already-analysed plans are reused across queries of one session
+    while the tables' files stay as they are: only plan construction is shared,
+    every query still reads its tables."""
+    key = (kind, spark.sparkContext.applicationId, sf_dir, text,
+           tuple(file_state(spark, sf_dir, t) for t in SESSION_TABLES))
     df = _PLANS.get(key)
     if df is None or df.sparkSession is not spark:
         df = _PLANS[key] = build()
@@ -79,9 +80,9 @@ def _rfm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rfm_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The per-user table feeds the cut points and the scoring: stage it once
-    # (checkpoint into spark.checkpoint.dir) instead of deriving it per branch.
-    return segmentation.rfm_scores(stage(_rfm(spark, sf_dir), how="checkpoint"), exact=True)
+    # The per-user shuffle feeds both cut-point passes and the scoring; Spark
+    # reuses it, so the sessions are read and combined once.
+    return segmentation.rfm_scores(_rfm(spark, sf_dir), exact=True)
 
 
 def _split(spark: SparkSession, sf_dir: str):
@@ -194,16 +195,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "segment_distribution": _on_enriched(lambda e: segmentation.segment_distribution(
         segmentation.behavior_segments(segmentation.user_metrics(e)))),
     "rfm_base": _rfm,
-    "rfm_quantiles": lambda s, d: segmentation.rfm_quantiles_long(
-        stage(_rfm(s, d), how="checkpoint"), exact=True),
+    "rfm_quantiles": lambda s, d: segmentation.rfm_quantiles_long(_rfm(s, d), exact=True),
     "rfm_scores": _rfm_scored,
     "rfm_segments": lambda s, d: segmentation.rfm_segments(_rfm_scored(s, d)),
     "rfm_distribution": lambda s, d: segmentation.rfm_distribution(
         segmentation.rfm_segments(_rfm_scored(s, d))),
     # the reference's own approximate cut points (sketch, rel. error 0.05):
     # not comparable value-by-value with an exact oracle -> rows-only check
-    "rfm_scores_approx": lambda s, d: segmentation.rfm_scores(
-        stage(_rfm(s, d), how="checkpoint"), exact=False),
+    "rfm_scores_approx": lambda s, d: segmentation.rfm_scores(_rfm(s, d), exact=False),
     # cohorts
     "user_cohorts": _on_enriched(cohorts.user_cohorts),
     "cohort_activity": _on_enriched(cohorts.cohort_activity),
@@ -228,11 +227,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chart_sessions_by_day": _on_enriched(series.chart_sessions_by_day),
     "dashboard_series": _on_enriched(series.dashboard_series),
     # data quality and utilities
-    # the profile reads its input in several passes: stage it once
-    "data_quality": lambda s, d: quality.data_quality(stage(raw(s, d, text=True), how="checkpoint"),
-                                                      exact=True),
-    "data_quality_approx": lambda s, d: quality.data_quality(
-        stage(raw(s, d, text=True), how="checkpoint"), exact=False),
+    "data_quality": lambda s, d: quality.data_quality(raw(s, d, text=True), exact=True),
+    "data_quality_approx": lambda s, d: quality.data_quality(raw(s, d, text=True), exact=False),
     "table_summary": lambda s, d: quality.table_summary(raw(s, d)),
     "cap_outliers": lambda s, d: clean.cap_outliers(cleaned(s, d), "session_duration", exact=True).select(
         "session_id", "session_duration"),

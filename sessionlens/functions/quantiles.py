@@ -6,13 +6,11 @@ Two modes:
   memory per task, rank error <= rel_error * n). Matches the reference's
   ``approxQuantile`` guarantee and is the mode for very large inputs.
 * ``exact=True`` — the ``ceil(p * n)``-th smallest value (``percentile_disc``
-  semantics), computed without gathering the values in one task: distinct
-  values are counted, split into value-range buckets, prefix-summed inside
-  each bucket and offset by the bucket totals. Bucket bounds are exact
-  percentiles of a hash-selected sample of the distinct values, so they are
-  deterministic (the same wherever a plan re-evaluates them) and the sample
-  has a fixed size bound. The only small tables (bounds, totals) have at
-  most ``len(cols) * buckets`` rows, so they are broadcast.
+  semantics) in two passes, with no sort of all values and none through one
+  task: a sketch of known rank error gives each cut point a bracket, low and
+  high, that holds it; then the values below each bracket are counted and only
+  the values inside are grouped and ranked. With ``accuracy`` a, a bracket
+  holds about 4/a of the rows.
 
 Either way the result has exactly one row and one ``array<double>`` column
 per input column (same name), element ``i`` being quantile ``probs[i]``; an
@@ -27,63 +25,54 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BUCKETS = 512
-SAMPLE_PER_BUCKET = 20
+ACCURACY = 10_000
 
 
 def quantiles(df: DataFrame, cols: list[str], probs: list[float], *, exact: bool = False,
-              rel_error: float = 0.05, buckets: int | None = None) -> DataFrame:
+              rel_error: float = 0.05, accuracy: int = ACCURACY) -> DataFrame:
     if not exact:
         accuracy = max(1, int(round(1.0 / rel_error)))
         return df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, accuracy).alias(c)
                         for c in cols])
-    return _exact_quantiles(df, cols, probs, buckets)
+    return _exact_quantiles(df, cols, probs, accuracy)
 
 
-def _exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                     buckets: int | None) -> DataFrame:
-    spark = df.sparkSession
-    # One bucket per shuffle partition, capped: the bucket lookup scans the
-    # bound array for every distinct value.
-    nb = buckets or min(MAX_BUCKETS, max(2, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    values = (df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-              .unpivot([], cols, "dim", "v")
-              .where(F.col("v").isNotNull()))
-    counts = values.groupBy("dim", "v").agg(F.count(F.lit(1)).alias("c"))
+def _exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], accuracy: int) -> DataFrame:
+    values = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    # Pass 1: a sketch value is at most n/accuracy ranks off, so the ones two
+    # such steps to either side hold the cut point between them.
+    around = [min(1.0, max(0.0, p + side * 2.0 / accuracy)) for p in probs for side in (-1, 1)]
+    brackets = values.agg(*[x for i, c in enumerate(cols) for x in (
+        F.count(c).alias(f"_n{i}"), F.percentile_approx(c, around, accuracy).alias(f"_b{i}"))])
 
-    # Bucket bounds must be identical wherever the plan evaluates them, so
-    # they come from exact aggregates only: the exact percentiles of a
-    # hash-selected sample of the distinct values (about SAMPLE_PER_BUCKET
-    # x buckets values per column, whatever the data size).
-    sizes = counts.groupBy("dim").agg(F.count(F.lit(1)).alias("nd"), F.sum("c").alias("n"))
-    stride = F.greatest(F.lit(1), F.floor(F.col("nd") / (SAMPLE_PER_BUCKET * nb)))
-    sample = (counts.join(F.broadcast(sizes.select("dim", "nd")), "dim")
-              .where(F.pmod(F.xxhash64("v"), stride) == 0))
-    cuts = [i / nb for i in range(1, nb)]
-    bounds = sample.groupBy("dim").agg(F.percentile("v", cuts).alias("bounds"))
-    stats = sizes.join(bounds, "dim", "left").select("dim", "n", "bounds")
-    bucketed = (counts.join(F.broadcast(stats), "dim")
-                .withColumn("b", F.coalesce(F.size(F.filter("bounds", lambda x: x < F.col("v"))),
-                                            F.lit(0))))
-    totals = bucketed.groupBy("dim", "b").agg(F.sum("c").alias("t"))
-    before = Window.partitionBy("dim").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("dim", "b", F.coalesce(F.sum("t").over(before), F.lit(0)).alias("off"))
-    running = Window.partitionBy("dim", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    cum = (bucketed.join(F.broadcast(offsets), ["dim", "b"])
-           .withColumn("cum", F.col("off") + F.sum("c").over(running)))
+    # Pass 2: count what lies below each bracket, group what lies inside.
+    low = lambda i, k: F.element_at(f"_b{i}", 2 * k + 1)
+    high = lambda i, k: F.element_at(f"_b{i}", 2 * k + 2)
+    both = values.crossJoin(F.broadcast(brackets))
+    below = both.agg(*[F.count_if(F.col(c) < low(i, k)).alias(f"_u{i}_{k}")
+                       for i, c in enumerate(cols) for k in range(len(probs))])
+    slots = [F.when(F.col(c).between(low(i, k), high(i, k)),
+                    F.struct(F.lit(i).alias("dim"), F.lit(k).alias("k"), F.col(c).alias("v")))
+             for i, c in enumerate(cols) for k in range(len(probs))]
+    inside = (both.select(F.explode(F.array_compact(F.array(*slots))).alias("s")).select("s.*")
+              .groupBy("dim", "k", "v").agg(F.count(F.lit(1)).alias("c")))
+    running = Window.partitionBy("dim", "k").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (inside.withColumn("cum", F.sum("c").over(running))
+              .crossJoin(F.broadcast(brackets.select(*[f"_n{i}" for i in range(len(cols))])))
+              .crossJoin(F.broadcast(below)))
 
-    # One global aggregate picks every cut point: for each column and
-    # probability, the smallest value whose running count reaches
-    # rank = ceil(p * n) (integer arithmetic, p as an exact fraction).
+    # One global aggregate picks every cut point: the smallest value whose
+    # running count reaches rank = ceil(p * n) (p as an exact fraction).
     out = []
-    for c in cols:
+    for i, c in enumerate(cols):
         picks = []
-        for p in probs:
+        for k, p in enumerate(probs):
             f = Fraction(p).limit_denominator(1_000_000)
-            rank = F.expr(f"(n * {f.numerator} + {f.denominator - 1}) div {f.denominator}")
-            picks.append(F.min(F.when((F.col("dim") == c) & (F.col("cum") >= rank), F.col("v"))))
-        out.append(F.when(F.max((F.col("dim") == c).cast("int")) == 1, F.array(*picks)).alias(c))
-    return cum.agg(*out)
+            rank = F.expr(f"(_n{i} * {f.numerator} + {f.denominator - 1}) div {f.denominator}")
+            reached = (F.col("dim") == i) & (F.col("k") == k) & (F.col("cum") + F.col(f"_u{i}_{k}") >= rank)
+            picks.append(F.min(F.when(reached, F.col("v"))))
+        out.append(F.when(F.max((F.col("dim") == i).cast("int")) == 1, F.array(*picks)).alias(c))
+    return ranked.agg(*out)
 
 
 def iqr_bounds(df: DataFrame, column: str, *, exact: bool = False,

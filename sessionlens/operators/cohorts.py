@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionlens.functions.money import as_money, percent
+from sessionlens.functions.money import cents, mean_of, percent, rest
 
 
 def _label(year, month):
@@ -35,7 +35,8 @@ def _user_months(df: DataFrame) -> DataFrame:
                  .groupBy("user_id", F.year(ts).alias("y"), F.month(ts).alias("m"))
                  .agg(F.count(F.lit(1)).alias("n"),
                       F.sum("has_purchased").alias("p"),
-                      F.sum(as_money("purchase_amount")).alias("s"),
+                      F.sum(cents("purchase_amount")).alias("s"),
+                      F.sum(rest("purchase_amount")).alias("x"),
                       F.count("purchase_amount").alias("k")))
     first = F.min(F.col("y") * 12 + F.col("m") - 1).over(Window.partitionBy("user_id"))
     return (per_month.withColumn("_first", first)
@@ -49,7 +50,7 @@ def cohort_activity(df: DataFrame) -> DataFrame:
             .groupBy("cohort", "months_since_first")
             .agg(F.count(F.lit(1)).alias("active_users"),
                  F.sum("p").alias("purchases"),
-                 F.round(F.sum("s") / F.sum("k"), 2).cast("double").alias("avg_purchase")))
+                 mean_of(F.sum("s"), F.sum("x"), F.sum("k")).alias("avg_purchase")))
 
 
 def cohort_sizes(df: DataFrame) -> DataFrame:

@@ -1,11 +1,12 @@
 """Data-quality profile and table summary.
 
-The reference runs up to six jobs per column. Here the whole profile is two
-aggregate passes over the input whatever its width: pass 1 computes every
-count, distinct count, min/max/mean/stddev and the quartile sketches in one
-``agg``; pass 2 counts IQR outliers against the one-row bounds (broadcast).
-``exact=False`` uses ``approx_count_distinct`` and the quantile sketch and is
-the mode for very large tables; ``exact=True`` is exact in both.
+The reference runs up to six jobs per column. Here the profile is a few passes
+over the input whatever its width, each reading only the columns it needs:
+counts, nulls and moments in one ``agg``; exact distinct counts from one
+grouping of (column number, short value), where a long text goes by its
+digest, so no text is shuffled; quartiles in two narrow passes; outliers
+against the one-row bounds (broadcast). ``exact=False`` uses
+``approx_count_distinct`` and the quantile sketch.
 """
 
 from __future__ import annotations
@@ -41,6 +42,23 @@ def _fixed2(value: Column) -> Column:
     return F.when(value.isNotNull(), F.format_string("%.2f", value)).otherwise(F.lit(NA))
 
 
+def _short(df: DataFrame, name: str) -> Column:
+    """A short stand-in for a value: itself as text, or the digest of a long text."""
+    c = F.col(name)
+    if not isinstance(df.schema[name].dataType, StringType):
+        return c.cast("string")
+    return F.when(F.octet_length(c) > 32, F.concat(F.lit("#"), F.md5(c))).otherwise(F.concat(F.lit("="), c))
+
+
+def distinct_counts(df: DataFrame) -> DataFrame:
+    """One row: exact distinct non-null values of every column (``_dist0``...)."""
+    cells = [F.when(F.col(c).isNotNull(), F.struct(F.lit(i).alias("i"), _short(df, c).alias("v")))
+             for i, c in enumerate(df.columns)]
+    values = (df.select(F.explode(F.array_compact(F.array(*cells))).alias("cell")).select("cell.*")
+              .groupBy("i", "v").agg(F.lit(1).alias("one")))
+    return values.agg(*[F.count_if(F.col("i") == i).alias(f"_dist{i}") for i in range(len(df.columns))])
+
+
 def data_quality(df: DataFrame, *, exact: bool = False,
                  rel_error: float = QUANTILE_REL_ERROR) -> DataFrame:
     """One row per column: column_name, data_type, total_count, null_count,
@@ -58,13 +76,16 @@ def data_quality(df: DataFrame, *, exact: bool = False,
     aggs = [F.count(F.lit(1)).alias("_total")]
     for i, c in enumerate(cols):
         col = F.col(c)
-        distinct = F.count_distinct(col) if exact else F.approx_count_distinct(col)
         aggs += [F.count_if(_missing(df, c)).alias(f"_null{i}"),
-                 (distinct + F.coalesce(F.max(col.isNull().cast("long")), F.lit(0))).alias(f"_dist{i}")]
+                 F.coalesce(F.max(col.isNull().cast("long")), F.lit(0)).alias(f"_blank{i}")]
+        if not exact:
+            aggs.append(F.approx_count_distinct(col).alias(f"_dist{i}"))
         if c in numeric:
             aggs += [F.min(col).alias(f"_min{i}"), F.max(col).alias(f"_max{i}"),
                      F.avg(col).alias(f"_mean{i}"), F.stddev_samp(col).alias(f"_sd{i}")]
     stats = df.agg(*aggs)
+    if exact:
+        stats = stats.crossJoin(F.broadcast(distinct_counts(df)))
 
     if numeric:
         q = quantiles(df, numeric, [0.25, 0.75], exact=exact, rel_error=rel_error)
@@ -77,7 +98,7 @@ def data_quality(df: DataFrame, *, exact: bool = False,
         outliers = (df.select(*numeric).crossJoin(F.broadcast(bounds))
                     .agg(*[F.count_if((F.col(c) < F.col(f"_lo_{c}")) | (F.col(c) > F.col(f"_hi_{c}")))
                            .alias(f"_out_{c}") for c in numeric]))
-        stats = stats.crossJoin(outliers)
+        stats = stats.crossJoin(F.broadcast(outliers))
 
     total = F.col("_total")
     rows = []
@@ -93,8 +114,8 @@ def data_quality(df: DataFrame, *, exact: bool = False,
             F.lit(c).alias("column_name"), F.lit(kinds[c]).alias("data_type"),
             total.alias("total_count"), F.col(f"_null{i}").alias("null_count"),
             _pct(F.col(f"_null{i}"), total).alias("null_percent"),
-            F.col(f"_dist{i}").alias("distinct_count"),
-            _pct(F.col(f"_dist{i}"), total).alias("distinct_percent"),
+            (F.col(f"_dist{i}") + F.col(f"_blank{i}")).alias("distinct_count"),
+            _pct(F.col(f"_dist{i}") + F.col(f"_blank{i}"), total).alias("distinct_percent"),
             lo.alias("min_value"), hi.alias("max_value"), mean.alias("mean"), sd.alias("stddev"),
             out.alias("outlier_count"), _pct(out, total).alias("outlier_percent")))
     return stats.select(F.inline(F.array(*rows)))

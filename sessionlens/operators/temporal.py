@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionlens.functions.money import as_money, money_avg, money_avg_raw, money_sum
+from sessionlens.functions.money import (cents, money_avg, money_avg_raw, money_sum, rest,
+                                         total_of)
 
 
 def _activity_aggs():
@@ -66,13 +67,15 @@ def sales_trend(df: DataFrame, rows: int = 7) -> DataFrame:
     w = Window.orderBy("date").rowsBetween(-(rows - 1), 0)
     daily = (df.filter(F.col("has_purchased") == 1)
              .groupBy("date")
-             .agg(F.sum(as_money("purchase_amount")).alias("_sales"),
+             .agg(F.sum(cents("purchase_amount")).alias("_cents"),
+                  F.sum(rest("purchase_amount")).alias("_rest"),
                   F.count(F.lit(1)).alias("order_count"),
                   money_avg_raw("purchase_amount").alias("avg_order_value")))
     return (daily
-            .withColumn("sales_7day_avg", F.sum("_sales").over(w).cast("double") / F.count(F.lit(1)).over(w))
+            .withColumn("sales_7day_avg", total_of(F.sum("_cents").over(w), F.sum("_rest").over(w))
+                        / F.count(F.lit(1)).over(w))
             .withColumn("orders_7day_avg", F.avg("order_count").over(w))
-            .withColumn("total_sales", F.col("_sales").cast("double"))
+            .withColumn("total_sales", total_of(F.col("_cents"), F.col("_rest")))
             .select("date", "total_sales", "order_count", "avg_order_value",
                     "sales_7day_avg", "orders_7day_avg")
             .orderBy("date"))

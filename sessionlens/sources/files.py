@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sessionlens.schema import SESSION_SCHEMA
@@ -23,6 +24,9 @@ def read_sessions_csv(spark: SparkSession, path: str, *, header: bool = True,
               .option("header", header)
               .option("sep", sep)
               .option("mode", mode)
+              .option("escape", '"')
+              .option("ignoreLeadingWhiteSpace", False)
+              .option("ignoreTrailingWhiteSpace", False)
               .option("multiLine", multi_line))
     if timestamp_format:
         reader = reader.option("timestampFormat", timestamp_format)
@@ -38,10 +42,34 @@ def write_parquet(df: DataFrame, path: str, *, partition_by: list[str] | None =
     writer.parquet(path)
 
 
+def escape_breaks(df: DataFrame, *columns: str) -> DataFrame:
+    """Line breaks (and backslashes) of text columns as two-character escapes,
+    so that a CSV has one line a row and can be split among tasks."""
+    def escaped(c):
+        for plain, code in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+            c = F.replace(c, F.lit(plain), F.lit(code))
+        return c
+    return df.withColumns({c: escaped(F.col(c)) for c in columns})
+
+
+def unescape_breaks(df: DataFrame, *columns: str) -> DataFrame:
+    """The reverse of ``escape_breaks``."""
+    def plain(c):
+        # a backslash pair is put aside first, so that its second half starts no escape
+        c = F.replace(c, F.lit("\\\\"), F.lit("\\\0"))
+        for code, text in (("\\n", "\n"), ("\\r", "\r"), ("\\\0", "\\")):
+            c = F.replace(c, F.lit(code), F.lit(text))
+        return c
+    return df.withColumns({c: plain(F.col(c)) for c in columns})
+
+
 def write_csv(df: DataFrame, path: str, *, header: bool = True, sep: str = ",",
               single_file: bool = False, mode: str = "overwrite") -> None:
-    """CSV export. ``single_file`` funnels the write through one task and is
+    """CSV export; blanks at the edges of a text stay, quotes are doubled.
+    ``single_file`` funnels the write through one task and is
     only meant for small result tables (dashboards), never for raw data."""
     if single_file:
         df = df.coalesce(1)
-    df.write.mode(mode).option("header", header).option("sep", sep).csv(path)
+    (df.write.mode(mode).option("header", header).option("sep", sep)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .option("escape", '"').csv(path))

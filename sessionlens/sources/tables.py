@@ -20,24 +20,35 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sessionlens.functions.joins import split_join
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events", "documents", "embeddings", "pages",
           "benchmark", "labels", "conversations"]
 
 
-_RELATIONS: dict[tuple[str, str], DataFrame] = {}
+SESSION_TABLES = ["orders", "lineitem", "part", "customer", "nation", "documents"]  # the view reads these
+
+_RELATIONS: dict[tuple[str, str], tuple[tuple, DataFrame]] = {}
+
+
+def file_state(spark: SparkSession, sf_dir: str, name: str) -> tuple:
+    """Name, length and time of each file of a table, from the file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(sf_dir, f"{name}.parquet"))
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return tuple((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in found)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table as a lazy relation. Relations are memoized per application
-    and path (the tables are read-only), so building many queries does not
-    list files and read footers again for each one."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (spark.sparkContext.applicationId, path)
-    df = _RELATIONS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = _RELATIONS[key] = spark.read.parquet(path)
-    return df
+    """The table as a lazy relation. A relation is kept for as long as the
+    table's files stay as they are, so building many queries does not read
+    footers again for each one, and new files are never missed."""
+    key = (spark.sparkContext.applicationId, os.path.join(sf_dir, f"{name}.parquet"))
+    state = file_state(spark, sf_dir, name)
+    kept = _RELATIONS.get(key)
+    if kept is None or kept[0] != state or kept[1].sparkSession is not spark:
+        kept = _RELATIONS[key] = (state, spark.read.parquet(key[1]))
+    return kept[1]
 
 
 def session_view(spark: SparkSession, sf_dir: str, with_text: bool = True) -> DataFrame:
@@ -59,10 +70,11 @@ def session_view(spark: SparkSession, sf_dir: str, with_text: bool = True) -> Da
 
     buyers = (customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left")
               .groupBy("c_custkey").agg(F.max("n_name").alias("n_name")))
-    s = (orders
-         .join(buyers, orders.o_custkey == buyers.c_custkey, "left")
-         .join(lines, orders.o_orderkey == lines.l_orderkey, "left")
-         .join(part, F.col("pk") == part.p_partkey, "left"))
+    # a hot customer or part is split by AQE; orders without lines have no part
+    # key and are spread over the part join
+    s = split_join(orders, buyers, "o_custkey", "c_custkey", spread_nulls=["o_orderkey"])
+    s = s.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
+    s = split_join(s, part, "pk", "p_partkey", spread_nulls=["o_orderkey"])
     key = F.col("o_orderkey")
     cols = [
         key.alias("session_id"),

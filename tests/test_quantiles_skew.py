@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sessionlens.functions.quantiles import quantiles
@@ -12,6 +13,11 @@ from sessionlens.operators import features
 PROBS = [0.2, 0.25, 0.4, 0.6, 0.75, 0.8]
 
 
+def _one_window(df, *order):
+    return df.withColumn("session_number", F.row_number().over(
+        Window.partitionBy("user_id").orderBy("timestamp", *(order or ["session_id"]))))
+
+
 def _disc(values, p):
     s = sorted(v for v in values if v is not None)
     return float(s[math.ceil(p * len(s)) - 1]) if s else None
@@ -23,7 +29,7 @@ def test_exact_quantiles_match_brute_force(spark):
     a = [5.0] * 400 + [rnd.uniform(-50, 500) for _ in range(800)] + [None] * 30
     b = [float(rnd.randint(0, 9)) for _ in range(len(a))]
     df = spark.createDataFrame(list(zip(a, b)), "a double, b double")
-    got = quantiles(df, ["a", "b"], PROBS, exact=True, buckets=7).first()
+    got = quantiles(df, ["a", "b"], PROBS, exact=True, accuracy=20).first()
     for col, vals in (("a", a), ("b", b)):
         assert got[col] == [_disc(vals, p) for p in PROBS]
 
@@ -56,7 +62,7 @@ def test_session_number_hot_user_matches_single_window(spark):
     df = (spark.createDataFrame(rows, "session_id long, user_id string, t string")
           .withColumn("timestamp", F.to_timestamp("t")).drop("t"))
     skew_safe = {r.session_id: r.session_number for r in features.session_number(df).collect()}
-    simple = {r.session_id: r.session_number for r in features.session_number_simple(df).collect()}
+    simple = {r.session_id: r.session_number for r in _one_window(df).collect()}
     assert skew_safe == simple
     assert max(skew_safe.values()) == sum(1 for r in rows if r[1] == "hot")
 
@@ -69,7 +75,7 @@ def test_exact_quantiles_without_exchange_reuse(spark):
     df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(7)
     spark.conf.set("spark.sql.exchange.reuse", "false")
     try:
-        got = quantiles(df, ["x"], PROBS, exact=True, buckets=9).first()["x"]
+        got = quantiles(df, ["x"], PROBS, exact=True, accuracy=30).first()["x"]
     finally:
         spark.conf.set("spark.sql.exchange.reuse", "true")
     assert got == [_disc(vals, p) for p in PROBS]
@@ -109,3 +115,29 @@ def test_hot_user_cohorts_and_history_match_brute_force(spark):
     assert hot.total_sessions == 1000
     feats = features.session_features(e).filter(F.col("user_id") == "hot")
     assert feats.count() == 1000 and feats.select("total_sessions").distinct().first()[0] == 1000
+
+
+def test_session_number_hot_instants_null_times_and_clock_change(spark):
+    rnd = random.Random(3)
+    rows = []
+    for i in range(4000):
+        user = "hot" if i % 3 else (f"u{rnd.randint(0, 50)}" if i % 7 else None)
+        t = f"2024-10-27 {i % 2:02d}:{15 if i % 3 else 30}:{rnd.randint(0, 59):02d}"  # 02:00 comes twice in Paris
+        rows.append((rnd.randint(-10 ** 12, 10 ** 12), user,
+                     None if i % 5 == 0 else "2024-10-27 00:30:05" if i % 11 == 0 else t, i))
+    df = (spark.createDataFrame(rows, "session_id long, user_id string, t string, x int")
+          .withColumn("timestamp", F.to_timestamp(F.concat("t", F.lit("Z")))).drop("t"))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for name in ("UTC", "Europe/Paris"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            want = {r.x: r.session_number for r in _one_window(df).collect()}
+            for hot in (100_000, 50, 5):
+                got = {r.x: r.session_number for r in features.session_number(df, hot_rows=hot).collect()}
+                assert got == want, (name, hot)
+            bare = df.drop("session_id")
+            digest = F.xxhash64(*[F.col(c) for c in bare.columns])
+            assert ({r.x: r.session_number for r in features.session_number(bare, hot_rows=20).collect()}
+                    == {r.x: r.session_number for r in _one_window(bare, digest).collect()})
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
