@@ -2,7 +2,7 @@
 
 A log holds events per conversation: ``delta`` appends to a message, ``edit``
 replaces what it says so far, ``regenerate`` empties it (deltas follow),
-``delete`` removes it. Events are applied by sequence number and folded into
+``delete`` removes it; a ``turn`` is a whole message by itself. Events are applied by sequence number and folded into
 one text per message; messages are rendered in the order of their first event
 and joined per conversation.
 
@@ -17,7 +17,7 @@ events is not gathered for them; only the finished turns of a conversation
 meet, as its formatted text is one value.
 
 Cases: a null text or role is empty. Turns with equal numbers are ordered by
-role, then text; repeated rows are turns of their own. Null turn numbers come
+role, then a digest of the text; repeated rows are turns of their own. Null turn numbers come
 first. A null conversation id is a conversation. An event without a message
 id, or of another kind, is ignored. Empty tables give no rows; extra columns
 are ignored.
@@ -34,6 +34,7 @@ CONTROL = r"/?s>|/?ROLE\]|/?INST\]|/?SYS\]"
 ESCAPE = rf"(?i)([<\[])(\\*)({CONTROL})"
 UNESCAPE = rf"(?i)([<\[])\\(\\*)({CONTROL})"
 TRAINED = "assistant"
+KINDS = ("delta", "edit", "regenerate", "delete", "turn")
 
 
 def escape(text: Column) -> Column:
@@ -47,41 +48,38 @@ def unescape(text: Column) -> Column:
 # --- events ------------------------------------------------------------------
 
 def events_from_turns(turns: DataFrame) -> DataFrame:
-    """Finished turns (conv_id, turn, role, text) as a log with one delta each.
-
-    The message id is the turn, role, digest of the text and, for repeated
-    rows, a running number; the sequence key orders by turn, role and text."""
+    """Finished turns (conv_id, turn, role, text) as a log of one ``turn`` event
+    each. Message id and sequence are the turn number, role and a digest of the
+    text, so equal rows meet in one message and stay events of their own."""
     text, role = F.coalesce("text", F.lit("")), F.coalesce("role", F.lit(""))
-    once = (turns.select("conv_id", "turn", role.alias("role"), text.alias("text"))
-            .groupBy("conv_id", "turn", "role", "text").count())
-    return (once.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("count"))))
-            .select("conv_id", F.struct("turn", "role", F.sha2("text", 256).alias("digest"), "copy").alias("message"),
-                    F.struct("turn", "role", "text", "copy").alias("seq"),
-                    F.lit("delta").alias("kind"), "role", "text"))
+    at = F.struct("turn", role.alias("role"), F.unhex(F.md5(text)).alias("digest"))
+    return turns.select("conv_id", at.alias("message"), at.alias("seq"), F.lit("turn").alias("kind"),
+                        role.alias("role"), text.alias("text"))
 
 
 def fold(events: DataFrame) -> DataFrame:
     """Events (conv_id, message, seq, kind, role, text) -> one row per message
-    that is left: conv_id, first (its first sequence number), role, text."""
-    known = events.where(F.col("message").isNotNull()
-                         & F.col("kind").isin("delta", "edit", "regenerate", "delete"))
+    that is left: conv_id, first (its first sequence number), message, copy,
+    role, text. Events of kind ``turn`` are messages of their own."""
+    known = events.where(F.col("message").isNotNull() & F.col("kind").isin(*KINDS))
     event = F.struct("seq", "kind", F.coalesce("text", F.lit("")).alias("text"), F.col("role").alias("role"))
     log = known.groupBy("conv_id", "message").agg(F.sort_array(F.collect_list(event)).alias("log"))
     # only what follows the last edit, regeneration or deletion counts
-    numbered = F.transform("log", lambda e, i: F.when(e["kind"] != "delta", i).otherwise(F.lit(-1)))
+    numbered = F.transform("log", lambda e, i: F.when(~e["kind"].isin("delta", "turn"), i).otherwise(F.lit(-1)))
     log = log.withColumn("reset", F.array_max(numbered))
     tail = F.expr("slice(log, greatest(reset, 0) + 1, size(log))")
+    said = F.transform("tail", lambda e: F.when(e["kind"] == "regenerate", F.lit("")).otherwise(e["text"]))
+    texts = F.when(F.col("log")[0]["kind"] == "turn", said).otherwise(F.array(F.array_join(said, "")))
     return (log.withColumn("tail", tail).where("tail[0].kind <> 'delete'")
-            .select("conv_id", F.col("log")[0]["seq"].alias("first"), F.col("message").alias("message"),
+            .select("conv_id", F.col("log")[0]["seq"].alias("first"), "message",
                     F.coalesce(F.col("log")[0]["role"], F.lit("")).alias("role"),
-                    F.array_join(F.transform("tail", lambda e: F.when(e["kind"] == "regenerate", F.lit(""))
-                                             .otherwise(e["text"])), "").alias("text")))
+                    F.posexplode(texts).alias("copy", "text")))
 
 
 def render(messages: DataFrame) -> DataFrame:
     """Messages -> rendered turns: head (up to the text), body and tail."""
     return messages.select(
-        "conv_id", "first", "message", "role",
+        "conv_id", "first", "message", "copy", "role",
         F.concat(F.lit(OPEN + ROLE), escape(F.col("role")), F.lit(END_ROLE)).alias("head"),
         escape(F.col("text")).alias("body"))
 
@@ -89,12 +87,12 @@ def render(messages: DataFrame) -> DataFrame:
 def join_turns(rendered: DataFrame) -> DataFrame:
     """Per conversation: conv_id, n_turns, formatted, loss_mask (array of
     start and end, code points) over the texts of assistant turns."""
-    order = Window.partitionBy("conv_id").orderBy("first", "message")
+    order = Window.partitionBy("conv_id").orderBy("first", "message", "copy")
     size = F.length("head") + F.length("body") + len(CLOSE)
     placed = (rendered.withColumn("end", F.sum(size).over(order.rowsBetween(Window.unboundedPreceding, 0)))
               .withColumn("end", F.col("end") - len(CLOSE))
               .withColumn("start", F.col("end") - F.length("body")))
-    turn = F.struct("first", "message", "role", F.concat("head", "body", F.lit(CLOSE)).alias("said"),
+    turn = F.struct("first", "message", "copy", "role", F.concat("head", "body", F.lit(CLOSE)).alias("said"),
                     F.struct("start", "end").alias("span"))
     # the window has already brought a conversation's turns together
     joined = placed.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))

@@ -90,9 +90,9 @@ escaped AS (
     + length(regexp_replace(text, '(?i)([<\[])(\\*)(/?s>|/?ROLE\]|/?INST\]|/?SYS\])', '\1\\\2\3', 'g')) AS size
   FROM turns)
 SELECT conv_id, count(*) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, md5(text))) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, md5(text)) FILTER (role = 'assistant'), '')) AS loss_sha256,
   CAST(sum(size) AS BIGINT) AS formatted_chars
 FROM escaped GROUP BY conv_id""",
 }

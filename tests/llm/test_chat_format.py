@@ -38,7 +38,7 @@ def test_turns_against_plain_python(spark):
         want.setdefault(c, []).append((-1 if t is None else t, role or "", text or ""))
     assert set(got) == set(want)
     for c, turns in want.items():
-        turns.sort()
+        turns.sort(key=lambda t: (t[0], t[1], hashlib.md5(t[2].encode()).hexdigest()))
         loss = "".join(x for _, r, x in turns if r == "assistant")
         r = got[c]
         assert (r.n_turns, r.turns_sha256) == (len(turns), sha("".join(f"{a}\n{x}\n" for _, a, x in turns)))
