@@ -19,6 +19,8 @@ from __future__ import annotations
 import json
 import re
 import struct
+import sys
+from array import array
 from functools import lru_cache
 from zlib import crc32
 
@@ -38,7 +40,8 @@ END = 0
 SHARD_TOKENS = 1 << 21
 BLOCK = 512                # bits per rank block
 MAGIC = b"WMX1"
-CACHED_CHUNKS = 400_000    # distinct chunks and pieces kept per worker, at most
+CACHED_CHUNKS = 1_000_000  # distinct chunks kept per worker, at most
+CACHED_PIECES = 800_000    # and pieces of them
 CACHED_LENGTH = 48
 
 
@@ -74,10 +77,12 @@ class Encoder:
                          and spec.get("normalizer") is None and pre.get("type") == "ByteLevel"
                          and pre.get("use_regex") and not pre.get("add_prefix_space"))
         self.letters = _byte_letters()
-        self.chunks = _Cache(self._chunk)
-        self.pieces = _Cache(self._piece)
+        self.chunks = _Cache(self._chunk, CACHED_CHUNKS)
+        self.pieces = _Cache(self._piece, CACHED_PIECES)
 
     def _pack(self, ids) -> bytes:
+        if sys.byteorder == "little":
+            return array("H" if self.dtype.itemsize == 2 else "I", ids).tobytes()
         return np.array(ids, self.dtype).tobytes()
 
     def _piece(self, piece: str) -> bytes:
@@ -103,16 +108,20 @@ class Encoder:
 
 
 class _Cache(dict):
-    """A dict that makes missing values, keeps the short ones and has a bound."""
+    """A dict that makes missing values and keeps those of short keys: the ones
+    in use since the last two turnovers, ``size`` at most."""
 
-    def __init__(self, make):
+    def __init__(self, make, size: int):
         super().__init__()
-        self.make = make
+        self.make, self.half, self.before = make, size // 2, {}
 
     def __missing__(self, key):
-        made = self.make(key)
+        made = self.before.get(key)
+        if made is None:
+            made = self.make(key)
         if len(key) <= CACHED_LENGTH:
-            if len(self) >= CACHED_CHUNKS:
+            if len(self) >= self.half:
+                self.before = dict(self)
                 self.clear()
             self[key] = made
         return made
