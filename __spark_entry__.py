@@ -12,15 +12,17 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from oracle.sql import AS_OF
 from oracle.sql import oracle_sql as _oracle_sql
 from sessionlens.operators import (clean, cohorts, descriptive, features, prediction,
                                    quality, reviews, segmentation, series, temporal)
 from sessionlens.config import scratch_path
+from sessionlens.plans import reports
 from sessionlens.schema import SESSION_COLUMNS
-from sessionlens.sources import (read_sessions_csv, read_table, session_view, write_csv,
-                                 write_parquet)
+from sessionlens.sources import (escape_breaks, read_sessions_csv, session_view,
+                                 unescape_breaks, write_csv, write_parquet)
 from sessionlens.sources.tables import SESSION_TABLES, attach_text, file_state
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -85,9 +87,13 @@ def _rfm_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segmentation.rfm_scores(_rfm(spark, sf_dir), exact=True)
 
 
-def _split(spark: SparkSession, sf_dir: str):
-    data = prediction.model_input(enriched(spark, sf_dir))
-    return prediction.train_test_split(data)
+def _split(spark: SparkSession, sf_dir: str, data: DataFrame | None = None):
+    """Training and test rows of the narrow model table, written once: indexing,
+    fitting and scoring all read it."""
+    data = prediction.model_input(enriched(spark, sf_dir)) if data is None else data
+    path = scratch_path(spark, f"model-input-{uuid.uuid4().hex}")
+    write_parquet(data, path)
+    return prediction.train_test_split(spark.read.schema(data.schema).parquet(path))
 
 
 def _lr_model(spark: SparkSession, sf_dir: str):
@@ -102,7 +108,8 @@ def _purchase_lr_auc(spark, sf_dir):
 
 def _purchase_lr_coefficients(spark, sf_dir):
     model, train, _ = _lr_model(spark, sf_dir)
-    return prediction.coefficients(model, train)
+    return prediction.coefficients(model, train).withColumn(
+        "coefficient", F.round("coefficient", 6) + F.lit(0.0))
 
 
 def _purchase_rf(spark, sf_dir):
@@ -113,14 +120,41 @@ def _purchase_rf(spark, sf_dir):
 
 def _purchase_cv(spark, sf_dir):
     train, test = _split(spark, sf_dir)
-    model = prediction.cross_validate(train, num_trees=(10, 20), max_depth=(5,),
-                                      impurity=("gini", "entropy"), folds=3, parallelism=2)
+    model = prediction.cross_validate(train, folds=3, parallelism=4)  # 18 combinations
     return prediction.evaluation_table(model, test, "random_forest_cv")
 
 
+def _feature_vectors(spark, sf_dir):
+    model, _, test = _lr_model(spark, sf_dir)
+    return prediction.feature_vectors(model, test).select(
+        "session_id", F.array_join(F.transform("features", lambda x: x.cast("string")), ",").alias("features"))
+
+
+def _purchase_learnable_auc(spark, sf_dir):
+    """The same model on a label that two of the features decide."""
+    sessions, duration = enriched(spark, sf_dir), F.col("session_duration")
+    least = F.when(F.col("device_type") == "Desktop", 8).otherwise(14)
+    data = prediction.model_input(sessions.withColumn("has_purchased", (duration >= least).cast("int")))
+    train, test = _split(spark, sf_dir, data)
+    model = prediction.fit(prediction.logistic_pipeline(max_iter=50, reg=0.0, elastic_net=0.0), train)
+    return prediction.evaluation_table(model, test, "logistic_regression").select(
+        "model", "test_rows", (F.col("auc") > 0.9).alias("auc_above_0_9"))
+
+
 def _purchase_scores(spark, sf_dir):
     model, _, test = _lr_model(spark, sf_dir)
-    scored = prediction.score(model, test)
+    return _scored(prediction.score(model, test))
+
+
+def _purchase_saved_model(spark, sf_dir):
+    """The model is saved, loaded again and scores the test rows."""
+    model, _, test = _lr_model(spark, sf_dir)
+    path = scratch_path(spark, f"model-{uuid.uuid4().hex}")
+    prediction.save(model, path)
+    return _scored(prediction.score(prediction.load(path), test))
+
+
+def _scored(scored):
     return scored.select("session_id", "label", "prediction", "purchase_probability",
                          "predicted_purchase")
 
@@ -129,8 +163,25 @@ def _scan_csv(spark, sf_dir):
     """CSV sink then CSV scan with the fixed schema: the session table is
     exported by Spark into the shared checkpoint folder and read back."""
     path = scratch_path(spark, f"sessions-csv-{uuid.uuid4().hex}")
-    write_csv(raw(spark, sf_dir, text=True).select(*SESSION_COLUMNS), path)
-    return read_sessions_csv(spark, path, multi_line=True)
+    write_csv(escape_breaks(raw(spark, sf_dir, text=True).select(*SESSION_COLUMNS), "review_text"), path)
+    return unescape_breaks(read_sessions_csv(spark, path), "review_text")
+
+
+def _csv_enriched(spark, sf_dir):
+    """The whole way from an 11-column CSV (no session id): scan, clean, enrich."""
+    return features.transform(clean.clean_sessions(_scan_csv(spark, sf_dir)))
+
+
+def _report(build):
+    """A report's results by name, with their row counts."""
+    def run(spark, sf_dir):
+        parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("result"), "rows")
+                 for name, df in build(enriched(spark, sf_dir, text=True)).items() if name != "stats"]
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part)
+        return out
+    return run
 
 
 def _parquet_sink(spark, sf_dir):
@@ -154,6 +205,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # sources and cleaning
     "scan_sessions": lambda s, d: raw(s, d, text=True),
     "scan_csv": _scan_csv,
+    "csv_enriched": _csv_enriched,
     "parquet_sink": _parquet_sink,
     "null_counts": lambda s, d: clean.null_counts(raw(s, d, text=True)),
     "clean_audit": lambda s, d: clean.clean_audit(raw(s, d)),
@@ -232,9 +284,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_summary": lambda s, d: quality.table_summary(raw(s, d)),
     "cap_outliers": lambda s, d: clean.cap_outliers(cleaned(s, d), "session_duration", exact=True).select(
         "session_id", "session_duration"),
+    # raw durations hold outliers, negatives and nulls
     "remove_outliers": lambda s, d: clean.remove_outliers(
-        read_table(s, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice"),
-        "l_extendedprice", exact=True),
+        raw(s, d).select("session_id", "session_duration"), "session_duration", exact=True),
+    "table_schema": lambda s, d: quality.table_schema(raw(s, d, text=True)),
+    "table_preview": lambda s, d: quality.table_preview(
+        raw(s, d).drop("review_text", "timestamp"), order="session_id"),
+    # whole reports
+    "descriptive_report": _report(reports.descriptive_report),
+    "temporal_report": _report(reports.temporal_report),
+    "segmentation_report": _report(lambda e: reports.segmentation_report(e, as_of=AS_OF, exact=True)),
+    "review_report": _report(reports.review_report),
     # machine learning
     "model_input": lambda s, d: prediction.model_input(enriched(s, d)),
     "train_test_split": lambda s, d: enriched(s, d).select(
@@ -244,6 +304,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "purchase_rf": _purchase_rf,
     "purchase_cv": _purchase_cv,
     "purchase_scores": _purchase_scores,
+    "purchase_saved_model": _purchase_saved_model,
+    "purchase_learnable_auc": _purchase_learnable_auc,
+    "feature_vectors": _feature_vectors,
 }
 
 

@@ -14,8 +14,13 @@ plain join formulation, session numbers a single window, quantiles
 
 from __future__ import annotations
 
-from sessionlens.schema import (CORRELATION_COLUMNS, DESCRIBE_COLUMNS, PAGES_MIN_SESSIONS,
-                                TOKEN_LETTERS, TOKEN_MIN_LENGTH, WEEKDAYS)
+# Literal, so that a wrong constant in the package shows.
+CORRELATION_COLUMNS = ["session_duration", "pages_viewed", "purchase_amount", "review_score", "has_purchased"]
+DESCRIBE_COLUMNS = ["session_duration", "pages_viewed", "purchase_amount", "review_score"]
+PAGES_MIN_SESSIONS = 50
+TOKEN_LETTERS = "a-zéèêëàâäôöùûüÿçœ"
+TOKEN_MIN_LENGTH = 3
+WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 
 AS_OF = "2002-01-01"
 
@@ -443,15 +448,89 @@ SELECT session_id,
             ELSE CAST(session_duration AS DOUBLE) END AS session_duration
 FROM clean CROSS JOIN b"""),
     "remove_outliers": q("""
-, b AS (SELECT quantile_disc(l_extendedprice, 0.25) AS q1, quantile_disc(l_extendedprice, 0.75) AS q3 FROM lineitem)
-SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem CROSS JOIN b
-WHERE l_extendedprice >= q1 - 1.5 * (q3 - q1) AND l_extendedprice <= q3 + 1.5 * (q3 - q1)"""),
-    # ML inputs (the fitted models are checked by row count only)
+, b AS (SELECT quantile_disc(session_duration, 0.25) AS q1, quantile_disc(session_duration, 0.75) AS q3 FROM raw)
+SELECT session_id, session_duration FROM raw CROSS JOIN b
+WHERE session_duration >= q1 - 1.5 * (q3 - q1) AND session_duration <= q3 + 1.5 * (q3 - q1)"""),
+    "table_schema": "SELECT * FROM (VALUES " + ", ".join(
+        f"({i}, '{n}', '{t}')" for i, (n, t) in enumerate(
+            [("session_id", "bigint"), ("user_id", "string"), ("session_duration", "int"), ("pages_viewed", "int"),
+             ("product_category", "string"), ("purchase_amount", "double"), ("review_score", "double"),
+             ("review_text", "string"), ("timestamp", "timestamp_ntz"), ("device_type", "string"),
+             ("country", "string"), ("city", "string")])) + ") t(position, column_name, data_type)",
+    "table_preview": q("SELECT session_id, user_id, session_duration, pages_viewed, product_category, purchase_amount, "
+                       "review_score, device_type, country, city FROM raw ORDER BY session_id LIMIT 5"),
+    "feature_vectors": q("""
+, train AS (SELECT * FROM enriched WHERE (session_id * 7919) % 100 < 70),
+d AS (SELECT device_type AS v, row_number() OVER (ORDER BY count(*) DESC, device_type) AS i FROM train
+      WHERE device_type IS NOT NULL GROUP BY device_type),
+c AS (SELECT product_category AS v, row_number() OVER (ORDER BY count(*) DESC, product_category) AS i FROM train
+      WHERE product_category IS NOT NULL GROUP BY product_category),
+w AS (SELECT day_of_week AS v, row_number() OVER (ORDER BY count(*) DESC, day_of_week) AS i FROM train
+      WHERE day_of_week IS NOT NULL GROUP BY day_of_week)
+SELECT session_id, concat_ws(',', CAST(session_duration AS DOUBLE), CAST(pages_viewed AS DOUBLE), CAST(hour AS DOUBLE),
+  (SELECT string_agg(CASE WHEN d.v = e.device_type THEN '1.0' ELSE '0.0' END, ',' ORDER BY i) FROM d),
+  (SELECT string_agg(CASE WHEN c.v = e.product_category THEN '1.0' ELSE '0.0' END, ',' ORDER BY i) FROM c),
+  (SELECT string_agg(CASE WHEN w.v = e.day_of_week THEN '1.0' ELSE '0.0' END, ',' ORDER BY i) FROM w)) AS features
+FROM enriched e WHERE NOT (session_id * 7919) % 100 < 70"""),
+    # no feature explains the label here, so the penalty leaves every weight at
+    # zero and the intercept is the log odds of the training rate
+    "purchase_lr_coefficients": q("""
+, train AS (SELECT * FROM enriched WHERE (session_id * 7919) % 100 < 70),
+names AS (
+  SELECT 0 AS g, 1 AS i, 'session_duration' AS n UNION ALL SELECT 0, 2, 'pages_viewed' UNION ALL SELECT 0, 3, 'hour'
+  UNION ALL SELECT 1, row_number() OVER (ORDER BY count(*) DESC, device_type), 'device_type_vec_' || device_type
+    FROM train WHERE device_type IS NOT NULL GROUP BY device_type
+  UNION ALL SELECT 2, row_number() OVER (ORDER BY count(*) DESC, product_category), 'product_category_vec_' || product_category
+    FROM train WHERE product_category IS NOT NULL GROUP BY product_category
+  UNION ALL SELECT 3, row_number() OVER (ORDER BY count(*) DESC, day_of_week), 'day_of_week_vec_' || day_of_week
+    FROM train WHERE day_of_week IS NOT NULL GROUP BY day_of_week
+  UNION ALL SELECT 4, 1, '(intercept)')
+SELECT CAST(row_number() OVER (ORDER BY g, i) - 1 AS INTEGER) AS position, n AS feature,
+  CASE WHEN g = 4 THEN round((SELECT ln(avg(has_purchased) / (1 - avg(has_purchased))) FROM train), 6)
+       ELSE 0.0 END AS coefficient FROM names"""),
+    "purchase_scores": q("""
+, p AS (SELECT round(100 * avg(has_purchased), 2) AS p FROM enriched WHERE (session_id * 7919) % 100 < 70)
+SELECT session_id, has_purchased AS label, CASE WHEN p > 50 THEN 1.0 ELSE 0.0 END AS prediction,
+       p AS purchase_probability, CASE WHEN p > 50 THEN 1.0 ELSE 0.0 END AS predicted_purchase
+FROM enriched CROSS JOIN p WHERE NOT (session_id * 7919) % 100 < 70"""),
+    "purchase_lr_auc": q("""
+SELECT 'logistic_regression' AS model, count(*) AS test_rows, CAST(0.5 AS DOUBLE) AS auc
+FROM enriched WHERE NOT (session_id * 7919) % 100 < 70"""),
+    "purchase_learnable_auc": q("""
+SELECT 'logistic_regression' AS model, count(*) AS test_rows, true AS auc_above_0_9
+FROM enriched WHERE NOT (session_id * 7919) % 100 < 70"""),
+    # ML inputs
     "model_input": q("SELECT session_id, session_duration, pages_viewed, hour, device_type, product_category, "
                      "day_of_week, has_purchased AS label FROM enriched"),
     "train_test_split": q("SELECT session_id, (session_id * 7919) % 100 < 70 AS in_training FROM enriched"),
 }
 
 
+SQL["purchase_saved_model"] = SQL["purchase_scores"]
+SQL["csv_enriched"] = f"SELECT {', '.join(c for c in ENRICHED_COLS.replace('session_id, ', '').split(', '))} FROM ({SQL['enriched_sessions']})"
+
+# Reports: the results of each by name, with their columns and row counts.
+REPORTS = {
+    "descriptive_report": {
+        "statsTyped": "describe_sessions", "categoryDistribution": "category_distribution",
+        "countryDistribution": "country_distribution", "conversionRate": "conversion_rate",
+        "conversionByDevice": "conversion_by_device", "conversionBySessionCategory": "conversion_by_session_category",
+        "correlations": "correlation_matrix"},
+    "temporal_report": {
+        "sessionsByHour": "sessions_by_hour", "sessionsByDayOfWeek": "sessions_by_weekday",
+        "sessionsByMonth": "sessions_by_month", "peakHours": "peak_hour_by_weekday", "salesTrend": "sales_trend"},
+    "segmentation_report": {
+        "behaviorSegmentation": "behavior_segments", "segmentDistribution": "segment_distribution",
+        "rfmAnalysis": "rfm_scores", "rfmSegments": "rfm_segments", "rfmDistribution": "rfm_distribution",
+        "cohortRetention": "cohort_retention"},
+    "review_report": {
+        "reviewDistribution": "review_distribution", "reviewsByCategory": "reviews_by_category",
+        "reviewsByCountry": "reviews_by_country", "commonPositiveTerms": "common_positive_terms",
+        "commonNegativeTerms": "common_negative_terms", "topTerms": "top_terms", "reviewImpact": "review_impact"},
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return dict(SQL)
+    reports = {name: " UNION ALL ".join(f"SELECT '{result}' AS result, count(*) AS rows FROM ({SQL[key]})"
+                                        for result, key in parts.items()) for name, parts in REPORTS.items()}
+    return SQL | reports

@@ -6,7 +6,9 @@ helpers exist for tests, the bench and command-line use.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -49,14 +51,15 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Use the cluster's ``spark.checkpoint.dir``. Only a local-mode session
-    without one (tests, bench) gets a scratch folder; on a cluster a missing
-    setting returns None and callers fall back to persist — a machine-local
-    folder is never used there."""
+    without one (tests, bench) gets a scratch folder, removed when Python ends;
+    on a cluster a missing setting returns None and callers ask for it — a
+    machine-local folder is never used there."""
     configured = checkpoint_dir(spark)
     if not configured:
         if not spark.sparkContext.master.startswith("local"):
             return None
         configured = tempfile.mkdtemp(prefix="sessionlens-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)
     return configured

@@ -22,21 +22,34 @@ CATEGORICAL_FEATURES = ["device_type", "product_category", "day_of_week"]
 LABEL = "label"
 
 
-def model_input(df: DataFrame, key: str | None = "session_id") -> DataFrame:
-    """The model table: the six features and the label (plus the row key)."""
-    cols = ([key] if key else []) + NUMERIC_FEATURES + CATEGORICAL_FEATURES
-    return df.select(*cols, F.col("has_purchased").alias(LABEL))
+KEY = "session_id"
 
 
-def in_training(key: str = "session_id", percent_train: int = 70) -> Column:
+def row_key(df: DataFrame, key: str | None = None) -> Column:
+    """A whole number that tells rows apart: ``key``, else ``session_id``, else
+    a digest of the row."""
+    name = key or (KEY if KEY in df.columns else None)
+    return F.col(name) if name else F.xxhash64(*[F.col(c) for c in df.columns])
+
+
+def model_input(df: DataFrame, key: str | None = None) -> DataFrame:
+    """The model table: the six features and the label, and the row key as
+    ``session_id`` (a digest of the row where the sessions have no id)."""
+    return df.select(row_key(df, key).alias(key or KEY), *NUMERIC_FEATURES, *CATEGORICAL_FEATURES,
+                     F.col("has_purchased").alias(LABEL))
+
+
+def in_training(key: str | Column = KEY, percent_train: int = 70) -> Column:
     """Row-stable 70/30 split from the key (independent of partitioning, so a
-    re-run or a lost task puts every row in the same half)."""
-    return (F.col(key) * 7919) % 100 < percent_train
+    re-run or a lost task puts every row in the same half). Any key will do:
+    negative and very large ones are reduced first."""
+    key = F.col(key) if isinstance(key, str) else key
+    return F.pmod(F.pmod(key, F.lit(100)) * 7919, F.lit(100)) < percent_train
 
 
-def train_test_split(df: DataFrame, key: str = "session_id",
+def train_test_split(df: DataFrame, key: str | None = None,
                      percent_train: int = 70) -> tuple[DataFrame, DataFrame]:
-    cond = in_training(key, percent_train)
+    cond = in_training(row_key(df, key), percent_train)
     return df.filter(cond), df.filter(~cond)
 
 
@@ -46,7 +59,9 @@ def feature_stages() -> list:
     return [
         StringIndexer(inputCols=CATEGORICAL_FEATURES, outputCols=index_cols,
                       handleInvalid="keep", stringOrderType="frequencyDesc"),
-        OneHotEncoder(inputCols=index_cols, outputCols=vec_cols, handleInvalid="keep"),
+        # the indexer's extra bucket covers unseen values; it is the slot that the
+        # encoder drops
+        OneHotEncoder(inputCols=index_cols, outputCols=vec_cols),
         VectorAssembler(inputCols=NUMERIC_FEATURES + vec_cols, outputCol="features"),
     ]
 
@@ -99,31 +114,42 @@ def coefficients(model: PipelineModel, df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "position int, feature string, coefficient double")
 
 
+def feature_vectors(model: PipelineModel, df: DataFrame, key: str = KEY) -> DataFrame:
+    """(key, features): the assembled vector as an array, after the fitted
+    indexers and encoder."""
+    stages = [s for s in model.stages if not hasattr(s, "predictionCol")]
+    return PipelineModel(stages).transform(df).select(key, vector_to_array("features").alias("features"))
+
+
 def cross_validate(train: DataFrame, *, num_trees=(10, 20, 30), max_depth=(5, 10, 15),
                    impurity=("gini", "entropy"), folds: int = 3, seed: int = 42,
-                   parallelism: int = 1) -> PipelineModel:
+                   parallelism: int = 1, key: str | None = None) -> PipelineModel:
     """Grid search over forest parameters with k-fold cross-validation; the
-    grid is an argument (the reference's 3 x 3 x 2 by default)."""
-    pipeline = forest_pipeline(seed=seed)
-    rf = pipeline.getStages()[-1]
+    grid is an argument (the reference's 3 x 3 x 2 by default). The fold of a
+    row follows from its key, not from where it lies; the features are indexed
+    and assembled once, before the folds."""
+    rf = forest_pipeline(seed=seed).getStages()[-1]
+    fold = F.pmod(F.xxhash64(row_key(train, key), F.lit(seed)), F.lit(folds)).cast("int")
     grid = (ParamGridBuilder()
             .addGrid(rf.numTrees, list(num_trees))
             .addGrid(rf.maxDepth, list(max_depth))
             .addGrid(rf.impurity, list(impurity))
             .build())
-    cv = CrossValidator(estimator=pipeline, evaluator=evaluator(), estimatorParamMaps=grid,
-                        numFolds=folds, seed=seed, parallelism=parallelism)
-    return cv.fit(train).bestModel
+    cv = CrossValidator(estimator=rf, evaluator=evaluator(), estimatorParamMaps=grid,
+                        numFolds=folds, seed=seed, parallelism=parallelism, foldCol="fold")
+    features = Pipeline(stages=feature_stages()).fit(train)
+    ready = features.transform(train).select("features", LABEL, fold.alias("fold"))
+    return PipelineModel([*features.stages, cv.fit(ready).bestModel])
 
 
 def score(model: PipelineModel, sessions: DataFrame) -> DataFrame:
     """All input columns + model outputs + purchase_probability (percent, 2
-    decimals) and predicted_purchase, most likely buyers first."""
+    decimals) and predicted_purchase, most likely buyers first, ties by key."""
     out = model.transform(sessions)
     return (out.select("*",
                        F.round(vector_to_array("probability")[1] * 100, 2).alias("purchase_probability"),
                        F.col("prediction").alias("predicted_purchase"))
-            .orderBy(F.desc("purchase_probability")))
+            .orderBy(F.desc("purchase_probability"), row_key(sessions)))
 
 
 def save(model: PipelineModel, path: str) -> None:

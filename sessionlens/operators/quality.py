@@ -133,5 +133,6 @@ def table_schema(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string")
 
 
-def table_preview(df: DataFrame, n: int = 5) -> DataFrame:
-    return df.limit(n)
+def table_preview(df: DataFrame, n: int = 5, order: str | None = None) -> DataFrame:
+    """The first ``n`` rows, by ``order`` where given (top-k per task)."""
+    return df.limit(n) if order is None else df.orderBy(order).limit(n)

@@ -39,10 +39,12 @@ def reviews_by_country(df: DataFrame) -> DataFrame:
 
 
 def review_tokens(df: DataFrame, text: str = "review_text",
-                  key: str = "session_id") -> DataFrame:
-    """One row per token occurrence: (key, pos, term), whole texts."""
+                  key: str | None = None) -> DataFrame:
+    """One row per token occurrence: (key, pos, term), whole texts. Without a
+    key the ``session_id`` is taken, or none where there is none."""
+    key = key or ("session_id" if "session_id" in df.columns else None)
     return (df.filter(F.col(text).isNotNull())
-            .select(key, F.posexplode(tokens(text)).alias("pos", "term")))
+            .select(*([key] if key else []), F.posexplode(tokens(text)).alias("pos", "term")))
 
 
 def term_counts(df: DataFrame, category: str, text: str = "review_text") -> DataFrame:

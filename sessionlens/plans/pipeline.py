@@ -1,8 +1,9 @@
 """End-to-end batch run: scan -> audit -> clean -> enrich -> stage once ->
 every report -> Parquet sink.
 
-The raw source is read twice (audit + raw mean, then the enriched table);
-the enriched table is staged once and every result reads the staged copy.
+The raw source is read by the null audit, the row audit, the raw mean and the
+main pass, each with its own columns; the enriched table and the per-user table
+are staged once and every result reads the staged copies.
 With ``stage_how="checkpoint"`` the staged table lives in the cluster's
 ``spark.checkpoint.dir`` so lost executors cost a re-read, not a recompute.
 
@@ -18,7 +19,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sessionlens.operators import clean, features, quality
+from sessionlens.operators import clean, features, quality, segmentation
 from sessionlens.plans import reports
 from sessionlens.plans.staging import stage
 from sessionlens.sources import read_sessions_csv, session_view, write_parquet
@@ -45,18 +46,22 @@ def run(raw: DataFrame, out_dir: str, *, as_of=None, exact: bool = False,
 
     sink("audit", {"null_counts": clean.null_counts(add(raw)), "clean_audit": clean.clean_audit(raw)})
     enriched = stage(features.transform(add(clean.clean_sessions(raw))), how=stage_how)
+    staged = [enriched]
     try:
         write_parquet(enriched, os.path.join(out_dir, "enriched"), partition_by=["year", "month"])
         written["enriched"] = os.path.join(out_dir, "enriched")
         sink("descriptive", reports.descriptive_report(enriched))
         sink("temporal", reports.temporal_report(enriched))
-        sink("segmentation", reports.segmentation_report(enriched, as_of=as_of, exact=exact))
+        metrics = stage(segmentation.user_metrics(enriched), how=stage_how)
+        staged.append(metrics)
+        sink("segmentation", reports.segmentation_report(enriched, as_of=as_of, exact=exact, metrics=metrics))
         sink("reviews", reports.review_report(enriched))
         sink("dashboard", reports.dashboard(enriched))
         sink("quality", {"profile": quality.data_quality(enriched, exact=exact)})
     finally:
         if stage_how == "persist":
-            enriched.unpersist()
+            for df in staged:
+                df.unpersist()
     return written
 
 
@@ -68,9 +73,11 @@ def main() -> None:
     ap.add_argument("--out", required=True)
     ap.add_argument("--as-of", default=None)
     ap.add_argument("--exact", action="store_true")
+    ap.add_argument("--zone", default="UTC", help="time zone of hours, days and months")
     ap.add_argument("--stage", default="persist", choices=["persist", "checkpoint", "none"])
     args = ap.parse_args()
     spark = (SparkSession.builder.appName("sessionlens")
+             .config("spark.sql.session.timeZone", args.zone)
              .config("spark.ui.enabled", "false").getOrCreate())
     if args.csv:
         raw, attach = read_sessions_csv(spark, args.csv), None

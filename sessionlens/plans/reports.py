@@ -33,8 +33,11 @@ def temporal_report(df: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def segmentation_report(df: DataFrame, *, as_of=None, exact: bool = False) -> dict[str, DataFrame]:
-    metrics = segmentation.user_metrics(df)
+def segmentation_report(df: DataFrame, *, as_of=None, exact: bool = False,
+                        metrics: DataFrame | None = None) -> dict[str, DataFrame]:
+    """``metrics``: a staged ``user_metrics(df)``, read by five of the results
+    and each cut-point pass; without it each result derives its own."""
+    metrics = segmentation.user_metrics(df) if metrics is None else metrics
     behaviour = segmentation.behavior_segments(metrics)
     scored = segmentation.rfm_scores(segmentation.rfm_base(metrics, as_of), exact=exact)
     labelled = segmentation.rfm_segments(scored)

@@ -82,3 +82,15 @@ def test_session_number_never_partitions_rows_by_user_alone(spark):
     # the one user-keyed shuffle feeds the offsets window over the narrow size table
     assert shuffles.count(["_u_null", "_u"]) == 1
     assert len(re.findall(r"Window \[row_number", plan)) == 1
+
+
+def test_data_quality_shuffles_no_text(spark):
+    df = E.queries()["data_quality"](spark, SF)
+    plan = _plan(df)
+    assert "Expand" not in plan and "ExistingRDD" not in plan
+    df.collect()
+
+
+def test_exact_quantiles_group_only_inside_brackets(spark):
+    plan = _plan(E.queries()["cap_outliers"](spark, SF))
+    assert "percentile_approx" in plan and "ExistingRDD" not in plan and "rangepartitioning" not in plan
