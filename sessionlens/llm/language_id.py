@@ -45,15 +45,17 @@ _LETTER = regex.compile(r"\p{L}")
 
 def grams(text: str, symbols: np.ndarray, base: int) -> np.ndarray:
     """Codes of all 1- to 3-grams of the text, repeats included."""
-    parts = []
+    parts, last = [], np.zeros(0, np.int32)
     for start in range(0, len(text), BLOCK):
-        block = text[max(0, start - 2):start + BLOCK].lower()
+        block = text[start:start + BLOCK].lower()
         s = symbols[np.frombuffer(block.encode("utf-32-le", "surrogatepass"), "<u4")].astype(np.int32)
+        s = np.concatenate([last, s])
         keep = np.ones(len(s), bool)
         keep[1:] = (s[1:] != 0) | (s[:-1] != 0)   # runs of separators are one
         s = s[keep]
         pair = s[:-1] * base + s[1:]
         parts += [s, base + pair, base + base * base + pair[:-1] * base + s[2:]]
+        last = s[-2:]
     return np.concatenate(parts) if parts else np.zeros(0, np.int32)
 
 
