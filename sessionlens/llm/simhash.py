@@ -235,16 +235,17 @@ def links(nodes: DataFrame, scratch: Scratch, radius: int = RADIUS, shard: int =
 def classes(docs: DataFrame, *, shingle: int = SHINGLE, radius: int = RADIUS, shard: int = SHARD,
             text: str = "text") -> DataFrame:
     """One row per document: doc_id, fp, component_id (the smallest id reachable)."""
-    scratch = Scratch(docs.sparkSession, "simhash")
-    marked = scratch.write(fingerprints(docs, shingle=shingle, text=text), "fingerprints")
-    nodes = scratch.write(marked.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "nodes")
-    edges = scratch.write(links(nodes.select("fp"), scratch, radius, shard), "links")
-    labels = connected_components(edges, scratch)
+    result, work = Scratch(docs.sparkSession, "simhash"), Scratch(docs.sparkSession, "simhash-work")
+    marked = result.write(fingerprints(docs, shingle=shingle, text=text), "fingerprints")
+    nodes = work.write(marked.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "nodes")
+    edges = work.write(links(nodes.select("fp"), work, radius, shard), "links")
+    labels = connected_components(edges, work)
     labelled = (nodes.join(labels, nodes.fp == labels.node, "left")
                 .select("fp", "least_id", F.coalesce("label", "fp").alias("label")))
     leaders = labelled.groupBy(F.col("label").alias("of")).agg(F.min("least_id").alias("component_id"))
-    found = scratch.write(labelled.join(leaders, F.col("label") == F.col("of")).select("fp", "component_id"),
-                          "classes")
+    found = result.write(labelled.join(leaders, F.col("label") == F.col("of")).select("fp", "component_id"),
+                         "classes")
+    work.drop()
     return marked.join(found, "fp").select("doc_id", "fp", "component_id")
 
 
