@@ -40,8 +40,7 @@ END = 0
 SHARD_TOKENS = 1 << 21
 BLOCK = 512                # bits per rank block
 MAGIC = b"WMX1"
-CACHED_CHUNKS = 1_000_000  # distinct chunks kept per worker, at most
-CACHED_PIECES = 800_000    # and pieces of them
+CACHED_CHUNKS = 2_000_000  # distinct chunks kept per worker, at most
 CACHED_LENGTH = 48
 
 
@@ -78,7 +77,6 @@ class Encoder:
                          and pre.get("use_regex") and not pre.get("add_prefix_space"))
         self.letters = _byte_letters()
         self.chunks = _Cache(self._chunk, CACHED_CHUNKS)
-        self.pieces = _Cache(self._piece, CACHED_PIECES)
 
     def _pack(self, ids) -> bytes:
         if sys.byteorder == "little":
@@ -86,12 +84,16 @@ class Encoder:
         return np.array(ids, self.dtype).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        spelled = piece.encode().decode("latin-1").translate(self.letters)
+        word = piece[1:]
+        if piece[0] == " " and word.isascii() and word.isalnum():
+            spelled = self.letters[0x20] + word
+        else:
+            spelled = piece.encode().decode("latin-1").translate(self.letters)
         return self._pack([t.id for t in self.model.tokenize(spelled)])
 
     def _chunk(self, chunk: str) -> bytes:
         if self._PLAIN.fullmatch(chunk):
-            return b"".join(map(self.pieces.__getitem__, self._PIECE.findall(chunk)))
+            return b"".join(map(self._piece, self._PIECE.findall(chunk)))
         return self._pack(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
 
     def __call__(self, text: str | None) -> bytes:
@@ -159,9 +161,9 @@ class WaveletMatrix:
                                    dtype=np.uint32) if n else np.zeros(0, np.uint32)
             ranks.append(np.concatenate([np.zeros(1, np.uint32), np.cumsum(ones, dtype=np.uint32)]))
             planes.append(packed)
-            left = ids[~bit]
+            left = ids.take(np.flatnonzero(~bit))  # several times faster than by mask
             zeros.append(len(left))
-            ids = np.concatenate([left, ids[bit]])
+            ids = np.concatenate([left, ids.take(np.flatnonzero(bit))])
         return cls(n, planes, zeros, ranks)
 
     def all(self, dtype=np.uint32) -> np.ndarray:
@@ -170,8 +172,8 @@ class WaveletMatrix:
         for level in range(self.levels - 1, -1, -1):
             bit = np.unpackbits(self.planes[level], count=self.n).view(bool)
             before = np.empty(self.n, dtype)
-            before[~bit] = ids[:self.zeros[level]]
-            before[bit] = ids[self.zeros[level]:] | dtype(1 << (self.levels - 1 - level))
+            before[np.flatnonzero(~bit)] = ids[:self.zeros[level]]
+            before[np.flatnonzero(bit)] = ids[self.zeros[level]:] | dtype(1 << (self.levels - 1 - level))
             ids = before
         return ids
 
