@@ -76,7 +76,8 @@ class Encoder:
                          and spec.get("normalizer") is None and pre.get("type") == "ByteLevel"
                          and pre.get("use_regex") and not pre.get("add_prefix_space"))
         self.letters = _byte_letters()
-        self.chunks = _Cache(self._chunk, CACHED_CHUNKS)
+        self.chunks = _Cache(self._chunk, CACHED_CHUNKS // 2)
+        self.words = _Cache(self._word, CACHED_CHUNKS)
 
     def _pack(self, ids) -> bytes:
         if sys.byteorder == "little":
@@ -96,17 +97,26 @@ class Encoder:
             return b"".join(map(self._piece, self._PIECE.findall(chunk)))
         return self._pack(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
 
+    def _word(self, word: str) -> bytes:
+        """The ids of a space and a word after it."""
+        chunk = " " + word
+        return self._piece(chunk) if word.isascii() and word.isalpha() else self._chunk(chunk)
+
     def __call__(self, text: str | None) -> bytes:
         """The ids, packed."""
         if not text:
             return b""
         if not self.by_chunk or any(s in text for s in self.specials):
             return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        if "\0" in text or self._AFTER_SPACE.search(text):
-            parts = self._CUT.split(text)
-        else:
-            parts = text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
-        return b"".join(map(self.chunks.__getitem__, parts))
+        if self._AFTER_SPACE.search(text):
+            return b"".join(map(self.chunks.__getitem__, self._CUT.split(text)))
+        out, start = [], ""
+        for line in text.split("\n"):
+            first, *words = line.split(" ")
+            out.append(self.chunks[start + first])
+            out += map(self.words.__getitem__, words)
+            start = "\n"
+        return b"".join(out)
 
 
 class _Cache(dict):
