@@ -59,7 +59,6 @@ class Encoder:
     _PLAIN = re.compile(r"[\x20-\x7e\nÀ-ÖØ-öø-ÿ]*")
     _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+"
                         r"| ?[^\sA-Za-zÀ-ÖØ-öø-ÿ0-9]+|\s+(?!\S)|\s+")
-    _AFTER_SPACE = re.compile(r"\s[ \n]")
     _CUT = re.compile(r"(?<=\S)(?=[ \n])")
 
     def __init__(self, path: str):
@@ -98,7 +97,9 @@ class Encoder:
         return self._pack(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
 
     def _word(self, word: str) -> bytes:
-        """The ids of a space and a word after it."""
+        """The ids of a space and a word after it. No cut follows white space."""
+        if not word or word[-1].isspace():
+            raise _NoCut
         chunk = " " + word
         return self._piece(chunk) if word.isascii() and word.isalpha() else self._chunk(chunk)
 
@@ -108,15 +109,25 @@ class Encoder:
             return b""
         if not self.by_chunk or any(s in text for s in self.specials):
             return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        if self._AFTER_SPACE.search(text):
+        try:
+            return b"".join(self._by_word(text))
+        except _NoCut:
             return b"".join(map(self.chunks.__getitem__, self._CUT.split(text)))
+
+    def _by_word(self, text: str) -> list[bytes]:
         out, start = [], ""
         for line in text.split("\n"):
             first, *words = line.split(" ")
+            if not first or first[-1].isspace():
+                raise _NoCut
             out.append(self.chunks[start + first])
             out += map(self.words.__getitem__, words)
             start = "\n"
-        return b"".join(out)
+        return out
+
+
+class _NoCut(Exception):
+    """A space or line break follows white space, so the text isn't cut there."""
 
 
 class _Cache(dict):
