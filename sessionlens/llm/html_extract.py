@@ -14,9 +14,8 @@ adverts, forms and comments by their tag, role or class.
 
 Vectors are compared by two 30-bit sums of page hashes times counts, which
 add up before any shuffle: a host with a third of all pages is no large group.
-Template text inside an article goes only when it is on ``EVERYWHERE`` of at
-least ``MANY_PAGES`` pages and the article says something else too, so copied
-articles and shared passages stay.
+Template text goes only outside articles: what a page marks as its article
+stays whole, however many pages of the host repeat it.
 
 Cases: null or empty html gives an empty text. A null url is a host of its
 own. Repeated pages are extracted each. Unclosed and cut-off markup ends with
@@ -42,7 +41,6 @@ from .common import Scratch, map_arrow
 CLASS_SIZE = 3
 SUPPORT = 0.2
 MIN_PAGES = 2
-EVERYWHERE, MANY_PAGES = 0.9, 8
 
 # Names of elements and the words of class, id and role that mark them.
 RAW = ("script", "style", "noscript", "template", "iframe", "textarea", "svg", "math", "object", "title", "select")
@@ -139,9 +137,9 @@ class Page:
                 if name in MAIN and not boiler:
                     main = self.has_main = True
 
-    def text(self, template: dict[int, bool]) -> str:
-        """Main text. ``template``: places of template tokens, and whether they
-        are on nearly all of very many pages. A block goes only as a whole."""
+    def text(self, template: set[int]) -> str:
+        """Main text. ``template``: places of template tokens. A block goes only
+        as a whole, and none of an article."""
         blocks: list[list[tuple[int, str]]] = [[]]
         last = None
         for k, (at, said, main, boiler) in enumerate(self.texts):
@@ -154,21 +152,21 @@ class Page:
 
         def fixed(block):
             places = [at for at, _ in block if at >= 0]
-            return places and all(template.get(at, False) if self.has_main else at in template for at in places)
-        slots = [x for x in blocks if not fixed(x)]
+            return places and all(at in template for at in places)
+        slots = blocks if self.has_main else [x for x in blocks if not fixed(x)]
         if not any(at >= 0 for block in slots for at, _ in block):
             slots = blocks
         return " ".join(" ".join("".join(said for _, said in block) for block in slots).split())
 
 
-def valid_places(page: Page, classes: list) -> dict[int, bool]:
+def valid_places(page: Page, classes: list) -> set[int]:
     """Places of tokens of the classes that are ordered and nested on the page."""
     where: dict[int, list[int]] = {}
     for at, token in enumerate(page.tokens):
         where.setdefault(token, []).append(at)
     accepted: list[np.ndarray] = []
-    out: dict[int, bool] = {}
-    for everywhere, tokens in classes:
+    out: set[int] = set()
+    for tokens in classes:
         if any(len(where.get(t, ())) != 1 for t in tokens):
             continue
         places = np.array([where[t][0] for t in tokens])
@@ -180,7 +178,7 @@ def valid_places(page: Page, classes: list) -> dict[int, bool]:
             return (gap == gap[0]).all()
         if all(within(places, other) or within(other, places) for other in accepted):
             accepted.append(places)
-            out |= dict.fromkeys(places.tolist(), everywhere)
+            out.update(places.tolist())
     return out
 
 
@@ -234,18 +232,16 @@ def templates(prepared: DataFrame) -> DataFrame:
                 .where(F.col("pages") >= SUPPORT * F.col("n")))
     member = F.struct((F.col("place") / F.col("pages")).alias("place"), "token")
     # the tokens of a class are on the same pages, so a class is no larger than a page
-    classes = (frequent.groupBy("host", "pages", "v1", "v2", "n")
+    classes = (frequent.groupBy("host", "pages", "v1", "v2")
                .agg(F.sort_array(F.collect_list(member)).alias("members"))
                .where(F.size("members") >= CLASS_SIZE))
-    everywhere = (F.col("pages") >= EVERYWHERE * F.col("n")) & (F.col("n") >= MANY_PAGES)
-    one = F.struct(F.col("pages").alias("p"), F.size("members").alias("s"), everywhere.alias("e"),
-                   F.col("members.token").alias("t"))
+    one = F.struct(F.col("pages").alias("p"), F.size("members").alias("s"), F.col("members.token").alias("t"))
     return classes.groupBy("host").agg(F.to_json(F.sort_array(F.collect_list(one), asc=False)).alias("template"))
 
 
 @lru_cache(maxsize=2_000)
 def _classes(template: str | None) -> list:
-    return [(c["e"], c["t"]) for c in json.loads(template)] if template else []
+    return [c["t"] for c in json.loads(template)] if template else []
 
 
 def extract(pages: DataFrame) -> DataFrame:

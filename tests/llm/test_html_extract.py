@@ -46,6 +46,14 @@ def test_copies_and_shared_passages_inside_articles_stay(spark):
     assert got[20:] == [f"t{k} shared passage" if k % 2 else f"t{k} own {k}" for k in range(20)]
 
 
+@pytest.mark.parametrize("n", [7, 8, 100])
+def test_near_copies_inside_articles_stay(spark, n):
+    frame = ("<html><body><div><p>Top</p><p>Menu</p></div><{0}><h1>On day {1}</h1><p>First part</p><p>Second part</p>"
+             "<p>Third part</p></{0}><div><p>Terms</p></div></body></html>")
+    pages = [(f"http://{tag}.org/{k}", frame.format(tag, k)) for tag in ("article", "main") for k in range(n)]
+    assert extract(spark, pages) == [f"On day {k} First part Second part Third part" for k in range(n)] * 2
+
+
 @pytest.mark.parametrize("source, want", [
     (None, ""), ("", ""), ("plain &lt;b&gt; text", "plain <b> text"),
     ('<body class="has-sidebar"><header><h1>Site</h1></header><div id="cookie-notice">c</div><nav>n</nav>'
