@@ -4,8 +4,8 @@ A page is a row of tokens: tags and text nodes, each told apart by the chain
 of containers above it. Over the pages of a host every token has an occurrence
 vector (how often it occurs on each page). Tokens with equal vectors form an
 equivalence class; a class is large and frequent enough to be template when it
-has ``CLASS_SIZE`` tokens, one a page, on ``SUPPORT`` of the host's pages. On a
-page a class is valid when its tokens come in the class's order, and classes
+has ``CLASS_SIZE`` tokens, one a page, on more than ``MOST`` of the host's distinct
+bodies, and on ``MIN_PAGES`` at least. On a page a class is valid when its tokens come in the class's order, and classes
 are nested: one lies within one gap of the other. What valid classes leave
 open are the slots, and the main text is the slots' text inside the article
 (the page's ``article`` or ``main`` elements, or the body without them), less
@@ -14,6 +14,10 @@ adverts, forms and comments by their tag, role or class.
 
 Vectors are compared by two 30-bit sums of page hashes times counts, which
 add up before any shuffle: a host with a third of all pages is no large group.
+A copy counts once: pages with the same tokens are one body, and so are pages
+with the same longest text of whose text ``NEAR`` or more is on other bodies too.
+Where unmarked menus hold so much of the text of nearly all pages, or a host has
+fewer than ``MIN_PAGES`` bodies, menus cannot be told from copies and stay.
 Template text goes only outside articles: what a page marks as its article
 stays whole, however many pages of the host repeat it.
 
@@ -39,8 +43,9 @@ from xxhash import xxh64_intdigest
 from .common import Scratch, map_arrow
 
 CLASS_SIZE = 3
-SUPPORT = 0.2
-MIN_PAGES = 2
+MOST = 0.5
+MIN_PAGES = 3
+NEAR = 0.8
 
 # Names of elements and the words of class, id and role that mark them.
 RAW = ("script", "style", "noscript", "template", "iframe", "textarea", "svg", "math", "object", "title", "select")
@@ -137,6 +142,14 @@ class Page:
                 if name in MAIN and not boiler:
                     main = self.has_main = True
 
+    def sizes(self) -> list[int]:
+        """Per token the code points that it may give to the main text."""
+        out = [0] * len(self.tokens)
+        for at, said, main, boiler in self.texts:
+            if at >= 0 and not boiler and (main or not self.has_main):
+                out[at] = len(" ".join(said.split()))
+        return out
+
     def text(self, template: set[int]) -> str:
         """Main text. ``template``: places of template tokens. A block goes only
         as a whole, and none of an article."""
@@ -189,18 +202,58 @@ def _prepared(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", "html", host.alias("host"))
 
 
-def occurrence_sums(prepared: DataFrame) -> DataFrame:
+def bodies(prepared: DataFrame) -> DataFrame:
+    """(host, body, tokens, sizes): each page's tokens, equal ones of a host once."""
+    def run(batches):
+        for batch in batches:
+            found: dict[tuple[str, int], tuple] = {}
+            for source, host in zip(*(batch.column(i).to_pylist() for i in range(2))):
+                page = Page(source)
+                tokens = np.array(page.tokens, dtype=np.int64)
+                body = xxh64_intdigest(tokens.tobytes()) >> 1
+                if (host, body) not in found:
+                    found[host, body] = tokens, np.array(page.sizes(), dtype=np.int32)
+            if found:
+                hosts, keys = zip(*found)
+                tokens, sizes = zip(*found.values())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(hosts, pa.string()), pa.array(keys, pa.int64()),
+                     pa.array(tokens, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int32()))],
+                    names=["host", "body", "tokens", "sizes"])
+    pages = map_arrow(prepared.select("html", "host"), run, "host string, body long, tokens array<long>, sizes array<int>")
+    return pages.groupBy("host", "body").agg(F.first("tokens").alias("tokens"), F.min("sizes").alias("sizes"))
+
+
+def distinct_bodies(found: DataFrame) -> DataFrame:
+    """(host, body, tokens): one body of each group of near copies, and all others."""
+    place = F.explode(F.arrays_zip("tokens", "sizes")).alias("at")
+    texts = (found.select("host", "body", place).select("host", "body", "at.tokens", "at.sizes")
+             .where(F.col("sizes") > 0))
+    alone = (texts.groupBy("host", "tokens")
+             .agg(F.min("body").alias("least"), F.max("body").alias("most"), F.sum("sizes").alias("size"))
+             .where(F.col("least") == F.col("most")))
+    own = alone.groupBy(F.col("host").alias("of"), F.col("least").alias("is")).agg(F.sum("size").alias("own"))
+    size = F.aggregate("sizes", F.lit(0).cast("long"), lambda total, x: total + x)
+    longest = F.element_at("tokens", F.array_position("sizes", F.array_max("sizes")).cast("int"))
+    near = F.coalesce("own", F.lit(0)) <= F.lit(1 - NEAR) * F.col("size")
+    group = F.when(near & (F.col("size") > 0), longest).otherwise(F.col("body"))
+    return (found.withColumn("size", size)
+            .join(own, (F.col("host") == F.col("of")) & (F.col("body") == F.col("is")), "left")
+            .groupBy("host", group.alias("group"))
+            .agg(F.min(F.struct("body", "tokens")).alias("one")).select("host", "one.body", "one.tokens"))
+
+
+def occurrence_sums(found: DataFrame) -> DataFrame:
     """(host, token, pages, total, v1, v2, place): partial sums per slice of rows."""
     def run(batches):
         for batch in batches:
             sums: dict[tuple[str, int], list] = {}
-            for page_id, source, host in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                page = Page(source)
-                h = xxh64_intdigest(f"{page_id} {source}")
+            for host, body, tokens in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                h = xxh64_intdigest(str(body))
                 h1, h2 = h & 0x3FFFFFFF, h >> 34
-                size = max(1, len(page.tokens))
+                size = max(1, len(tokens))
                 counts: dict[int, list] = {}
-                for at, token in enumerate(page.tokens):
+                for at, token in enumerate(tokens):
                     got = counts.setdefault(token, [0, 0.0])
                     got[0] += 1
                     got[1] += at / size
@@ -217,19 +270,19 @@ def occurrence_sums(prepared: DataFrame) -> DataFrame:
                     [pa.array(hosts, pa.string()), pa.array(tokens, pa.int64()),
                      *(pa.array(c) for c in zip(*sums.values()))],
                     names=["host", "token", "pages", "total", "v1", "v2", "place"])
-    return map_arrow(prepared.select("page_id", "html", "host"), run,
+    return map_arrow(found.select("host", "body", "tokens"), run,
                      "host string, token long, pages long, total long, v1 long, v2 long, place double")
 
 
-def templates(prepared: DataFrame) -> DataFrame:
+def templates(found: DataFrame) -> DataFrame:
     """(host, template): per host its equivalence classes as JSON, the most
     frequent and largest first, tokens in template order."""
-    sums = (occurrence_sums(prepared).groupBy("host", "token")
+    sums = (occurrence_sums(found).groupBy("host", "token")
             .agg(*(F.sum(c).alias(c) for c in ("pages", "total", "v1", "v2", "place"))))
-    hosts = prepared.groupBy(F.col("host").alias("of")).agg(F.count(F.lit(1)).alias("n"))
+    hosts = found.groupBy(F.col("host").alias("of")).agg(F.count(F.lit(1)).alias("n"))
     once = sums.where((F.col("pages") == F.col("total")) & (F.col("pages") >= MIN_PAGES))
     frequent = (once.join(hosts, F.col("host") == F.col("of"))
-                .where(F.col("pages") >= SUPPORT * F.col("n")))
+                .where(F.col("pages") > MOST * F.col("n")))
     member = F.struct((F.col("place") / F.col("pages")).alias("place"), "token")
     # the tokens of a class are on the same pages, so a class is no larger than a page
     classes = (frequent.groupBy("host", "pages", "v1", "v2")
@@ -247,7 +300,12 @@ def _classes(template: str | None) -> list:
 def extract(pages: DataFrame) -> DataFrame:
     """Per page: page_id, url, text (main text), n_chars (its code points)."""
     prepared = _prepared(pages)
-    found = Scratch(pages.sparkSession, "templates").write(templates(prepared), "templates")
+    scratch = Scratch(pages.sparkSession, "templates")
+    read = scratch.write(bodies(prepared), "bodies")
+    distinct = scratch.write(distinct_bodies(read), "distinct")
+    found = scratch.write(templates(distinct), "templates")
+    scratch.drop("bodies")
+    scratch.drop("distinct")
     # one template row per host: small tables are broadcast by their size, else
     # the shuffled join is split where a host is hot
     joined = prepared.join(found.withColumnRenamed("host", "of"), F.col("host") == F.col("of"), "left")

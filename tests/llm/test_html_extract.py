@@ -54,6 +54,36 @@ def test_near_copies_inside_articles_stay(spark, n):
     assert extract(spark, pages) == [f"On day {k} First part Second part Third part" for k in range(n)] * 2
 
 
+def plain(texts):
+    body = "".join(f"<p>{t}</p>" for t in texts)
+    return (f"<html><body><div><p>Home</p><p>News</p></div><div><p>All about us</p></div><div>{body}</div>"
+            f"<div><p>Terms</p><p>Made by us</p></div></body></html>")
+
+
+def own(k, n=3):
+    return [f"Part {i} of a story told on page {k} and nowhere else" for i in range(n)]
+
+
+@pytest.mark.parametrize("copies, others", [(2, 8), (2, 2), (4, 12), (2, 6), (7, 3)])
+def test_copies_without_semantic_tags(spark, copies, others):
+    shared = [f"A long passage, number {i}, that some pages of the host have in common" for i in range(3)]
+    hosts = {"exact.org": [shared] * copies,
+             "near.org": [[f"Day {k}", *shared] for k in range(copies)],
+             "passage.org": [[*own(f"c{k}", 9), *shared] for k in range(min(copies, others))]}
+    pages = [(f"http://{host}/", texts) for host, copied in hosts.items()
+             for texts in copied + [own(f"o{k}") for k in range(others)]]
+    got = extract(spark, [(url, plain(texts)) for url, texts in pages])
+    assert got == [" ".join(texts) for _, texts in pages]
+
+
+def test_few_bodies_deduce_no_template(spark):
+    pages = [("http://two.org/", plain(own(k))) for k in range(2)]
+    pages += [("http://near.org/", plain([f"Day {k}", *own("x", 6)])) for k in range(9)]
+    got = extract(spark, pages)
+    assert got[:2] == [f"Home News All about us {' '.join(own(k))} Terms Made by us" for k in range(2)]
+    assert got[2:] == [f"Home News All about us Day {k} {' '.join(own('x', 6))} Terms Made by us" for k in range(9)]
+
+
 @pytest.mark.parametrize("source, want", [
     (None, ""), ("", ""), ("plain &lt;b&gt; text", "plain <b> text"),
     ('<body class="has-sidebar"><header><h1>Site</h1></header><div id="cookie-notice">c</div><nav>n</nav>'
