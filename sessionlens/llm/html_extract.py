@@ -48,7 +48,8 @@ MIN_PAGES = 3
 NEAR = 0.8
 
 # Names of elements and the words of class, id and role that mark them.
-RAW = ("script", "style", "noscript", "template", "iframe", "textarea", "svg", "math", "object", "title", "select")
+RAW = ("script", "style", "textarea", "title", "iframe")  # without an end tag they last to the end of the page
+WHOLE = ("noscript", "template", "svg", "math", "object", "select")  # without one they are tags like others
 BOILERPLATE = {"head", "nav", "footer", "aside", "form", "dialog", "button", "menu", "fieldset"}
 OUTER_BOILERPLATE = {"header"}
 MAIN = {"article", "main"}
@@ -67,10 +68,11 @@ OUTER_MARKED = re.compile(r"(?:^|[\s_-])(?:header|masthead|banner|topbar)(?:$|[\
 
 _LEX = re.compile(
     r"<!--.*?(?:-->|$)"
-    r"|<(" + "|".join(RAW) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|$)"
+    r"|<(" + "|".join(RAW) + r")(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1(?=[\s/>])[^>]*>|$)"
     r"|(</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>)"
     r"|<[/!?a-zA-Z][^>]*(?:>|$)"
     r"|([^<]+|<)", re.S | re.I)
+_WHOLE_TAG = re.compile(r"<(/?)(" + "|".join(WHOLE) + r")(?=[\s/>])", re.I)
 _ATTRIBUTE = re.compile(r"\s(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HOST = re.compile(r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", re.I)
 _WHOLE, _INNER = 1, 2  # boilerplate everywhere; boilerplate only outside the article
@@ -97,6 +99,30 @@ def _tag(tag: str) -> tuple[str, bool, int, str]:
     return name, False, kind, f"{name} {marks}"
 
 
+def _lexed(source: str) -> list[re.Match]:
+    """Tags, text and comments; of a WHOLE element that has its end tag only the start tag."""
+    found = list(_LEX.finditer(source))
+    ends: dict[int, int] = {}
+    opened: dict[str, list[int]] = {}
+    for k, m in enumerate(found):
+        if m[2] and (tag := _WHOLE_TAG.match(m[2])):
+            name = tag[2].lower()
+            if not tag[1]:
+                if m[2].endswith("/>") and name in ("svg", "math"):
+                    ends[k] = k
+                else:
+                    opened.setdefault(name, []).append(k)
+            elif opened.get(name):
+                ends[opened[name].pop()] = k
+    if not ends:
+        return found
+    out, k = [], 0
+    while k < len(found):
+        out.append(found[k])
+        k = ends.get(k, k) + 1
+    return out
+
+
 class Page:
     """Tokens of a page in order, and its text pieces."""
 
@@ -108,7 +134,7 @@ class Page:
         stack: list[tuple[str, int, bool, bool]] = []       # name, path, in main, in boilerplate
         open_names: dict[str, int] = {}
         path, main, boiler = 0, False, False
-        for m in _LEX.finditer(source or ""):
+        for m in _lexed(source or ""):
             tag, text = m[2], m[3]
             if text is not None:
                 said = _html.unescape(text)
@@ -123,6 +149,9 @@ class Page:
                     self.breaks.add(len(self.texts))
                 continue
             name, closing, kind, marked = _tag(tag)
+            if name in WHOLE:
+                self.breaks.add(len(self.texts))
+                continue
             if name not in INLINE:
                 self.breaks.add(len(self.texts))
             self.tokens.append(xxh64_intdigest(("/" if closing else "") + marked, path) >> 1)

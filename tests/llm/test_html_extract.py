@@ -84,6 +84,24 @@ def test_few_bodies_deduce_no_template(spark):
     assert got[2:] == [f"Home News All about us Day {k} {' '.join(own('x', 6))} Terms Made by us" for k in range(9)]
 
 
+@pytest.mark.parametrize("markup, said", [
+    ("<svg/>", ""), ("<math />", ""), ("<svg><g/><svg/><text>s</text></svg>", ""), ("<svg><svg>a</svg>b</svg>", ""),
+    ("<select><option>a", "a"), ("<object data=x>", ""), ("<select><option>a<select><option>b</select>", "a"),
+    ("<svg-icon>i</svg-icon>", "i"), ("<object-view></object-view>", ""), ("<title-bar>t</title-bar>", "t"),
+    ("<style-guide>g</style-guide>", "g"), ("<noscript>n</noscript>", ""), ("<template><p>t</p></template>", ""),
+    ("<script>a</scripts>b</script >", ""), ("<textarea>a<p>b</textarea>", ""), ("</select></svg>", ""),
+    ("<!-- <svg> --><SVG>x</SVG>", ""),
+])
+def test_text_after_unclosed_and_custom_elements_stays(markup, said):
+    page = H.Page(f"<p>one</p>{markup}<p>two</p>")
+    assert page.text(set()).split() == ["one", *said.split(), "two"]
+
+
+def test_raw_text_without_its_end_tag_lasts_to_the_end():
+    assert H.Page("<p>one</p><script>a<p>two</p>").text(set()) == "one"
+    assert H.Page("<article><p>one</p><select><option>a</article>").text(set()) == "one a"
+
+
 @pytest.mark.parametrize("source, want", [
     (None, ""), ("", ""), ("plain &lt;b&gt; text", "plain <b> text"),
     ('<body class="has-sidebar"><header><h1>Site</h1></header><div id="cookie-notice">c</div><nav>n</nav>'
