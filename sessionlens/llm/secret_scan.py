@@ -47,7 +47,8 @@ BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
 HEX_ANY = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{78,}")
 JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
 OPENSSH_MAGIC = b"openssh-key-v1\0"
-SHORTEST = 20  # no run that the access, hex or structural scans can take is shorter
+SHORTEST = 20  # no run that the access or hex scans can take is shorter
+LONG = 40  # nor one that the base64 and DER in hex scans can take; tokens may be
 
 
 def base_spans(text: str, longest: int | None = None) -> list[tuple[int, int, str]]:
@@ -153,7 +154,7 @@ def is_jwt(header: str, payload: str, signature: str) -> bool:
     return (signature == "") if head["alg"].lower() == "none" else bool(_b64(signature))
 
 
-def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
+def confirmed_spans(text: str, longest: int | None = None) -> list[tuple[int, int, str]]:
     """Spans whose decoded content has the structure of a key or token."""
     out, taken = [], []
     if "PRIVATE KEY-----" in text:
@@ -171,6 +172,8 @@ def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
         for m in JWT.finditer(text):
             if free(m) and is_jwt(m[1], m[2], m[3]):
                 out.append((m.start(), m.end(), "jwt"))
+    if longest is not None and longest < LONG:
+        return out
     for m in BASE64.finditer(text):
         if m[0][0] in "Mb" and free(m):
             blob = _b64(m[0])
@@ -195,7 +198,7 @@ def find_spans(text: str) -> tuple[list, list]:
     """Base spans and all spans, each by start, then kind as listed."""
     longest = max(map(len, text.split()), default=0)
     base = sorted(base_spans(text, longest), key=_key)
-    more = confirmed_spans(text) if longest >= 40 or "PRIVATE KEY-----" in text else []
+    more = confirmed_spans(text, longest)
     return base, sorted(base + more, key=_key)
 
 

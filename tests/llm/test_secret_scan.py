@@ -63,6 +63,13 @@ def test_confirmed_structures():
     assert S.find_spans(text)[1] == [(4, 4 + len(pem), "pem")]
 
 
+def test_short_tokens_need_no_long_run_beside_them():
+    for token in ("eyJhbGciOiJub25lIn0.e30.", f"{url({'alg': 'HS256'})}.e30.c2ln"):
+        assert len(token) < S.LONG
+        assert S.find_spans(f"a {token} b")[1] == [(2, 2 + len(token), "jwt")]
+        assert S.masked(f"a {token} b") == "a [jwt] b"
+
+
 def test_what_has_no_structure_is_not_reported():
     wrong = bytearray(RSA)
     wrong[3] ^= 1  # the outer length no longer fits
