@@ -173,13 +173,15 @@ def _csv_enriched(spark, sf_dir):
 
 
 def _report(build):
-    """A report's results by name, with their row counts."""
+    """All rows of a report's results, each with its result's name; the columns
+    that a result does not have are null. The text of ``stats`` is read as numbers."""
     def run(spark, sf_dir):
-        parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("result"), "rows")
-                 for name, df in build(enriched(spark, sf_dir, text=True)).items() if name != "stats"]
-        out = parts[0]
-        for part in parts[1:]:
-            out = out.unionByName(part)
+        out = None
+        for name, df in build(enriched(spark, sf_dir, text=True)).items():
+            if name == "stats":
+                df = df.select("summary", *(F.col(c).cast("double").alias(c) for c in df.columns if c != "summary"))
+            part = df.select(F.lit(name).alias("result"), "*")
+            out = part if out is None else out.unionByName(part, allowMissingColumns=True)
         return out
     return run
 

@@ -204,6 +204,14 @@ def _describe() -> str:
     return q("\nUNION ALL\n".join(parts))
 
 
+def _describe_text() -> str:
+    of = "CASE summary WHEN 'count' THEN CAST(count AS DOUBLE) WHEN 'mean' THEN mean WHEN 'stddev' THEN stddev " \
+         "WHEN 'min' THEN min ELSE max END"
+    cols = ", ".join(f"max({of}) FILTER (column_name = '{c}') AS {c}" for c in DESCRIBE_COLUMNS)
+    return (f"SELECT summary, {cols} FROM ({_describe()}) CROSS JOIN (VALUES ('count'), ('mean'), ('stddev'), ('min'), ('max')) "
+            "AS s(summary) GROUP BY summary")
+
+
 def _correlation() -> str:
     parts = []
     for a in CORRELATION_COLUMNS:
@@ -509,10 +517,10 @@ FROM enriched WHERE NOT (session_id * 7919) % 100 < 70"""),
 SQL["purchase_saved_model"] = SQL["purchase_scores"]
 SQL["csv_enriched"] = f"SELECT {', '.join(c for c in ENRICHED_COLS.replace('session_id, ', '').split(', '))} FROM ({SQL['enriched_sessions']})"
 
-# Reports: the results of each by name, with their columns and row counts.
+# Reports: the results of each by name, with all their rows and columns.
 REPORTS = {
     "descriptive_report": {
-        "statsTyped": "describe_sessions", "categoryDistribution": "category_distribution",
+        "stats": "describe_text", "statsTyped": "describe_sessions", "categoryDistribution": "category_distribution",
         "countryDistribution": "country_distribution", "conversionRate": "conversion_rate",
         "conversionByDevice": "conversion_by_device", "conversionBySessionCategory": "conversion_by_session_category",
         "correlations": "correlation_matrix"},
@@ -531,6 +539,7 @@ REPORTS = {
 
 
 def oracle_sql() -> dict[str, str]:
-    reports = {name: " UNION ALL ".join(f"SELECT '{result}' AS result, count(*) AS rows FROM ({SQL[key]})"
-                                        for result, key in parts.items()) for name, parts in REPORTS.items()}
+    results = SQL | {"describe_text": _describe_text()}
+    reports = {name: " UNION ALL BY NAME ".join(f"SELECT '{result}' AS result, * FROM ({results[key]})"
+                                                for result, key in parts.items()) for name, parts in REPORTS.items()}
     return SQL | reports
