@@ -10,7 +10,8 @@ from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import SparkContext
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
@@ -98,12 +99,18 @@ class Scratch:
     """Written intermediate tables in the shared folder of ``spark.checkpoint.dir``.
 
     A written table cuts lineage, so a lost executor never causes the work
-    before it to run again, and its reads are plain scans.
+    before it to run again, and its reads are plain scans. What is left when
+    Python ends, such as the tables that lazy results read, is deleted then.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.base = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+        atexit.register(self._end, SparkContext._active_spark_context)
+
+    def _end(self, context: SparkContext) -> None:
+        if context is not None and context is SparkContext._active_spark_context:
+            self.drop()
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.base}/{name}"
@@ -113,3 +120,19 @@ class Scratch:
     def drop(self, name: str = "") -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.base}/{name}".rstrip("/"))
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def numbered(rows: DataFrame, order: Sequence[str | Column], scratch: Scratch, name: str,
+             number: str = "at") -> DataFrame:
+    """``rows`` plus ``number``: 0, 1, 2, ... in the order given, rows that are
+    equal in it in any order. Rows are dealt by ranges of the order, equal ones
+    over several ranges where they are many, and numbered from the count of the
+    ranges before, so no task holds more than a range."""
+    dealt = (rows.withColumn("_tie", F.monotonically_increasing_id())
+             .repartitionByRange(*order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie"))
+    placed = scratch.write(dealt.withColumn("_at", F.monotonically_increasing_id()), name)
+    part, inside = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))  # one row per range
+    offsets = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    return (placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+            .select(*rows.columns, (inside + F.col("_before")).alias(number)))
