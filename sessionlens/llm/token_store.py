@@ -27,6 +27,7 @@ from zlib import crc32
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -42,6 +43,9 @@ BLOCK = 512                # bits per rank block
 MAGIC = b"WMX1"
 CACHED_CHUNKS = 2_000_000  # distinct chunks kept per worker, at most
 CACHED_LENGTH = 48
+LONG = 1 << 20             # code points of a text that are cut at once, about
+BATCH_BYTES = 8 << 20      # of texts
+PARTED = 1 << 15           # ids parted at once: what fits near the processor
 
 
 # --- encoding ----------------------------------------------------------------
@@ -51,17 +55,19 @@ class Encoder:
 
     A byte-level BPE tokenizer splits before a space or line break that follows
     a non-space, whatever surrounds it. So the ids of a text are those of the
-    chunks between such places, and frequent chunks are encoded once. Chunks of
-    plain letters, digits and marks go to the library's BPE model piece by
-    piece; any other chunk, and a text that holds a special token, goes through
-    its whole pipeline."""
+    chunks between such places. Texts are cut in Arrow, a batch's distinct chunks
+    are looked up once, and what is not known goes to the library: plain letters
+    and the punctuation after them to its BPE model piece by piece, any other
+    chunk, and a text that holds a special token, through its whole pipeline."""
 
     _PLAIN = re.compile(r"[\x20-\x7e\nÀ-ÖØ-öø-ÿ]*")
     _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+"
                         r"| ?[^\sA-Za-zÀ-ÖØ-öø-ÿ0-9]+|\s+(?!\S)|\s+")
     _CUT = re.compile(r"(?<=\S)(?=[ \n])")
+    _START, _END = "\x01", "\x02"  # stand before and after a text while it is cut
+    _PUNCTUATION = ".,;:!?()\"'-"
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, end: int = END):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.tokenizer = Tokenizer.from_file(path)
@@ -75,7 +81,8 @@ class Encoder:
                          and spec.get("normalizer") is None and pre.get("type") == "ByteLevel"
                          and pre.get("use_regex") and not pre.get("add_prefix_space"))
         self.letters = _byte_letters()
-        self.chunks = _Cache(self._chunk, CACHED_CHUNKS // 2)
+        self.closing = self._pack([end])
+        self.pieces = _Cache(self._piece, 1 << 16)
         self.words = _Cache(self._word, CACHED_CHUNKS)
 
     def _pack(self, ids) -> bytes:
@@ -84,50 +91,97 @@ class Encoder:
         return np.array(ids, self.dtype).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        word = piece[1:]
-        if piece[0] == " " and word.isascii() and word.isalnum():
-            spelled = self.letters[0x20] + word
-        else:
-            spelled = piece.encode().decode("latin-1").translate(self.letters)
-        return self._pack([t.id for t in self.model.tokenize(spelled)])
+        return self._pack([t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))])
 
     def _chunk(self, chunk: str) -> bytes:
         if self._PLAIN.fullmatch(chunk):
             return b"".join(map(self._piece, self._PIECE.findall(chunk)))
         return self._pack(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
 
-    def _word(self, word: str) -> bytes:
-        """The ids of a space and a word after it. No cut follows white space."""
+    def _word(self, word: str) -> bytes | None:
+        """The ids of what a space or line break led to; None where the text must
+        not be cut there (the place before is white space too, or the text's end)."""
+        if word == self._START:
+            return b""
+        if word == self._END:
+            return self.closing
         if not word or word[-1].isspace():
-            raise _NoCut
-        chunk = " " + word
-        return self._piece(chunk) if word.isascii() and word.isalpha() else self._chunk(chunk)
-
-    def __call__(self, text: str | None) -> bytes:
-        """The ids, packed."""
+            return None
+        if word[0] == self._START:
+            return self._chunk(word[1:])
+        core = word.rstrip(self._PUNCTUATION)
+        if core.isascii() and core.isalpha():
+            ids = self._pack([t.id for t in self.model.tokenize(self.letters[0x20] + core)])
+            return ids if len(core) == len(word) else ids + self.pieces[word[len(core):]]
+        return self._chunk(word if word[0] == "\n" else " " + word)
+
+    def whole(self, text: str | None) -> bytes:
+        """The ids of any text."""
         if not text:
             return b""
         if not self.by_chunk or any(s in text for s in self.specials):
             return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        try:
-            return b"".join(self._by_word(text))
-        except _NoCut:
-            return b"".join(map(self.chunks.__getitem__, self._CUT.split(text)))
-
-    def _by_word(self, text: str) -> list[bytes]:
-        out, start = [], ""
-        for line in text.split("\n"):
-            first, *words = line.split(" ")
-            if not first or first[-1].isspace():
-                raise _NoCut
-            out.append(self.chunks[start + first])
-            out += map(self.words.__getitem__, words)
-            start = "\n"
-        return out
+        return b"".join(map(self._chunk, self._CUT.split(text)))
 
-
-class _NoCut(Exception):
-    """A space or line break follows white space, so the text isn't cut there."""
+    def __call__(self, text: str | None) -> bytes:
+        """The ids, packed."""
+        return self.batch(pa.array([text], pa.string()))[0][:-1].tobytes()
+
+    def _pieces_of(self, text: str | None) -> list[str]:
+        """A long text in parts that can be encoded one by one."""
+        if text is None or len(text) <= LONG or not self.by_chunk or any(s in text for s in self.specials):
+            return [text or ""]
+        out, start = [], 0
+        while len(text) - start > LONG:
+            cut = self._CUT.search(text, start + LONG)
+            if cut is None:
+                break
+            out.append(text[start:cut.start()])
+            start = cut.start()
+        return [*out, text[start:]]
+
+    def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts one after the other, each closed by the end id, and
+        how many each has."""
+        owner = None
+        if self.by_chunk and (pc.max(pc.utf8_length(texts)).as_py() or 0) > LONG:
+            parts = [self._pieces_of(t) for t in texts.to_pylist()]
+            if sum(map(len, parts)) > len(parts):
+                owner = np.repeat(np.arange(len(parts)), list(map(len, parts)))
+                texts = pa.array([p for some in parts for p in some], pa.string())
+        slow = np.full(len(texts), not self.by_chunk)
+        for s in (*self.specials, self._START, self._END):
+            slow |= pc.fill_null(pc.match_substring(texts, s), False).to_numpy(zero_copy_only=False)
+        fast = texts if not slow.any() else pa.array(np.where(slow, "", texts.to_numpy(zero_copy_only=False)), pa.string())
+        marked = pc.binary_join_element_wise(self._START, fast, " " + self._END, "", null_handling="replace")
+        words = pc.split_pattern(pc.replace_substring(marked, "\n", " \n"), " ")
+        starts = words.offsets.to_numpy()
+        found = words.flatten().dictionary_encode()
+        made = list(map(self.words.__getitem__, found.dictionary.to_numpy(zero_copy_only=False)))
+        at = found.indices.to_numpy()
+        bad = np.array([m is None for m in made], bool)
+        if bad.any():
+            slow |= np.logical_or.reduceat(bad[at], starts[:-1])
+            made = [m or b"" for m in made]
+        size = np.fromiter(map(len, made), np.int64, len(made)) // self.dtype.itemsize
+        first = np.cumsum(size) - size
+        n = size[at]
+        upto = np.cumsum(n)
+        pool = np.frombuffer(b"".join(made), self.dtype)
+        ids = pool[np.arange(upto[-1]) + np.repeat(first[at] - (upto - n), n)]
+        lengths = np.diff(np.concatenate([[0], upto])[starts])
+        if slow.any():
+            other = [np.frombuffer(self.whole(texts[i].as_py()) + self.closing, self.dtype) for i in np.flatnonzero(slow)]
+            kept, sizes = ids[np.repeat(~slow, lengths)], lengths.copy()
+            sizes[slow] = [len(o) for o in other]
+            ids, taken = np.empty(sizes.sum(), self.dtype), np.repeat(slow, sizes)
+            ids[~taken], ids[taken], lengths = kept, np.concatenate(other), sizes
+        if owner is not None:  # one end id per text, not per part
+            last = np.append(owner[1:] != owner[:-1], True)
+            ends = np.cumsum(lengths) - 1
+            ids = np.delete(ids, ends[~last])
+            lengths = np.bincount(owner, lengths - ~last).astype(np.int64)
+        return ids, lengths
 
 
 class _Cache(dict):
@@ -159,8 +213,18 @@ def _byte_letters() -> dict[int, str]:
 
 
 @lru_cache(maxsize=1)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, end: int = END) -> Encoder:
+    return Encoder(path, end)
+
+
+def slices(column: pa.Array):
+    """Runs of texts of some ``BATCH_BYTES``, one text at least."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+    group = (np.cumsum(sizes) - 1) // BATCH_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(column)]
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            yield a, column.slice(a, b - a)
 
 
 # --- wavelet matrix ----------------------------------------------------------
@@ -182,9 +246,15 @@ class WaveletMatrix:
                                    dtype=np.uint32) if n else np.zeros(0, np.uint32)
             ranks.append(np.concatenate([np.zeros(1, np.uint32), np.cumsum(ones, dtype=np.uint32)]))
             planes.append(packed)
-            left = ids.take(np.flatnonzero(~bit))  # several times faster than by mask
-            zeros.append(len(left))
-            ids = np.concatenate([left, ids.take(np.flatnonzero(bit))])
+            zero, parted = ~bit, np.empty_like(ids)
+            low, high = 0, n - int(np.count_nonzero(bit))
+            zeros.append(high)
+            for at in range(0, n, PARTED):
+                some = ids[at:at + PARTED]
+                left, right = some[np.flatnonzero(zero[at:at + PARTED])], some[np.flatnonzero(bit[at:at + PARTED])]
+                parted[low:low + len(left)], parted[high:high + len(right)] = left, right
+                low, high = low + len(left), high + len(right)
+            ids = parted
         return cls(n, planes, zeros, ranks)
 
     def all(self, dtype=np.uint32) -> np.ndarray:
@@ -192,9 +262,14 @@ class WaveletMatrix:
         ids = np.zeros(self.n, dtype)
         for level in range(self.levels - 1, -1, -1):
             bit = np.unpackbits(self.planes[level], count=self.n).view(bool)
-            before = np.empty(self.n, dtype)
-            before[np.flatnonzero(~bit)] = ids[:self.zeros[level]]
-            before[np.flatnonzero(bit)] = ids[self.zeros[level]:] | dtype(1 << (self.levels - 1 - level))
+            zero, before = ~bit, np.empty(self.n, dtype)
+            low, high = 0, self.zeros[level]
+            ids[high:] |= dtype(1 << (self.levels - 1 - level))
+            for at in range(0, self.n, PARTED):
+                some = before[at:at + PARTED]
+                left, right = np.flatnonzero(zero[at:at + PARTED]), np.flatnonzero(bit[at:at + PARTED])
+                some[left], some[right] = ids[low:low + len(left)], ids[high:high + len(right)]
+                low, high = low + len(left), high + len(right)
             ids = before
         return ids
 
@@ -319,31 +394,34 @@ def write(docs: DataFrame, path: str, *, tokenizer: str | None = None, end: int
                .select("doc_id", "text"))
 
     def run(batches):
-        encode, part, shard, before = encoder(tokenizer_path), TaskContext.get().partitionId(), 0, 0
-        closing = np.array([end], encode.dtype).tobytes()
-        ids, lengths, packed = [], [], []
+        encode, part, shard, before = encoder(tokenizer_path, end), TaskContext.get().partitionId(), 0, 0
+        ids, lengths, tokens, held = [], [], [], 0
 
         def row():
-            tokens = np.frombuffer(b"".join(packed), encode.dtype)
-            made = Shard(WaveletMatrix.build(tokens, encode.levels), ids, np.array(lengths, np.int64))
-            return len(tokens), pa.RecordBatch.from_arrays(
+            made = Shard(WaveletMatrix.build(np.concatenate(tokens), encode.levels),
+                         [i for some in ids for i in some], np.concatenate(lengths))
+            return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([before]),
-                 pa.array([len(tokens)]), pa.array([len(ids)]), pa.array([made.to_bytes()])],
+                 pa.array([made.matrix.n]), pa.array([len(made.doc_ids)]), pa.array([made.to_bytes()])],
                 names=["part", "shard", "before", "n_tokens", "n_docs", "blob"])
 
-        held = 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                packed.append(encode(text.as_py()) + closing)
-                ids.append(doc_id)
-                lengths.append(len(packed[-1]) // encode.dtype.itemsize)
-                held += lengths[-1]
-                if held >= shard_tokens:
-                    n, made = row()
-                    yield made
-                    ids, lengths, packed, held, shard, before = [], [], [], 0, shard + 1, before + n
+            for at, texts in slices(batch.column(1)):
+                made, size = encode.batch(texts)
+                doc_ids, upto = batch.column(0).slice(at, len(texts)).to_pylist(), np.cumsum(size)
+                start = 0
+                while start < len(size):  # up to the document that fills the shard
+                    done = upto[start - 1] if start else 0
+                    stop = min(len(size), int(np.searchsorted(upto, done + shard_tokens - held)) + 1)
+                    ids.append(doc_ids[start:stop])
+                    lengths.append(size[start:stop])
+                    tokens.append(made[done:upto[stop - 1]])
+                    held, start = held + int(upto[stop - 1] - done), stop
+                    if held >= shard_tokens:
+                        yield row()
+                        ids, lengths, tokens, held, shard, before = [], [], [], 0, shard + 1, before + held
         if ids:
-            yield row()[1]
+            yield row()
 
     (map_arrow(ordered, run, SCHEMA).write.option("maxRecordsPerFile", 1)
      .option("compression", "none").parquet(path))
@@ -370,7 +448,8 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                 ids = made.matrix.all(np.uint16 if narrow else np.uint32)
                 ends = np.cumsum(made.lengths)
                 begins = ends - made.lengths
-                crc = [crc32(ids[a:b].astype("<u4")) for a, b in zip(begins.tolist(), ends.tolist())]
+                wide = memoryview(ids.astype("<u4", copy=False)).cast("B")
+                crc = [crc32(wide[4 * a:4 * b]) for a, b in zip(begins.tolist(), ends.tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(made.doc_ids, pa.int64()), pa.array(begins + (starts[part] + before)),
                      pa.array(made.lengths), pa.array(crc, pa.int64())],

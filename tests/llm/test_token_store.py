@@ -1,6 +1,7 @@
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -42,6 +43,25 @@ def test_encoder_equals_the_library(parts):
     assert np.frombuffer(ENCODE(text), ENCODE.dtype).tolist() == want
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(st.sampled_from("ab Z'\xa0\t\n.,!12é漢\x01\x02"), max_size=20) | st.none(), max_size=9), st.sampled_from([3, 1 << 20]))
+def test_batches_equal_the_library(texts, long):
+    before, T.LONG = T.LONG, long
+    try:
+        ids, lengths = ENCODE.batch(pa.array([*texts, "<|endoftext|> a"], pa.string()).slice(0, len(texts) + 1))
+    finally:
+        T.LONG = before
+    want = [[*ENCODE.tokenizer.encode(t or "", add_special_tokens=False).ids, T.END] for t in [*texts, "<|endoftext|> a"]]
+    assert lengths.tolist() == [len(w) for w in want]
+    assert ids.tolist() == [i for w in want for i in w]
+
+
+def test_slices_are_bounded():
+    texts = pa.array(["x" * n for n in (0, 5, T.BATCH_BYTES + 3, 1, 1)] + [None], pa.string())
+    runs = [(at, len(t)) for at, t in T.slices(texts)]
+    assert sum(n for _, n in runs) == len(texts) and [at for at, _ in runs] == np.cumsum([0, *(n for _, n in runs)])[:-1].tolist()
+
+
 def brute(rows):
     start, out = 0, []
     for doc_id, text in rows:
