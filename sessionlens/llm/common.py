@@ -95,6 +95,15 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def within_bytes(rows: DataFrame, value: str, by: Sequence[str], order: Sequence[str], budget: int) -> DataFrame:
+    """Of a bounded table the rows whose binary values, added up per ``by`` in the
+    order given, stay within ``budget``; the first of each stays in any case."""
+    window = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    upto = F.sum(F.octet_length(value).cast("long")).over(window)
+    return (rows.withColumn("_upto", upto).withColumn("_nth", F.count(F.lit(1)).over(window))
+            .where((F.col("_upto") <= budget) | (F.col("_nth") == 1)).drop("_upto", "_nth"))
+
+
 class Scratch:
     """Written intermediate tables in the shared folder of ``spark.checkpoint.dir``.
 

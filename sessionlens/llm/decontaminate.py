@@ -1,7 +1,8 @@
 """Benchmark decontamination by greedy string tiling.
 
 Words are lower-cased and cut at white space and ASCII punctuation. A document
-and a benchmark item meet when they share a seed, ``SEED`` words in a row. For
+and a benchmark item meet when they share a seed, ``SEED`` words in a row, or all
+words of an item that has fewer. For
 such a pair the longest common run of unmarked words is found by running
 Karp-Rabin hashes (every equal hash is checked word by word), all its
 non-overlapping matches are marked, and this is repeated with shorter runs
@@ -12,9 +13,9 @@ its parts appear.
 The benchmark is a query set: it is read in blocks of at most ``BLOCK_BYTES``
 of text, and all documents stream past each block's seeds.
 
-Cases: null or empty texts hold nothing; items of under ``SEED`` words (null
-ones included) cannot be looked for and never match. Equal items and repeated
-documents are each reported. A null id is carried along. Empty tables give no
+Cases: null or empty texts hold nothing; items without words (null ones
+included) never match, items of a few words match where these words stand in a
+row. Equal items and repeated documents are each reported. A null id is carried along. Empty tables give no
 rows. Extra columns are ignored. Whole texts are read, whatever their length.
 """
 
@@ -111,23 +112,25 @@ class Seeds:
     """A block of items and the seeds that lead to them."""
 
     def __init__(self, items: list[tuple[int | None, str | None]], seed: int = SEED):
-        self.seed = seed
         self.vocabulary: dict[bytes, int] = {}
         self.items = []
-        keys, owners = [], []
+        keys: dict[int, list[np.ndarray]] = {}   # by seed length
+        owners: dict[int, list[np.ndarray]] = {}
         for item_id, text in items:
             tokens = words(text or "")
-            if len(tokens) < seed:
+            if not tokens:
                 continue
             ids = np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in tokens], np.int64)
-            h = np.unique(KarpRabin(ids).windows(seed))
-            keys.append(h)
-            owners.append(np.full(len(h), len(self.items)))
+            length = min(seed, len(ids))
+            h = np.unique(KarpRabin(ids).windows(length))
+            keys.setdefault(length, []).append(h)
+            owners.setdefault(length, []).append(np.full(len(h), len(self.items)))
             self.items.append((item_id, ids))
-        self.keys = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
-        self.owners = np.concatenate(owners) if owners else np.zeros(0, np.int64)
-        order = np.argsort(self.keys, kind="stable")
-        self.keys, self.owners = self.keys[order], self.owners[order]
+        self.seeds = {}
+        for length in keys:
+            k, o = np.concatenate(keys[length]), np.concatenate(owners[length])
+            order = np.argsort(k, kind="stable")
+            self.seeds[length] = k[order], o[order]
 
     def number(self, text: str | None) -> np.ndarray:
         tokens = words(text or "")
@@ -135,22 +138,26 @@ class Seeds:
 
     def candidates(self, doc: np.ndarray) -> list[int]:
         """Items that share a seed with the document."""
-        if len(doc) < self.seed or not len(self.keys):
-            return []
-        at = np.flatnonzero(_free(doc < 0, self.seed))
-        if not len(at):
-            return []
-        h = KarpRabin(doc).windows(self.seed)[at]
-        low, high = np.searchsorted(self.keys, h, "left"), np.searchsorted(self.keys, h, "right")
-        hit = np.flatnonzero(high > low)
-        return sorted({int(o) for k in hit for o in self.owners[low[k]:high[k]]})
+        out: set[int] = set()
+        hashes = KarpRabin(doc) if self.seeds and len(doc) else None
+        for length, (keys, owners) in self.seeds.items():
+            if len(doc) < length:
+                continue
+            at = np.flatnonzero(_free(doc < 0, length))
+            if not len(at):
+                continue
+            h = hashes.windows(length)[at]
+            low, high = np.searchsorted(keys, h, "left"), np.searchsorted(keys, h, "right")
+            hit = np.flatnonzero(high > low)
+            out.update(int(o) for k in hit for o in owners[low[k]:high[k]])
+        return sorted(out)
 
     def found(self, text: str | None, coverage: float, shortest: int = TILE):
         """(item id, coverage, tiles) of the items that the text holds."""
         doc = self.number(text)
         for k in self.candidates(doc):
             item_id, item = self.items[k]
-            got = tiles(doc, item, shortest)
+            got = tiles(doc, item, min(shortest, len(item)))
             share = sum(n for _, _, n in got) / len(item)
             if share >= coverage:
                 yield item_id, share, got

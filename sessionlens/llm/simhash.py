@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import Scratch, map_arrow, per_text
+from .common import Scratch, free_name, map_arrow, per_text
 from .components import connected_components
 
 SHINGLE = 3
@@ -232,34 +232,55 @@ def links(nodes: DataFrame, scratch: Scratch, radius: int = RADIUS, shard: int =
     return _link(rows[0].unionByName(rows[1]).unionByName(rows[2].select("key", "side", "fp")), radius)
 
 
-def classes(docs: DataFrame, *, shingle: int = SHINGLE, radius: int = RADIUS, shard: int = SHARD,
-            text: str = "text") -> DataFrame:
-    """One row per document: doc_id, fp, component_id (the smallest id reachable)."""
+def _classes(docs: DataFrame, keep, shingle: int, radius: int, shard: int, text: str):
+    """The marked rows (``keep`` and fp), and per fingerprint: fp, label (of its
+    class), component_id (the least id of the class)."""
     result, work = Scratch(docs.sparkSession, "simhash"), Scratch(docs.sparkSession, "simhash-work")
-    marked = result.write(fingerprints(docs, shingle=shingle, text=text), "fingerprints")
+    marked = result.write(fingerprints(docs, shingle=shingle, text=text, keep=keep), "fingerprints")
     nodes = work.write(marked.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "nodes")
     edges = work.write(links(nodes.select("fp"), work, radius, shard), "links")
     labels = connected_components(edges, work)
     labelled = (nodes.join(labels, nodes.fp == labels.node, "left")
                 .select("fp", "least_id", F.coalesce("label", "fp").alias("label")))
     leaders = labelled.groupBy(F.col("label").alias("of")).agg(F.min("least_id").alias("component_id"))
-    found = result.write(labelled.join(leaders, F.col("label") == F.col("of")).select("fp", "component_id"),
+    found = result.write(labelled.join(leaders, F.col("label") == F.col("of")).select("fp", "label", "component_id"),
                          "classes")
     work.drop()
+    return marked, found
+
+
+def classes(docs: DataFrame, *, shingle: int = SHINGLE, radius: int = RADIUS, shard: int = SHARD,
+            text: str = "text") -> DataFrame:
+    """One row per document: doc_id, fp, component_id (the smallest id reachable)."""
+    marked, found = _classes(docs, ("doc_id",), shingle, radius, shard, text)
     return marked.join(found, "fp").select("doc_id", "fp", "component_id")
 
 
-def drop_copies(docs: DataFrame, *, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """One document per class stays: the one whose id is the class id (one of
-    its rows when the id is repeated). Rows with a null id all stay."""
-    ids = docs.select("doc_id", "text")
-    copies = (classes(ids, shingle=shingle, radius=radius)
-              .where("doc_id <> component_id").select("doc_id").distinct())
-    kept = docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
-    again = ids.select("doc_id").where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
+def drop_copies(docs: DataFrame, *, shingle: int = SHINGLE, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
+    """One row of each class stays: the one with the smallest id (null ids come
+    last), of several texts of that id the one with the smallest digest, of rows
+    equal in id and text one."""
+    digest, fp = free_name(docs, "row_digest"), "fp"
+    of_id, of_digest = free_name(docs, "copy_id"), free_name(docs, "copy_digest")
+    named = docs.withColumn(digest, F.xxhash64("text"))
+    ids = named.select("doc_id", F.col(digest).alias("digest"), "text")
+    marked, labelled = _classes(ids, ("doc_id", "digest"), shingle, radius, shard, "text")
+    rank = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "digest")
+    first = marked.groupBy(fp).agg(F.min(rank).alias("first"))  # of a fingerprint, then of its class
+    least = (labelled.select(fp, "label").join(first, fp))
+    kept = least.groupBy(F.col("label").alias("of")).agg(F.min("first").alias("kept"))
+    kept = least.join(kept, F.col("label") == F.col("of")).select(fp, "kept")
+    found = marked.groupBy("doc_id", "digest", fp).agg(F.count(F.lit(1)).alias("rows")).join(kept, fp)
+    stays = (F.col("kept.digest") == F.col("digest")) & F.col("kept.doc_id").eqNullSafe(F.col("doc_id"))
+    # an id and a digest are one text, so one fingerprint and one class
+    found = Scratch(docs.sparkSession, "simhash-kept").write(
+        found.select(F.col("doc_id").alias(of_id), F.col("digest").alias(of_digest), stays.alias("stays"), "rows"), "rows")
+    same = (F.col(digest) == F.col(of_digest)) & F.col("doc_id").eqNullSafe(F.col(of_id))
+    gone = found.where("not stays")
+    out = named.join(gone, same, "left_anti")
+    again = found.where("stays and rows > 1").select(of_id, of_digest)
     if again.isEmpty():
-        return kept
-    once = kept.join(again.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
-    one = (kept.join(again.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
-           .dropDuplicates(["doc_id"]))
+        return out.select(*docs.columns)
+    once = out.join(again, same, "left_anti").select(*docs.columns)
+    one = out.join(again, same, "left_semi").dropDuplicates(["doc_id", digest]).select(*docs.columns)
     return once.unionByName(one)

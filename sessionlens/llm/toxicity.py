@@ -2,13 +2,15 @@
 
 A text's features are the hashed presence of its words, word pairs and
 one-word skip pairs. The model is fitted on a bounded sample of labelled rows
-(``MAX_TRAIN``, half of it per class, chosen by a hash of the id) with
+(``MAX_TRAIN`` ids, half per class, chosen by a hash of the id, one text each, and
+``MAX_BYTES`` of features) with
 per-coordinate learning rates and L1 sparsity; the few nonzero weights are
 sent to the tasks, which score every whole text.
 
 Cases: a null or empty text has no features and gets the score of the bias.
 Labelled rows with a null label or id are not learned from; when an id has
-several labels the largest counts; repeated rows are scored each. A row with
+several labels the largest counts, when it has several texts the one with the
+smallest digest is learned from; repeated rows are scored each. A row with
 a null id is scored and not held out. With no labelled rows (or one class)
 the model is the smoothed share of label 1. Empty tables give no rows.
 Extra columns are ignored.
@@ -24,9 +26,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_crc, map_arrow, per_text
+from .common import id_crc, map_arrow, per_text, within_bytes
 
 MAX_TRAIN = 6_000       # documents the model is fitted on, at most
+MAX_BYTES = 64 << 20    # of their features
 BITS = 20               # hashed feature space
 EPOCHS = 6
 ALPHA, BETA, L1, L2 = 3.0, 1.0, 8.0, 0.1
@@ -96,25 +99,27 @@ def ftrl(rows: list[np.ndarray], labels: np.ndarray, bits: int = BITS, epochs: i
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, fold: Column, max_train: int) -> DataFrame:
-    """At most ``max_train`` labelled ids (half per class, by hash), with texts."""
+    """At most ``max_train`` labelled ids (half per class, by hash), each with a text."""
     known = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & fold)
              .groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("label")))
     by_hash = known.withColumn("rank", F.xxhash64("doc_id", F.lit("toxicity")))
     half = max_train // 2
     chosen = [by_hash.where(F.col("label") == y).orderBy("rank", "doc_id").limit(half) for y in (0, 1)]
-    return docs.select("doc_id", "text").join(
-        chosen[0].unionByName(chosen[1]).select("doc_id", "label"), "doc_id")
+    found = docs.select("doc_id", "text").join(
+        chosen[0].unionByName(chosen[1]).select("doc_id", "label", "rank"), "doc_id")
+    return found.groupBy("doc_id", "label", "rank").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, fold: Column | None = None,
-        max_train: int = MAX_TRAIN, bits: int = BITS) -> Model:
+        max_train: int = MAX_TRAIN, max_bytes: int = MAX_BYTES, bits: int = BITS) -> Model:
     """Model of ``labels.toxic`` from documents whose id passes ``fold``."""
     rows = training_rows(docs, labels, F.lit(True) if fold is None else fold, max_train)
 
     def kernel():
         return lambda texts: [[np.unique(features(t, bits)).astype("<u4").tobytes() for t in texts]]
 
-    got = per_text(rows, kernel, [("features", "binary")], keep=("doc_id", "label")).collect()
+    found = per_text(rows, kernel, [("features", "binary")], keep=("doc_id", "label", "rank"))
+    got = within_bytes(found, "features", ["label"], ["rank", "doc_id"], max_bytes // 2).collect()
     got.sort(key=lambda r: (r["doc_id"], r["label"], bytes(r["features"])))
     x = [np.frombuffer(r["features"], "<u4") for r in got]
     return ftrl(x, np.array([r["label"] for r in got], float), bits)

@@ -77,3 +77,11 @@ def test_edges(spark, bench, edge_docs, empty_docs):
     assert D.leaks(empty_docs, bench).collect() == [] and D.drop_leaks(empty_docs, bench).collect() == []
     assert D.leaks(edge_docs, bench.limit(0)).collect() == []
     assert D.drop_leaks(edge_docs, bench).count() == edge_docs.count()
+
+
+def test_short_items_match_as_a_whole(spark):
+    bench = spark.createDataFrame([(1, "What is it?"), (2, "capital"), (3, "a b c d"), (4, "?!")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"{NOISE} what IS it, {NOISE}"), (2, "the Capital."), (3, "a b c x d"), (4, "is it what"),
+                                  (5, "a b c d")], "doc_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.coverage, r.n_tiles) for r in D.leaks(docs, bench).collect())
+    assert got == [(1, 1, 1.0, 1), (2, 2, 1.0, 1), (5, 3, 1.0, 1)]

@@ -5,13 +5,11 @@ from pyspark.sql import functions as F
 from sessionlens.llm import language_id as L
 
 DATA = "/root/testdata/sf0.01"
-LETTERS = list("abcdeé")
-
 
 def slow_grams(text):
     spelled = []
     for c in text.lower():
-        s = LETTERS.index(c) + 2 if c in LETTERS else int(c.isalpha())
+        s = ord(c) if c.isalpha() else 0
         if s or not spelled or spelled[-1]:
             spelled.append(s)
     return {tuple(spelled[i:i + n]) for n in (1, 2, 3) for i in range(len(spelled) - n + 1)}
@@ -20,12 +18,11 @@ def slow_grams(text):
 @pytest.mark.parametrize("block", [1 << 20, 5, 1])
 def test_kernel_against_sets(monkeypatch, block):
     monkeypatch.setattr(L, "BLOCK", block)
-    texts = ["abc abc é", "a  --  b", "Dad dé x", "....", "zzz", "cab"]
-    base, symbols = len(LETTERS) + 2, L.symbol_table(LETTERS)
-    sets = [np.unique(L.grams(t, symbols, base)) for t in texts]
+    texts = ["abc abc é", "a  --  b", "Dad dé x", "....", "zzz", "cab", "日本 本日", "кот"]
+    sets = [np.unique(L.grams(t)) for t in texts]
     vocabulary = np.unique(np.concatenate(sets[:3]))
     landmarks = np.array([np.isin(vocabulary, s) for s in sets[:3]], np.float32).T
-    got = L.Scorer(LETTERS, vocabulary, landmarks, np.array([len(s) for s in sets[:3]], float)).kernel(texts)
+    got = L.Scorer(vocabulary, landmarks, np.array([len(s) for s in sets[:3]], float)).kernel(texts)
     for i, x in enumerate(texts):
         for j, z in enumerate(texts[:3]):
             a, b = slow_grams(x), slow_grams(z)
@@ -56,3 +53,33 @@ def test_edges(spark, edge_docs, empty_docs):
     assert got[5][0] == "fr" and got[4][0] == "en" and got[7][0] in ("en", "fr")
     assert L.fit(empty_docs) is None and L.predict(empty_docs, None).collect() == []
     assert {r.lang_pred for r in L.predict(edge_docs, None).collect()} == {"und"}
+
+
+# The first letter of each script's block and how many follow.
+SCRIPTS = {"el": (0x3B1, 24), "ru": (0x430, 32), "hy": (0x561, 38), "he": (0x5D0, 27), "ar": (0x627, 20), "hi": (0x905, 40),
+           "th": (0xE01, 46), "ka": (0x10D0, 33), "ko": (0xAC00, 900), "ja": (0x3041, 80), "zh": (0x4E00, 1500)}
+
+
+def test_ten_scripts_beside_an_english_majority(spark):
+    rng = np.random.default_rng(4)
+
+    def text(first, n):
+        letters = [chr(c) for c in range(first, first + n) if chr(c).isalpha()]
+        weight = 1 / np.arange(1, len(letters) + 1)
+        return " ".join("".join(rng.choice(letters, 4, p=weight / weight.sum())) for _ in range(30))
+    rows = [(k, text(*SCRIPTS[lang]), lang) for k, lang in enumerate(lang for lang in SCRIPTS for _ in range(45))]
+    rows += [(1000 + k, text(0x61, 26), "en") for k in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = L.fit(docs, fold=L.learned_fold())
+    got = L.predict(docs.withColumn("held_out", L.held_out()), model, keep=("held_out", "lang")).where("held_out")
+    by = {r["lang"]: r["right"] for r in got.groupBy("lang").agg(
+        F.avg((F.col("lang") == F.col("lang_pred")).cast("int")).alias("right")).collect()}
+    assert len(by) == 12 and min(by.values()) > 0.95
+
+
+def test_sample_is_bounded(spark):
+    one = spark.range(20_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("one text again").alias("text"), F.lit("en").alias("lang"))
+    docs = one.unionByName(spark.range(5_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.sha2(F.col("id").cast("string"), 256)).alias("text"), F.lit("fr").alias("lang")))
+    got = L._sample(docs, F.lit(True), 600)
+    assert got.count() <= 600 and got.where("lang = 'en'").count() <= 1 and got.where("lang = 'fr'").count() == 300
+    assert L.fit(docs, max_bytes=2_000) is not None

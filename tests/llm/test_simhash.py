@@ -99,3 +99,30 @@ def test_one_of_each_class_stays(edge_docs, empty_docs):
     assert ids == [1, 3, 4, 5, 6, 7]
     assert kept.where("doc_id is null").count() == 1
     assert S.drop_copies(empty_docs).count() == 0
+
+
+def test_repeated_ids_with_unlike_texts(spark):
+    """Ids 3 and 5 share text A, ids 5, 7 and 8 text B; both classes keep a row."""
+    texts = {c: " ".join(f"{c}{i * i}" for i in range(60)) for c in "ABCD"}
+    rows = [(3, "A"), (5, "A"), (5, "B"), (7, "B"), (8, "B"), (None, "C"), (None, "C"), (9, "D"), (9, "D"), (None, "D")]
+    docs = spark.createDataFrame([(i, texts[c], "x") for i, c in rows], "doc_id long, text string, digest string")
+    kept = S.drop_copies(docs)
+    assert kept.schema == docs.schema
+    got = sorted((r.doc_id or 0, r.text[0]) for r in kept.collect())
+    assert got == [(0, "C"), (3, "A"), (5, "B"), (9, "D")]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_kept_rows_against_brute_force(spark, seed):
+    rng = np.random.default_rng(seed)
+    pool = ["", *(" ".join(f"w{x}" for x in rng.integers(0, 9000, 40)) for _ in range(8))]
+    pool += [t.replace("w1", "v1", 1) for t in pool]
+    rows = [(None if rng.random() < .1 else int(rng.integers(0, 12)), pool[rng.integers(len(pool))]) for _ in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    label = slow_classes(np.array([slow_fingerprint(t) for _, t in rows], np.uint64))
+    kept = [(r.doc_id, r.text) for r in S.drop_copies(docs).collect()]
+    least = {}
+    for (i, t), k in zip(rows, label):
+        least[k] = min(least.get(k, (True, 0)), (i is None, i or 0))
+    of = {r: k for r, k in zip(rows, label)}
+    assert sorted((of[r], (r[0] is None, r[0] or 0)) for r in kept) == sorted(least.items())

@@ -61,3 +61,13 @@ def test_edges(spark, edge_docs, empty_docs):
     none = T.fit(edge_docs, labels.limit(0))
     assert len(none.index) == 0 and none.bias == 0.0
     assert T.score(empty_docs, none).collect() == []
+
+
+def test_sample_is_bounded_when_ids_repeat(spark):
+    docs = spark.range(20_000).select((F.col("id") % 2).alias("doc_id"), F.concat(F.lit("text "), F.col("id") % 5).alias("text"))
+    docs = docs.unionByName(spark.range(2, 500).select(F.col("id").alias("doc_id"), F.lit("some words").alias("text")))
+    labels = spark.range(500).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    rows = T.training_rows(docs, labels, F.lit(True), 100)
+    assert rows.count() == 100 and rows.select("doc_id").distinct().count() == 100
+    assert T.training_rows(docs, labels, F.lit(True), 10_000).where("doc_id < 2").count() == 2
+    assert T.fit(docs, labels, max_bytes=300) is not None
