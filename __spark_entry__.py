@@ -11,6 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,20 +97,39 @@ def _split(spark: SparkSession, sf_dir: str, data: DataFrame | None = None):
     return prediction.train_test_split(spark.read.schema(data.schema).parquet(path))
 
 
-def _lr_model(spark: SparkSession, sf_dir: str):
-    train, test = _split(spark, sf_dir)
-    return prediction.fit(prediction.logistic_pipeline(), train), train, test
+def _signal(sessions: DataFrame) -> DataFrame:
+    """The model table with a label that two features and some noise decide."""
+    told = F.col("session_duration") + F.when(F.col("device_type") == "Desktop", 6).otherwise(0)
+    noise = F.pmod(F.col("session_id") * 31, F.lit(17))
+    return prediction.model_input(sessions.withColumn("has_purchased", (told + noise >= 22).cast("int")))
 
 
-def _purchase_lr_auc(spark, sf_dir):
-    model, _, test = _lr_model(spark, sf_dir)
-    return prediction.evaluation_table(model, test, "logistic_regression")
+def _lr_model(spark: SparkSession, sf_dir: str, signal: bool = False):
+    train, test = _split(spark, sf_dir, _signal(enriched(spark, sf_dir)) if signal else None)
+    return prediction.fit_logistic(train), train, test
+
+
+def _lr_auc(signal: bool):
+    def run(spark, sf_dir):
+        model, _, test = _lr_model(spark, sf_dir, signal)
+        return prediction.evaluation_table(model, test, "logistic_regression")
+    return run
 
 
-def _purchase_lr_coefficients(spark, sf_dir):
-    model, train, _ = _lr_model(spark, sf_dir)
-    return prediction.coefficients(model, train).withColumn(
-        "coefficient", F.round("coefficient", 6) + F.lit(0.0))
+def _lr_coefficients(signal: bool):
+    def run(spark, sf_dir):
+        model, train, _ = _lr_model(spark, sf_dir, signal)
+        return prediction.coefficients(model, train).withColumn(
+            "coefficient", F.round("coefficient", 4) + F.lit(0.0))
+    return run
+
+
+def _tree_leaves(signal: bool):
+    """Test rows with the share of label 1 in their leaf of one tree."""
+    def run(spark, sf_dir):
+        train, test = _split(spark, sf_dir, _signal(enriched(spark, sf_dir)) if signal else None)
+        return prediction.leaf_table(prediction.tree(train), test)
+    return run
 
 
 def _purchase_rf(spark, sf_dir):
@@ -118,14 +138,33 @@ def _purchase_rf(spark, sf_dir):
     return prediction.evaluation_table(model, test, "random_forest")
 
 
+def _keeper(spark):
+    """Writes a part of the grid search, so a lost executor fits no forest again."""
+    base = scratch_path(spark, f"grid-{uuid.uuid4().hex}")
+
+    def keep(df, name):
+        df.write.parquet(f"{base}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{base}/{name}")
+    return keep
+
+
 def _purchase_cv(spark, sf_dir):
     train, test = _split(spark, sf_dir)
-    model = prediction.cross_validate(train, folds=3, parallelism=4)  # 18 combinations
+    model = prediction.cross_validate(train, folds=3, parallelism=4, keep=_keeper(spark))  # 18 combinations
     return prediction.evaluation_table(model, test, "random_forest_cv")
 
 
+def _purchase_cv_metrics(spark, sf_dir):
+    """The area under the ROC curve of all 18 combinations on each of the 3 folds."""
+    train, _ = _split(spark, sf_dir)
+    candidates = prediction.grid(**prediction.GRID)
+    counts = prediction.out_of_fold_counts(train, candidates, folds=3, parallelism=4, keep=_keeper(spark))
+    return prediction.fold_metrics(counts, candidates)
+
+
 def _feature_vectors(spark, sf_dir):
-    model, _, test = _lr_model(spark, sf_dir)
+    train, test = _split(spark, sf_dir)
+    model = prediction.fit(Pipeline(stages=prediction.feature_stages()), train)
     return prediction.feature_vectors(model, test).select(
         "session_id", F.array_join(F.transform("features", lambda x: x.cast("string")), ",").alias("features"))
 
@@ -143,15 +182,17 @@ def _purchase_learnable_auc(spark, sf_dir):
 
 def _purchase_scores(spark, sf_dir):
     model, _, test = _lr_model(spark, sf_dir)
-    return _scored(prediction.score(model, test))
+    return _scored(prediction.score(model, test, ordered=False))
 
 
-def _purchase_saved_model(spark, sf_dir):
+def _saved_model(signal: bool):
     """The model is saved, loaded again and scores the test rows."""
-    model, _, test = _lr_model(spark, sf_dir)
-    path = scratch_path(spark, f"model-{uuid.uuid4().hex}")
-    prediction.save(model, path)
-    return _scored(prediction.score(prediction.load(path), test))
+    def run(spark, sf_dir):
+        model, _, test = _lr_model(spark, sf_dir, signal)
+        path = scratch_path(spark, f"model-{uuid.uuid4().hex}")
+        prediction.save(model, path)
+        return _scored(prediction.score(prediction.load(path), test, ordered=False))
+    return run
 
 
 def _scored(scored):
@@ -301,12 +342,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "model_input": lambda s, d: prediction.model_input(enriched(s, d)),
     "train_test_split": lambda s, d: enriched(s, d).select(
         "session_id", prediction.in_training().alias("in_training")),
-    "purchase_lr_auc": _purchase_lr_auc,
-    "purchase_lr_coefficients": _purchase_lr_coefficients,
+    "purchase_lr_auc": _lr_auc(False),
+    "purchase_lr_coefficients": _lr_coefficients(False),
+    "purchase_tree": _tree_leaves(False),
     "purchase_rf": _purchase_rf,
     "purchase_cv": _purchase_cv,
+    "purchase_cv_metrics": _purchase_cv_metrics,
     "purchase_scores": _purchase_scores,
-    "purchase_saved_model": _purchase_saved_model,
+    "purchase_saved_model": _saved_model(False),
+    # the same on a label that the features tell something about
+    "signal_lr_auc": _lr_auc(True),
+    "signal_lr_coefficients": _lr_coefficients(True),
+    "signal_saved_model": _saved_model(True),
+    "signal_tree": _tree_leaves(True),
     "purchase_learnable_auc": _purchase_learnable_auc,
     "feature_vectors": _feature_vectors,
 }

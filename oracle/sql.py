@@ -187,6 +187,10 @@ def q(body: str) -> str:
     return f"WITH {BASE.strip()}\n{body.strip()}"
 
 
+def recursive(sql: str) -> str:
+    return "WITH RECURSIVE" + sql.removeprefix("WITH")
+
+
 def _null_counts() -> str:
     parts = []
     for c, kind in RAW_COLUMNS:
@@ -310,6 +314,150 @@ ENRICHED_COLS = ("session_id, user_id, session_duration, pages_viewed, product_c
                  "review_score, review_text, \"timestamp\", device_type, country, city, date, hour, "
                  "day_of_week, month, year, session_category, has_purchased, review_category, session_number")
 
+# --- models ------------------------------------------------------------------
+
+# a label that two features and some noise decide
+SIGNAL = ("CASE WHEN session_duration + CASE WHEN device_type = 'Desktop' THEN 6 ELSE 0 END "
+          "+ (session_id * 31) % 17 >= 22 THEN 1 ELSE 0 END")
+CATEGORIES = ("device_type", "product_category", "day_of_week")
+REG, ELASTIC_NET = 0.01, 0.8
+NEWTON, SWEEPS = 12, 120
+
+
+def _model_rows(label: str) -> str:
+    """labelled: sessions with label y; names: the features by position j; cells:
+    (session_id, j, x), zeros of the categories left out."""
+    names = ["SELECT 0 AS g, i, n AS c, n FROM (VALUES (1, 'session_duration'), (2, 'pages_viewed'), (3, 'hour')) t(i, n)"]
+    names += [f"SELECT {g}, row_number() OVER (ORDER BY count(*) DESC, {c}), '{c}', {c} FROM train WHERE {c} IS NOT NULL GROUP BY {c}"
+              for g, c in enumerate(CATEGORIES, 1)]
+    cells = [f"SELECT session_id, n.j, CAST({c} AS DOUBLE) AS x FROM labelled JOIN names n ON n.c = '{c}'"
+             for c in ("session_duration", "pages_viewed", "hour")]
+    cells += [f"SELECT session_id, n.j, CAST(1 AS DOUBLE) FROM labelled JOIN names n ON n.c = '{c}' AND n.n = {c}"
+              for c in CATEGORIES]
+    return f"""
+, labelled AS (SELECT *, {label} AS y, (session_id * 7919) % 100 < 70 AS training FROM enriched),
+train AS (SELECT * FROM labelled WHERE training),
+names AS (SELECT row_number() OVER (ORDER BY g, i) AS j, c, n FROM ({" UNION ALL ".join(names)})),
+cells AS ({" UNION ALL ".join(cells)})"""
+
+
+def _logistic(label: str) -> str:
+    """Weights of the elastic-net logistic model: Newton steps on counts of equal
+    rows, each solved by coordinate descent over a quadratic without intercept.
+    Ends with fitted(b, v): intercept, and weights of features over their deviation."""
+    l1, l2 = REG * ELASTIC_NET, REG * (1 - ELASTIC_NET)
+    steps = [f"""
+alike AS (SELECT min(session_id) AS r, CAST(count(*) AS DOUBLE) AS n, CAST(y AS DOUBLE) AS y FROM train
+  GROUP BY session_duration, pages_viewed, hour, device_type, product_category, day_of_week, y),
+total AS (SELECT sum(n) AS n, max(j) AS p FROM (SELECT sum(n) AS n FROM alike), (SELECT max(j) AS j FROM names)),
+spread AS (SELECT j, sqrt(greatest(sum(n * x * x) - sum(n * x) * sum(n * x) / any_value(t), 0) / (any_value(t) - 1)) AS s
+  FROM (SELECT j, a.n, x, total.n AS t FROM alike a JOIN cells c ON c.session_id = a.r, total) GROUP BY j),
+scaled AS (SELECT a.r, a.n / total.n AS n, a.y, c.j, c.x / s.s AS x
+  FROM alike a JOIN cells c ON c.session_id = a.r JOIN spread s ON s.j = c.j AND s.s > 0, total),
+w0 AS (SELECT CAST(0 AS DOUBLE) AS b, list_transform(range(p), lambda i: CAST(0 AS DOUBLE)) AS v FROM total)"""]
+    for t in range(NEWTON):
+        steps.append(f"""
+p{t} AS MATERIALIZED (SELECT r, n, y, 1 / (1 + exp(-(any_value(b) + sum(x * v[j])))) AS p FROM scaled, w{t} GROUP BY r, n, y),
+o{t} AS MATERIALIZED (SELECT sum(n * (p - y)) AS g, sum(n * p * (1 - p)) AS h FROM p{t}),
+g{t} AS MATERIALIZED (SELECT j, sum(s.n * (p - s.y) * x) AS g, sum(s.n * p * (1 - p) * x) AS h
+  FROM scaled s JOIN p{t} USING (r) GROUP BY j),
+h{t} AS MATERIALIZED (SELECT a.j AS j, c.j AS k, sum(a.n * p * (1 - p) * a.x * c.x) AS h
+  FROM scaled a JOIN scaled c ON a.r = c.r JOIN p{t} ON p{t}.r = a.r GROUP BY a.j, c.j),
+-- the intercept follows from the others: rows of the matrix without it
+m{t} AS (SELECT d.j, d.k, coalesce(h{t}.h, 0) - a.h * c.h / o{t}.h AS h
+  FROM (SELECT a.j AS j, c.j AS k FROM names a, names c) d LEFT JOIN h{t} ON h{t}.j = d.j AND h{t}.k = d.k
+  LEFT JOIN g{t} a ON a.j = d.j LEFT JOIN g{t} c ON c.j = d.k, o{t}),
+q{t} AS MATERIALIZED (SELECT list(row ORDER BY j) AS m, list(c ORDER BY j) AS c, list(gj ORDER BY j) AS g, list(hj ORDER BY j) AS h FROM (
+  SELECT m.j, any_value(m.row) AS row, coalesce(any_value(g{t}.g), 0) AS gj, coalesce(any_value(g{t}.h), 0) AS hj,
+    coalesce(any_value(g{t}.g - g{t}.h * o{t}.g / o{t}.h), 0) - any_value(list_dot_product(m.row, w{t}.v)) AS c
+  FROM (SELECT j, list(coalesce(h, 0) ORDER BY k) AS row FROM m{t} GROUP BY j) m LEFT JOIN g{t} ON g{t}.j = m.j, o{t}, w{t}
+  GROUP BY m.j)),
+d{t}(step, v) AS (
+  SELECT CAST(0 AS BIGINT), v FROM w{t}
+  UNION ALL
+  SELECT step + 1, list_concat(list_concat(v[:j - 1], [CASE WHEN mjj > 0 THEN
+      -sign(f) * greatest(abs(f) - {l1}, 0) / (mjj + {l2}) ELSE 0 END]), v[j + 1:])
+  FROM (SELECT step, v, step % p + 1 AS j, m[step % p + 1][step % p + 1] AS mjj,
+          c[step % p + 1] + list_dot_product(m[step % p + 1], v) - m[step % p + 1][step % p + 1] * v[step % p + 1] AS f
+        FROM d{t}, q{t}, total WHERE step < {SWEEPS} * p)),
+w{t + 1} AS MATERIALIZED (SELECT w.b - (o.g + list_dot_product(q.h, n.v) - list_dot_product(q.h, w.v)) / o.h AS b, n.v
+  FROM (SELECT arg_max(v, step) AS v FROM d{t}) n, w{t} w, o{t} o, q{t} q)""")
+    return _model_rows(label) + "," + ",".join(steps) + f"""
+, fitted AS (SELECT b, v FROM w{NEWTON})"""
+
+
+def _lr_coefficients(label: str) -> str:
+    return recursive(q(_logistic(label) + """
+SELECT CAST(names.j - 1 AS INTEGER) AS position,
+  CASE WHEN c = n THEN n ELSE c || '_vec_' || n END AS feature,
+  round(CASE WHEN s > 0 THEN v[names.j] / s ELSE 0 END, 4) + 0.0 AS coefficient
+FROM names JOIN spread USING (j), fitted
+UNION ALL SELECT CAST(p AS INTEGER), '(intercept)', round(b, 4) FROM fitted, total"""))
+
+
+_CHANCES = """
+, chances AS (SELECT l.session_id, any_value(y) AS y, 1 / (1 + exp(-(any_value(b) + sum(CASE WHEN s > 0 THEN x * v[c.j] / s ELSE 0 END)))) AS p
+  FROM labelled l JOIN cells c USING (session_id) JOIN spread USING (j), fitted WHERE NOT training GROUP BY l.session_id)"""
+
+
+def _lr_scores(label: str) -> str:
+    return recursive(q(_logistic(label) + _CHANCES + """
+SELECT session_id, y AS label, CASE WHEN p > 0.5 THEN CAST(1 AS DOUBLE) ELSE 0 END AS prediction,
+  round(100 * p, 2) AS purchase_probability, CASE WHEN p > 0.5 THEN CAST(1 AS DOUBLE) ELSE 0 END AS predicted_purchase
+FROM chances"""))
+
+
+# pairs of a positive and a negative row in which the positive is ahead, ties half
+AREA = """
+SELECT {name} AS model, CAST(sum(positives + negatives) AS BIGINT) AS test_rows,
+  sum(positives * (below + CAST(negatives AS DOUBLE) / 2)) / nullif(sum(positives), 0) / nullif(sum(negatives), 0) AS auc
+FROM (SELECT *, sum(negatives) OVER (ORDER BY score) - negatives AS below FROM
+  (SELECT score, count(*) FILTER (y = 1) AS positives, count(*) FILTER (y = 0) AS negatives FROM {scored} GROUP BY score))"""
+
+
+def _lr_auc(label: str) -> str:
+    # equal rows may differ in the last digits here, where sums run in any order
+    return recursive(q(_logistic(label) + _CHANCES + AREA.format(
+        name="'logistic_regression'", scored="(SELECT y, round(p, 10) AS score FROM chances)")))
+
+
+def _tree(label: str, depth: int = 5) -> str:
+    """Leaf shares of a tree grown by one histogram (node, feature, value, label) a
+    level; thresholds lie in the middle between neighbouring values of a feature, and
+    sibling leaves that predict the same become one."""
+    steps = ["""
+rowset AS (SELECT session_id, y, training FROM labelled),
+every AS (SELECT r.session_id, y, training, n.j, coalesce(x, 0) AS x
+  FROM rowset r CROSS JOIN names n LEFT JOIN cells c ON c.session_id = r.session_id AND c.j = n.j),
+known AS (SELECT j, x, lead(x) OVER (PARTITION BY j ORDER BY x) AS above FROM (SELECT DISTINCT j, x FROM every WHERE training)),
+n0 AS (SELECT session_id, y, training, CAST(1 AS BIGINT) AS node FROM rowset)"""]
+    gini = lambda p, n: f"(1 - ({p} / {n}) * ({p} / {n}) - (({n} - {p}) / {n}) * (({n} - {p}) / {n}))"
+    for t in range(depth):
+        steps.append(f"""
+hist{t} AS (SELECT node, j, x, CAST(count(*) AS DOUBLE) AS n, CAST(sum(e.y) AS DOUBLE) AS p
+  FROM n{t} JOIN every e USING (session_id) WHERE e.training GROUP BY node, j, x),
+left{t} AS (SELECT node, j, x, sum(n) OVER upto AS ln, sum(p) OVER upto AS lp, sum(n) OVER whole AS n, sum(p) OVER whole AS p
+  FROM hist{t} WINDOW whole AS (PARTITION BY node, j), upto AS (PARTITION BY node, j ORDER BY x)),
+gain{t} AS (SELECT *, {gini('p', 'n')} - ln / n * {gini('lp', 'ln')} - (n - ln) / n * {gini('(p - lp)', '(n - ln)')} AS gain
+  FROM left{t} WHERE ln < n),
+best{t} AS (SELECT node, j, (x + above) / 2 AS cut FROM gain{t} JOIN known USING (j, x) WHERE gain > 1e-12
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(gain, 13) DESC, j, x) = 1),
+n{t + 1} AS MATERIALIZED (SELECT a.session_id, a.y, a.training,
+    CASE WHEN cut IS NULL THEN a.node ELSE 2 * a.node + CASE WHEN e.x > cut THEN 1 ELSE 0 END END AS node
+  FROM n{t} a LEFT JOIN best{t} b ON b.node = a.node LEFT JOIN every e ON e.session_id = a.session_id AND e.j = b.j)""")
+    for t in range(depth, -1, -1):
+        steps.append(f"""
+s{t} AS (SELECT node, avg(y) AS share FROM n{t} WHERE training GROUP BY node),
+leaf{t} AS (SELECT node, share > 0.5 AS says FROM s{t}""" + (")" if t == depth else f""" WHERE node NOT IN (SELECT node FROM best{t})
+  UNION ALL SELECT b.node, a.says FROM best{t} b JOIN leaf{t + 1} a ON a.node = 2 * b.node
+  JOIN leaf{t + 1} c ON c.node = 2 * b.node + 1 WHERE a.says = c.says)"""))
+    joins = " ".join(f"JOIN n{t} a{t} ON a{t}.session_id = r.session_id LEFT JOIN leaf{t} l{t} ON l{t}.node = a{t}.node "
+                     f"LEFT JOIN s{t} ON s{t}.node = l{t}.node" for t in range(depth + 1))
+    share = ", ".join(f"s{t}.share" for t in range(depth + 1))
+    return q(_model_rows(label) + "," + ",".join(steps) + f"""
+SELECT r.session_id, r.y AS label, coalesce({share}) AS probability FROM rowset r {joins} WHERE NOT r.training""")
+
+
 SQL: dict[str, str] = {
     # sources / cleaning
     "scan_sessions": q("SELECT * FROM raw"),
@@ -480,30 +628,6 @@ SELECT session_id, concat_ws(',', CAST(session_duration AS DOUBLE), CAST(pages_v
   (SELECT string_agg(CASE WHEN c.v = e.product_category THEN '1.0' ELSE '0.0' END, ',' ORDER BY i) FROM c),
   (SELECT string_agg(CASE WHEN w.v = e.day_of_week THEN '1.0' ELSE '0.0' END, ',' ORDER BY i) FROM w)) AS features
 FROM enriched e WHERE NOT (session_id * 7919) % 100 < 70"""),
-    # no feature explains the label here, so the penalty leaves every weight at
-    # zero and the intercept is the log odds of the training rate
-    "purchase_lr_coefficients": q("""
-, train AS (SELECT * FROM enriched WHERE (session_id * 7919) % 100 < 70),
-names AS (
-  SELECT 0 AS g, 1 AS i, 'session_duration' AS n UNION ALL SELECT 0, 2, 'pages_viewed' UNION ALL SELECT 0, 3, 'hour'
-  UNION ALL SELECT 1, row_number() OVER (ORDER BY count(*) DESC, device_type), 'device_type_vec_' || device_type
-    FROM train WHERE device_type IS NOT NULL GROUP BY device_type
-  UNION ALL SELECT 2, row_number() OVER (ORDER BY count(*) DESC, product_category), 'product_category_vec_' || product_category
-    FROM train WHERE product_category IS NOT NULL GROUP BY product_category
-  UNION ALL SELECT 3, row_number() OVER (ORDER BY count(*) DESC, day_of_week), 'day_of_week_vec_' || day_of_week
-    FROM train WHERE day_of_week IS NOT NULL GROUP BY day_of_week
-  UNION ALL SELECT 4, 1, '(intercept)')
-SELECT CAST(row_number() OVER (ORDER BY g, i) - 1 AS INTEGER) AS position, n AS feature,
-  CASE WHEN g = 4 THEN round((SELECT ln(avg(has_purchased) / (1 - avg(has_purchased))) FROM train), 6)
-       ELSE 0.0 END AS coefficient FROM names"""),
-    "purchase_scores": q("""
-, p AS (SELECT round(100 * avg(has_purchased), 2) AS p FROM enriched WHERE (session_id * 7919) % 100 < 70)
-SELECT session_id, has_purchased AS label, CASE WHEN p > 50 THEN 1.0 ELSE 0.0 END AS prediction,
-       p AS purchase_probability, CASE WHEN p > 50 THEN 1.0 ELSE 0.0 END AS predicted_purchase
-FROM enriched CROSS JOIN p WHERE NOT (session_id * 7919) % 100 < 70"""),
-    "purchase_lr_auc": q("""
-SELECT 'logistic_regression' AS model, count(*) AS test_rows, CAST(0.5 AS DOUBLE) AS auc
-FROM enriched WHERE NOT (session_id * 7919) % 100 < 70"""),
     "purchase_learnable_auc": q("""
 SELECT 'logistic_regression' AS model, count(*) AS test_rows, true AS auc_above_0_9
 FROM enriched WHERE NOT (session_id * 7919) % 100 < 70"""),
@@ -514,7 +638,17 @@ FROM enriched WHERE NOT (session_id * 7919) % 100 < 70"""),
 }
 
 
-SQL["purchase_saved_model"] = SQL["purchase_scores"]
+SQL |= {
+    "purchase_lr_coefficients": _lr_coefficients("has_purchased"),
+    "purchase_scores": _lr_scores("has_purchased"),
+    "purchase_saved_model": _lr_scores("has_purchased"),
+    "purchase_lr_auc": _lr_auc("has_purchased"),
+    "purchase_tree": _tree("has_purchased"),
+    "signal_lr_coefficients": _lr_coefficients(SIGNAL),
+    "signal_saved_model": _lr_scores(SIGNAL),
+    "signal_lr_auc": _lr_auc(SIGNAL),
+    "signal_tree": _tree(SIGNAL),
+}
 SQL["csv_enriched"] = f"SELECT {', '.join(c for c in ENRICHED_COLS.replace('session_id, ', '').split(', '))} FROM ({SQL['enriched_sessions']})"
 
 # Reports: the results of each by name, with all their rows and columns.

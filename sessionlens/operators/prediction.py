@@ -3,18 +3,23 @@
 Features: session_duration, pages_viewed, hour (numeric) and one-hot
 device_type, product_category, day_of_week; label = has_purchased.
 Training is distributed by MLlib (tree aggregates for LR, per-partition
-statistics for forests); the driver only holds model parameters.
+statistics for forests); the driver only holds model parameters. The features
+take few values, so the logistic model is fitted on counts of equal rows: one
+pass over the sessions, then iterations over at most as many rows as there are
+combinations of values.
 """
 
 from __future__ import annotations
 
+from itertools import product
+from multiprocessing.pool import ThreadPool
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (OneHotEncoder, StandardScaler, StandardScalerModel,
+                                StringIndexer, VectorAssembler)
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 NUMERIC_FEATURES = ["session_duration", "pages_viewed", "hour"]
@@ -79,36 +84,85 @@ def forest_pipeline(seed: int = 42, num_trees: int = 20, max_depth: int = 5,
     return Pipeline(stages=feature_stages() + [rf])
 
 
-def evaluator() -> BinaryClassificationEvaluator:
-    return BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="rawPrediction",
-                                         metricName="areaUnderROC")
-
-
 def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
     return pipeline.fit(train)
 
 
+def row_counts(train: DataFrame) -> DataFrame:
+    """Equal training rows as one, with their number ``n``."""
+    return train.groupBy(*NUMERIC_FEATURES, *CATEGORICAL_FEATURES, LABEL).agg(F.count(F.lit(1)).alias("n"))
+
+
+def fit_logistic(train: DataFrame, *, max_iter: int = 500, reg: float = 0.01, elastic_net: float = 0.8,
+                 tol: float = 1e-13) -> PipelineModel:
+    """The model of ``logistic_pipeline`` at its optimum, from counts of equal rows.
+
+    The penalty is on features over their standard deviation among all rows, as
+    there. A weighted fit would work out another deviation, so a scaler fitted on
+    the rows stands before it; ``coefficients`` undoes it."""
+    features = Pipeline(stages=[*feature_stages(), StandardScaler(inputCol="features", outputCol="scaled")]).fit(train)
+    lr = LogisticRegression(maxIter=max_iter, regParam=reg, elasticNetParam=elastic_net, tol=tol, labelCol=LABEL,
+                            featuresCol="scaled", weightCol="n", standardization=False)
+    return PipelineModel([*features.stages, lr.fit(features.transform(row_counts(train)))])
+
+
+# --- area under the ROC curve ------------------------------------------------
+
+SCORE_BINS = 4096
+
+
+def score_counts(scored: DataFrame, by: tuple[str, ...] = (), score: str = "probability") -> DataFrame:
+    """(by, score, positives, negatives): rows per distinct probability of label 1."""
+    positive = F.col(LABEL) > 0
+    return scored.groupBy(*by, vector_to_array(score)[1].alias("score")).agg(
+        F.count_if(positive).alias("positives"), F.count_if(~positive).alias("negatives"))
+
+
+def roc_areas(counts: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Exact area under the ROC curve per ``by`` from score counts: the share of
+    (positive, negative) pairs in which the positive has the higher score, ties
+    half. Negatives below a score are those of lower bins of the score range and
+    those below it in its bin, so no window holds more than the bins or one bin's
+    distinct scores. Null without rows of both labels."""
+    bins = counts.withColumn("bin", F.floor(F.col("score") * SCORE_BINS).cast("int"))
+    per_bin = bins.groupBy(*by, "bin").agg(F.sum("negatives").alias("negatives"))
+    lower = F.sum("negatives").over(Window.partitionBy(*by).orderBy("bin")) - F.col("negatives")
+    key = [F.col(c).alias(f"_{c}") for c in (*by, "bin")]
+    per_bin = per_bin.select(*key, lower.alias("lower"))
+    met = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*by, "bin")]
+    inside = F.sum("negatives").over(Window.partitionBy(*by, "bin").orderBy("score")) - F.col("negatives")
+    placed = bins.withColumn("below", inside).join(per_bin, met)
+    won = F.col("positives") * (F.col("lower") + F.col("below") + F.col("negatives") / 2)
+    totals = (F.sum(won).alias("won"), F.sum("positives").alias("positives"), F.sum("negatives").alias("negatives"))
+    sums = placed.groupBy(*by).agg(*totals) if by else placed.agg(*totals)
+    return sums.select(*by, F.coalesce(F.col("positives") + F.col("negatives"), F.lit(0)).alias("rows"),
+                       F.expr("try_divide(try_divide(won, positives), negatives)").alias("auc"))
+
+
 def area_under_roc(model: PipelineModel, test: DataFrame) -> float:
-    return evaluator().evaluate(model.transform(test))
+    return roc_areas(score_counts(model.transform(test))).first()["auc"]
 
 
 def evaluation_table(model: PipelineModel, test: DataFrame, name: str) -> DataFrame:
-    """One-row table (model, test_rows, auc). The AUC is computed by MLlib on
-    the executors; only the scalar comes back."""
-    auc = area_under_roc(model, test)
-    return test.agg(F.count(F.lit(1)).alias("test_rows")).select(
-        F.lit(name).alias("model"), "test_rows", F.lit(auc).alias("auc"))
+    """One-row table (model, test_rows, auc), exact."""
+    return roc_areas(score_counts(model.transform(test))).select(
+        F.lit(name).alias("model"), F.col("rows").alias("test_rows"), "auc")
 
 
 def coefficients(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Fitted logistic-regression weights by feature name, plus the intercept.
     Names come from the ML attribute metadata of the assembled vector (read
     from the schema of ``model.transform(df)``; no job runs)."""
-    lr = model.stages[-1]
+    lr, scale = model.stages[-1], None
+    for stage in model.stages:
+        if isinstance(stage, StandardScalerModel):
+            scale = stage.std.toArray().tolist()
     meta = model.transform(df.limit(0)).schema["features"].metadata
     attrs = meta.get("ml_attr", {}).get("attrs", {})
     names = dict(sorted((a["idx"], a["name"]) for group in attrs.values() for a in group))
     weights = lr.coefficients.toArray().tolist()
+    if scale:
+        weights = [w / s if s else 0.0 for w, s in zip(weights, scale)]
     rows = [(i, names.get(i, f"f{i}"), float(w)) for i, w in enumerate(weights)]
     rows.append((len(rows), "(intercept)", float(lr.intercept)))
     return df.sparkSession.createDataFrame(rows, "position int, feature string, coefficient double")
@@ -121,35 +175,96 @@ def feature_vectors(model: PipelineModel, df: DataFrame, key: str = KEY) -> Data
     return PipelineModel(stages).transform(df).select(key, vector_to_array("features").alias("features"))
 
 
-def cross_validate(train: DataFrame, *, num_trees=(10, 20, 30), max_depth=(5, 10, 15),
-                   impurity=("gini", "entropy"), folds: int = 3, seed: int = 42,
-                   parallelism: int = 1, key: str | None = None) -> PipelineModel:
-    """Grid search over forest parameters with k-fold cross-validation; the
-    grid is an argument (the reference's 3 x 3 x 2 by default). The fold of a
-    row follows from its key, not from where it lies; the features are indexed
-    and assembled once, before the folds."""
-    rf = forest_pipeline(seed=seed).getStages()[-1]
-    fold = F.pmod(F.xxhash64(row_key(train, key), F.lit(seed)), F.lit(folds)).cast("int")
-    grid = (ParamGridBuilder()
-            .addGrid(rf.numTrees, list(num_trees))
-            .addGrid(rf.maxDepth, list(max_depth))
-            .addGrid(rf.impurity, list(impurity))
-            .build())
-    cv = CrossValidator(estimator=rf, evaluator=evaluator(), estimatorParamMaps=grid,
-                        numFolds=folds, seed=seed, parallelism=parallelism, foldCol="fold")
-    features = Pipeline(stages=feature_stages()).fit(train)
-    ready = features.transform(train).select("features", LABEL, fold.alias("fold"))
-    return PipelineModel([*features.stages, cv.fit(ready).bestModel])
+def tree(train: DataFrame, *, max_depth: int = 5, impurity: str = "gini", max_bins: int = 512) -> PipelineModel:
+    """One tree over all rows and features: no bootstrap, no feature subsets. With
+    at least as many bins as a feature has values every split is looked at; MLlib
+    looks for the values in a sample of about ``max_bins`` squared rows."""
+    rf = RandomForestClassifier(labelCol=LABEL, featuresCol="features", seed=0, numTrees=1, maxDepth=max_depth,
+                                impurity=impurity, bootstrap=False, subsamplingRate=1.0,
+                                featureSubsetStrategy="all", maxBins=max_bins)
+    return Pipeline(stages=[*feature_stages(), rf]).fit(train)
+
+
+def leaf_table(model: PipelineModel, rows: DataFrame, key: str = KEY) -> DataFrame:
+    """Per row: ``key``, label and the probability of label 1 in the leaf it falls into."""
+    return model.transform(rows).select(key, LABEL, vector_to_array("probability")[1].alias("probability"))
+
+
+# --- grid search -------------------------------------------------------------
 
+GRID = {"num_trees": (10, 20, 30), "max_depth": (5, 10, 15), "impurity": ("gini", "entropy")}
 
-def score(model: PipelineModel, sessions: DataFrame) -> DataFrame:
+
+def grid(**values) -> list[dict]:
+    """All combinations of the values, the last name changing fastest."""
+    return [dict(zip(values, combination)) for combination in product(*values.values())]
+
+
+def folded(train: DataFrame, folds: int = 3, seed: int = 42, key: str | None = None) -> DataFrame:
+    """``train`` and ``fold``, which follows from a row's key, not from where it lies."""
+    return train.withColumn("fold", F.pmod(F.xxhash64(row_key(train, key), F.lit(seed)), F.lit(folds)).cast("int"))
+
+
+def out_of_fold_counts(train: DataFrame, candidates: list[dict], *, folds: int = 3, seed: int = 42,
+                       parallelism: int = 1, key: str | None = None, keep=lambda df, name: df) -> DataFrame:
+    """(candidate, fold, score, positives, negatives): every row scored by the
+    forests that did not see its fold, as counts per distinct score. Features are
+    indexed and assembled once. ``keep`` gets each part of the table and a name for
+    it, to write it where a lost executor should not fit its forest again."""
+    features = Pipeline(stages=feature_stages()).fit(train)
+    ready = keep(features.transform(folded(train, folds, seed, key)).select("features", LABEL, "fold"), "features")
+
+    def part(job):
+        (number, how), fold = job
+        rf = forest_pipeline(seed=seed, **how).getStages()[-1]
+        scored = rf.fit(ready.where(F.col("fold") != fold)).transform(ready.where(F.col("fold") == fold))
+        counts = score_counts(scored).select(F.lit(number).alias("candidate"), F.lit(fold).alias("fold"),
+                                             "score", "positives", "negatives")
+        return keep(counts, f"scores-{number}-{fold}")
+
+    with ThreadPool(parallelism) as pool:
+        parts = pool.map(part, product(enumerate(candidates), range(folds)), chunksize=1)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def fold_metrics(counts: DataFrame, candidates: list[dict]) -> DataFrame:
+    """Out-of-fold counts -> (candidate, its values, fold, rows, auc)."""
+    areas = roc_areas(counts, ("candidate", "fold"))
+    names = list(candidates[0])
+    table = areas.sparkSession.createDataFrame([(i, *c.values()) for i, c in enumerate(candidates)],
+                                               ["candidate", *names])
+    table = table.withColumn("candidate", F.col("candidate").cast("int"))
+    return areas.join(F.broadcast(table), "candidate").select("candidate", *names, "fold", "rows", "auc")
+
+
+def best_candidate(metrics: DataFrame) -> int:
+    """The candidate with the highest mean AUC over its folds, the first of equals."""
+    ranked = metrics.groupBy("candidate").agg(F.avg("auc").alias("auc")).orderBy(F.desc_nulls_last("auc"), "candidate")
+    return ranked.first()["candidate"]
+
+
+def cross_validate(train: DataFrame, *, num_trees=GRID["num_trees"], max_depth=GRID["max_depth"],
+                   impurity=GRID["impurity"], folds: int = 3, seed: int = 42, parallelism: int = 1,
+                   key: str | None = None, keep=lambda df, name: df) -> PipelineModel:
+    """Grid search over forest parameters with k-fold cross-validation (by default
+    the reference's 3 x 3 x 2 grid), refitted on all rows with the best values."""
+    candidates = grid(num_trees=num_trees, max_depth=max_depth, impurity=impurity)
+    counts = out_of_fold_counts(train, candidates, folds=folds, seed=seed, parallelism=parallelism, key=key, keep=keep)
+    best = candidates[best_candidate(fold_metrics(counts, candidates))]
+    return fit(forest_pipeline(seed=seed, **best), train)
+
+
+def score(model: PipelineModel, sessions: DataFrame, ordered: bool = True) -> DataFrame:
     """All input columns + model outputs + purchase_probability (percent, 2
-    decimals) and predicted_purchase, most likely buyers first, ties by key."""
-    out = model.transform(sessions)
-    return (out.select("*",
-                       F.round(vector_to_array("probability")[1] * 100, 2).alias("purchase_probability"),
-                       F.col("prediction").alias("predicted_purchase"))
-            .orderBy(F.desc("purchase_probability"), row_key(sessions)))
+    decimals) and predicted_purchase, most likely buyers first, ties by key. Scoring
+    alone is a map; ``ordered=False`` leaves the global sort out."""
+    out = model.transform(sessions).select(
+        "*", F.round(vector_to_array("probability")[1] * 100, 2).alias("purchase_probability"),
+        F.col("prediction").alias("predicted_purchase"))
+    return out.orderBy(F.desc("purchase_probability"), row_key(sessions)) if ordered else out
 
 
 def save(model: PipelineModel, path: str) -> None:
