@@ -20,10 +20,11 @@ from oracle.sql import oracle_sql as _oracle_sql
 from sessionlens.operators import (clean, cohorts, descriptive, features, prediction,
                                    quality, reviews, segmentation, series, temporal)
 from sessionlens.config import scratch_path
-from sessionlens.plans import reports
-from sessionlens.schema import SESSION_COLUMNS
-from sessionlens.sources import (escape_breaks, read_sessions_csv, session_view,
-                                 unescape_breaks, write_csv, write_parquet)
+from sessionlens.functions import sketches
+from sessionlens.plans import reports, stage
+from sessionlens.schema import QUANTILE_REL_ERROR, RFM_QUINTILES, SESSION_COLUMNS
+from sessionlens.sources import (escape_breaks, quarantine, read_sessions_checked, read_sessions_csv,
+                                 session_view, unescape_breaks, write_csv, write_parquet)
 from sessionlens.sources.tables import SESSION_TABLES, attach_text, file_state
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -78,23 +79,35 @@ def _on_enriched(op: Callable[[DataFrame], DataFrame], text: bool = False):
     return lambda spark, sf_dir: op(enriched(spark, sf_dir, text))
 
 
+def _written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder once, for results that read it several times."""
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    write_parquet(df, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segmentation.user_metrics(enriched(spark, sf_dir))
+
+
 def _rfm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segmentation.rfm_base(segmentation.user_metrics(enriched(spark, sf_dir)), AS_OF)
+    return segmentation.rfm_base(_metrics(spark, sf_dir), AS_OF)
+
+
+def _rfm_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # read by both cut-point passes and the scoring
+    return segmentation.rfm_base(_written(spark, _metrics(spark, sf_dir), "user-metrics"), AS_OF)
 
 
 def _rfm_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The per-user shuffle feeds both cut-point passes and the scoring; Spark
-    # reuses it, so the sessions are read and combined once.
-    return segmentation.rfm_scores(_rfm(spark, sf_dir), exact=True)
+    return segmentation.rfm_scores(_rfm_staged(spark, sf_dir), exact=True)
 
 
 def _split(spark: SparkSession, sf_dir: str, data: DataFrame | None = None):
     """Training and test rows of the narrow model table, written once: indexing,
     fitting and scoring all read it."""
     data = prediction.model_input(enriched(spark, sf_dir)) if data is None else data
-    path = scratch_path(spark, f"model-input-{uuid.uuid4().hex}")
-    write_parquet(data, path)
-    return prediction.train_test_split(spark.read.schema(data.schema).parquet(path))
+    return prediction.train_test_split(_written(spark, data, "model-input"))
 
 
 def _signal(sessions: DataFrame) -> DataFrame:
@@ -208,6 +221,71 @@ def _scan_csv(spark, sf_dir):
     return unescape_breaks(read_sessions_csv(spark, path), "review_text")
 
 
+BAD_CELLS = {1: ("session_duration", "soon"), 2: ("purchase_amount", "12,5"), 3: ("timestamp", "yesterday")}
+
+
+def _faulty_csv(spark, sf_dir):
+    """The session table as CSV lines, where the last digits of the id plant bad
+    cells (one, or two at once), lines that break off and lines with a field too many."""
+    sessions = escape_breaks(raw(spark, sf_dir, text=True), "review_text")
+    case = F.pmod("session_id", F.lit(50))
+    cell = lambda n: F.col(n).cast("string")
+    for value, (name, bad) in BAD_CELLS.items():
+        here = F.lit(value) if name != "timestamp" else F.lit(3)
+        sessions = sessions.withColumn(name, F.when((case == here) | ((case == 6) & F.lit(value < 3)), F.lit(bad)).otherwise(cell(name)))
+    line = F.to_csv(F.struct(*SESSION_COLUMNS), {"escape": '"', "ignoreLeadingWhiteSpace": "false",
+                                                 "ignoreTrailingWhiteSpace": "false"})
+    line = F.when(case == 4, F.concat(line, F.lit(",more"))).when(case == 5, F.concat("user_id", F.lit(",7,"))).otherwise(line)
+    path = scratch_path(spark, f"faulty-csv-{uuid.uuid4().hex}")
+    sessions.select(line.alias("value")).write.text(path)
+    return read_sessions_checked(spark, path, header=False)
+
+
+def _csv_good(spark, sf_dir):
+    """Sessions of a faulty CSV that are sound, typed."""
+    return unescape_breaks(quarantine(_faulty_csv(spark, sf_dir))[0], "review_text")
+
+
+def _csv_quarantine(spark, sf_dir):
+    """Lines per reason, the good ones as ``good``."""
+    checked = _faulty_csv(spark, sf_dir)
+    return checked.groupBy(F.coalesce("reason", F.lit("good")).alias("reason")).agg(
+        F.count(F.lit(1)).alias("lines"), F.count("line").alias("kept_lines"))
+
+
+SKETCHED = ["session_duration", "pages_viewed", "purchase_amount", "review_score"]
+COUNTED = ["session_id", "user_id", "product_category", "purchase_amount", "timestamp", "city"]
+
+
+def _monthly(spark, sf_dir, build, cols):
+    """Sketches per month, written as a store of them would be."""
+    return _written(spark, build(enriched(spark, sf_dir), cols, ["year", "month"]), "sketches")
+
+
+def _approximate_cut_ranks(spark, sf_dir):
+    """Rank errors of approximate cut points: merged monthly sketches of the
+    sessions, and the quantile mode of the RFM scores. ``within``: 0.05 of the rows."""
+    sessions = enriched(spark, sf_dir)
+    cuts = sketches.merged_quantiles(_monthly(spark, sf_dir, sketches.quantile_sketches, SKETCHED), SKETCHED, [0.25, 0.5, 0.75])
+    rfm = _rfm_staged(spark, sf_dir)
+    parts = [("sessions", sketches.rank_errors(sessions, cuts, SKETCHED, [0.25, 0.5, 0.75])),
+             ("rfm", sketches.rank_errors(rfm, segmentation.rfm_quantiles(rfm, exact=False),
+                                          segmentation.RFM_DIMENSIONS, RFM_QUINTILES))]
+    rows = [df.select(F.lit(of).alias("of"), "column_name", "quantile", "rows",
+                      (F.col("rank_error") <= QUANTILE_REL_ERROR).alias("within")) for of, df in parts]
+    return rows[0].unionByName(rows[1])
+
+
+def _approximate_distinct(spark, sf_dir):
+    """Exact distinct counts, and whether the merged monthly sketches are within 5 %."""
+    merged = sketches.merged_distinct(_monthly(spark, sf_dir, sketches.distinct_sketches, COUNTED), COUNTED)
+    counts = quality.distinct_counts(enriched(spark, sf_dir).select(*COUNTED))
+    exact = counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_dist{i}").alias("distinct_count"))
+                                             for i, c in enumerate(COUNTED)])))
+    near = F.abs(F.col("estimate") - F.col("distinct_count")) <= 0.05 * F.col("distinct_count")
+    return exact.join(merged, "column_name").select("column_name", "distinct_count", near.alias("within"))
+
+
 def _csv_enriched(spark, sf_dir):
     """The whole way from an 11-column CSV (no session id): scan, clean, enrich."""
     return features.transform(clean.clean_sessions(_scan_csv(spark, sf_dir)))
@@ -249,6 +327,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_sessions": lambda s, d: raw(s, d, text=True),
     "scan_csv": _scan_csv,
     "csv_enriched": _csv_enriched,
+    "csv_good": _csv_good,
+    "csv_quarantine": _csv_quarantine,
     "parquet_sink": _parquet_sink,
     "null_counts": lambda s, d: clean.null_counts(raw(s, d, text=True)),
     "clean_audit": lambda s, d: clean.clean_audit(raw(s, d)),
@@ -264,6 +344,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "session_number": lambda s, d: features.session_number(cleaned(s, d)).select(
         "session_id", "user_id", "timestamp", "session_number"),
     "enriched_sessions": lambda s, d: enriched(s, d, text=True),
+    # cleaned sessions staged in the shared folder, then enriched
+    "staged_sessions": lambda s, d: attach_text(s, d, features.transform(stage(cleaned(s, d), how="checkpoint"))),
     "pages_per_minute": lambda s, d: features.pages_per_minute(enriched(s, d)).select(
         "session_id", "pages_per_minute"),
     "user_history": _on_enriched(features.user_history),
@@ -290,14 +372,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "segment_distribution": _on_enriched(lambda e: segmentation.segment_distribution(
         segmentation.behavior_segments(segmentation.user_metrics(e)))),
     "rfm_base": _rfm,
-    "rfm_quantiles": lambda s, d: segmentation.rfm_quantiles_long(_rfm(s, d), exact=True),
+    "rfm_quantiles": lambda s, d: segmentation.rfm_quantiles_long(_rfm_staged(s, d), exact=True),
     "rfm_scores": _rfm_scored,
     "rfm_segments": lambda s, d: segmentation.rfm_segments(_rfm_scored(s, d)),
     "rfm_distribution": lambda s, d: segmentation.rfm_distribution(
         segmentation.rfm_segments(_rfm_scored(s, d))),
     # the reference's own approximate cut points (sketch, rel. error 0.05):
     # not comparable value-by-value with an exact oracle -> rows-only check
-    "rfm_scores_approx": lambda s, d: segmentation.rfm_scores(_rfm(s, d), exact=False),
+    "rfm_scores_approx": lambda s, d: segmentation.rfm_scores(_rfm_staged(s, d), exact=False),
+    # what they and the merged monthly sketches miss by, exactly
+    "approximate_cut_ranks": _approximate_cut_ranks,
     # cohorts
     "user_cohorts": _on_enriched(cohorts.user_cohorts),
     "cohort_activity": _on_enriched(cohorts.cohort_activity),
@@ -311,6 +395,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "common_positive_terms": _on_enriched(reviews.positive_terms, text=True),
     "common_negative_terms": _on_enriched(reviews.negative_terms, text=True),
     "top_terms": _on_enriched(reviews.top_terms, text=True),
+    "top_terms_sketched": _on_enriched(reviews.top_terms_sketched, text=True),
     "review_impact": _on_enriched(reviews.review_impact),
     # dashboard series
     "chart_category_distribution": _on_enriched(series.chart_category_distribution),
@@ -324,6 +409,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # data quality and utilities
     "data_quality": lambda s, d: quality.data_quality(raw(s, d, text=True), exact=True),
     "data_quality_approx": lambda s, d: quality.data_quality(raw(s, d, text=True), exact=False),
+    "approximate_distinct": _approximate_distinct,
     "table_summary": lambda s, d: quality.table_summary(raw(s, d)),
     "cap_outliers": lambda s, d: clean.cap_outliers(cleaned(s, d), "session_duration", exact=True).select(
         "session_id", "session_duration"),
@@ -336,7 +422,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # whole reports
     "descriptive_report": _report(reports.descriptive_report),
     "temporal_report": _report(reports.temporal_report),
-    "segmentation_report": _report(lambda e: reports.segmentation_report(e, as_of=AS_OF, exact=True)),
+    "segmentation_report": _report(lambda e: reports.segmentation_report(
+        e, as_of=AS_OF, exact=True, metrics=_written(e.sparkSession, segmentation.user_metrics(e), "user-metrics"))),
     "review_report": _report(reports.review_report),
     # machine learning
     "model_input": lambda s, d: prediction.model_input(enriched(s, d)),

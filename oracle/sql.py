@@ -607,12 +607,12 @@ FROM clean CROSS JOIN b"""),
 , b AS (SELECT quantile_disc(session_duration, 0.25) AS q1, quantile_disc(session_duration, 0.75) AS q3 FROM raw)
 SELECT session_id, session_duration FROM raw CROSS JOIN b
 WHERE session_duration >= q1 - 1.5 * (q3 - q1) AND session_duration <= q3 + 1.5 * (q3 - q1)"""),
-    "table_schema": "SELECT * FROM (VALUES " + ", ".join(
-        f"({i}, '{n}', '{t}')" for i, (n, t) in enumerate(
+    "table_schema": q("\nUNION ALL\n".join(
+        f"SELECT {i} AS position, '{n}' AS column_name, '{t}' AS data_type, count({n}) AS filled FROM raw" for i, (n, t) in enumerate(
             [("session_id", "bigint"), ("user_id", "string"), ("session_duration", "int"), ("pages_viewed", "int"),
              ("product_category", "string"), ("purchase_amount", "double"), ("review_score", "double"),
              ("review_text", "string"), ("timestamp", "timestamp_ntz"), ("device_type", "string"),
-             ("country", "string"), ("city", "string")])) + ") t(position, column_name, data_type)",
+             ("country", "string"), ("city", "string")]))),
     "table_preview": q("SELECT session_id, user_id, session_duration, pages_viewed, product_category, purchase_amount, "
                        "review_score, device_type, country, city FROM raw ORDER BY session_id LIMIT 5"),
     "feature_vectors": q("""
@@ -649,6 +649,24 @@ SQL |= {
     "signal_lr_auc": _lr_auc(SIGNAL),
     "signal_tree": _tree(SIGNAL),
 }
+SQL["top_terms_sketched"] = SQL["top_terms"]
+SQL["staged_sessions"] = SQL["enriched_sessions"]
+CSV_COLUMNS = "user_id, session_duration, pages_viewed, product_category, purchase_amount, review_score, review_text, timestamp, device_type, country, city"
+SQL["csv_good"] = q(f"SELECT {CSV_COLUMNS} FROM raw WHERE session_id % 50 NOT BETWEEN 1 AND 6")
+SQL["csv_quarantine"] = q("""
+SELECT CASE session_id % 50 WHEN 1 THEN 'bad session_duration' WHEN 2 THEN 'bad purchase_amount' WHEN 3 THEN 'bad timestamp'
+    WHEN 4 THEN 'ragged' WHEN 5 THEN 'ragged' WHEN 6 THEN 'bad session_duration, purchase_amount' ELSE 'good' END AS reason,
+  count(*) AS lines, count(*) FILTER (session_id % 50 BETWEEN 1 AND 6) AS kept_lines
+FROM raw GROUP BY 1""")
+SQL["approximate_cut_ranks"] = q("\nUNION ALL\n".join(
+    f"SELECT '{of}' AS of, '{c}' AS column_name, CAST({p} AS DOUBLE) AS quantile, count({c}) AS rows, true AS within FROM {table}"
+    for of, table, columns, probs in (
+        ("sessions", "enriched", ("session_duration", "pages_viewed", "purchase_amount", "review_score"), (0.25, 0.5, 0.75)),
+        ("rfm", "rfm", ("recency_days", "frequency", "monetary"), (0.2, 0.4, 0.6, 0.8)))
+    for c in columns for p in probs))
+SQL["approximate_distinct"] = q("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS distinct_count, true AS within FROM enriched"
+    for c in ("session_id", "user_id", "product_category", "purchase_amount", "timestamp", "city")))
 SQL["csv_enriched"] = f"SELECT {', '.join(c for c in ENRICHED_COLS.replace('session_id, ', '').split(', '))} FROM ({SQL['enriched_sessions']})"
 
 # Reports: the results of each by name, with all their rows and columns.

@@ -128,9 +128,13 @@ def table_summary(df: DataFrame) -> DataFrame:
 
 
 def table_schema(df: DataFrame) -> DataFrame:
-    """(position, column_name, data_type) from the schema metadata."""
-    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string")
+    """(position, column_name, data_type, filled): the schema, and how many rows
+    have a value in each column, from one aggregate."""
+    filled = df.agg(*[F.count(F.col(c)).alias(f"_{i}") for i, c in enumerate(df.columns)])
+    return filled.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column_name"),
+                 F.lit(f.dataType.simpleString()).alias("data_type"), F.col(f"_{i}").alias("filled"))
+        for i, f in enumerate(df.schema.fields)])))
 
 
 def table_preview(df: DataFrame, n: int = 5, order: str | None = None) -> DataFrame:

@@ -83,6 +83,46 @@ def top_terms(df: DataFrame, n: int = 10,
             .orderBy("review_category", "rank"))
 
 
+TRACKED = 1 << 16    # terms that a task's sketch follows, at most
+SURVIVORS = 4096     # terms a bucket that are counted exactly
+
+
+def top_terms_sketched(df: DataFrame, n: int = 10,
+                       categories: tuple[str, ...] = (REVIEW_POSITIVE, REVIEW_NEGATIVE),
+                       text: str = "review_text", tracked: int = TRACKED) -> DataFrame:
+    """``top_terms`` for vocabularies too large to be shuffled: equal results, in
+    two passes over the text. A frequent-items sketch per task and bucket, merged,
+    names the terms that can be frequent; only those are counted. A term that it
+    does not name occurs at most ``bound`` times: twice the sketch's error (3.5
+    words in ``tracked`` at most), or as often as the last term named where the list
+    is full. A bucket whose n-th count is not above that is counted in full.
+    The driver holds the named terms (``SURVIVORS`` a bucket) and the top rows."""
+    rated = df.filter(F.col("review_category").isin(*categories) & F.col(text).isNotNull())
+    words = rated.select("review_category", F.explode(tokens(text)).alias("term"))
+    named = min(SURVIVORS, tracked)
+    sketches = words.groupBy("review_category").agg(
+        F.expr(f"approx_top_k(term, {named}, {tracked})").alias("items"), F.count(F.lit(1)).alias("words")).collect()
+    spark, kind = df.sparkSession, "review_category string, term string"
+    bound = {r.review_category: max(2 * 3.5 * r.words / tracked,
+                                    min((i["count"] for i in r["items"]), default=0) if len(r["items"]) == named else 0)
+             for r in sketches}
+    survivors = spark.createDataFrame([(r.review_category, i["item"]) for r in sketches for i in r["items"]], kind)
+    order = Window.partitionBy("review_category").orderBy(F.desc("count"), F.asc("term"))
+
+    def ranked(some: DataFrame) -> DataFrame:
+        counts = some.groupBy("review_category", "term").agg(F.count(F.lit(1)).alias("count"))
+        return counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
+
+    top = ranked(words.join(F.broadcast(survivors), ["review_category", "term"])).collect()
+    last = {r.review_category: r["count"] for r in top if r["rank"] == n}
+    unsure = [c for c in bound if last.get(c, 0) <= bound[c]]
+    out = spark.createDataFrame([tuple(r) for r in top if r.review_category not in unsure],
+                                f"{kind}, count long, rank int")
+    if unsure:
+        out = out.unionByName(ranked(words.filter(F.col("review_category").isin(*unsure))))
+    return out.orderBy("review_category", "rank")
+
+
 def review_impact(df: DataFrame) -> DataFrame:
     """Users grouped by their rounded mean rating (half-up): mean purchases
     per user and number of users."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from sessionlens.schema import SESSION_SCHEMA
 
@@ -33,9 +33,49 @@ def read_sessions_csv(spark: SparkSession, path: str, *, header: bool = True,
     return reader.csv(path)
 
 
+def read_sessions_checked(spark: SparkSession, path: str, *, header: bool = True, sep: str = ",",
+                          schema: StructType = SESSION_SCHEMA, multi_line: bool = False) -> DataFrame:
+    """Scan session CSV files and say what is wrong with each line.
+
+    All typed columns, ``reason`` (null for a good row) and ``line`` (the text of a
+    bad row, to be mended and read again). ``ragged``: fewer or more fields than
+    the schema has; its cells are what could be told apart. ``bad <column>, ...``: the
+    cells that are not of their column's type, null here; blanks around numbers
+    are no fault. Cells are read as text and cast, so one pass finds both."""
+    texts = StructType([StructField(f.name, StringType()) for f in schema.fields])
+    names = [f.name for f in schema.fields]
+    rows = (spark.read.schema(texts.add("_line", StringType()))
+            .option("header", header).option("sep", sep).option("mode", "PERMISSIVE").option("escape", '"')
+            .option("columnNameOfCorruptRecord", "_line")
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+            .option("multiLine", multi_line).csv(path))
+    typed = {f.name: F.col(f.name) if isinstance(f.dataType, StringType) else F.col(f.name).try_cast(f.dataType)
+             for f in schema.fields}
+    bad = F.array_compact(F.array(*[F.when(F.col(n).isNotNull() & typed[n].isNull(), F.lit(n)) for n in names]))
+    reason = F.when(F.col("_line").isNotNull(), "ragged").when(
+        F.size(bad) > 0, F.concat(F.lit("bad "), F.array_join(bad, ", ")))
+    whole = F.to_csv(F.struct(*names), {"sep": sep, "escape": '"', "ignoreLeadingWhiteSpace": "false",
+                                        "ignoreTrailingWhiteSpace": "false"})
+    return rows.select(*[typed[n].alias(n) for n in names], reason.alias("reason"),
+                       F.when(reason.isNotNull(), F.coalesce("_line", whole)).alias("line"))
+
+
+def quarantine(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Checked rows -> good sessions, and the bad lines with their reasons. Every
+    row is in exactly one of them."""
+    good = checked.where("reason is null").drop("reason", "line")
+    return good, checked.where("reason is not null").select("reason", "line")
+
+
 def write_parquet(df: DataFrame, path: str, *, partition_by: list[str] | None = None,
                   mode: str = "overwrite") -> None:
-    """Parquet sink; ``partition_by`` (e.g. year, month) enables pruning later."""
+    """Parquet sink; ``partition_by`` (e.g. year, month) enables pruning later. Rows
+    of one partition are brought together before the write, else each task would
+    leave a file in every partition; adaptive execution cuts large ones (a hot month)
+    into several tasks, and files, of about
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` and packs small ones."""
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
