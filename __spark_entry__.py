@@ -70,7 +70,7 @@ def enriched(spark: SparkSession, sf_dir: str, text: bool = False) -> DataFrame:
     # The text is joined after the enrichment too, so the session-numbering
     # shuffle moves narrow rows and the text crosses the network once.
     def build():
-        out = features.transform(cleaned(spark, sf_dir))
+        out = features.transform(cleaned(spark, sf_dir), hot_from=raw(spark, sf_dir))
         return attach_text(spark, sf_dir, out) if text else out
     return _memo("enriched", spark, sf_dir, text, build)
 
@@ -341,7 +341,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "session_id", "purchase_amount", "has_purchased"),
     "review_category": lambda s, d: features.review_category(cleaned(s, d)).select(
         "session_id", "review_score", "review_category"),
-    "session_number": lambda s, d: features.session_number(cleaned(s, d)).select(
+    "session_number": lambda s, d: features.session_number(cleaned(s, d), hot_from=raw(s, d)).select(
         "session_id", "user_id", "timestamp", "session_number"),
     "enriched_sessions": lambda s, d: enriched(s, d, text=True),
     # cleaned sessions staged in the shared folder, then enriched

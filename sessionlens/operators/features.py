@@ -75,8 +75,24 @@ def _minute(df: DataFrame, ts: str) -> Column:
     return (F.unix_date(F.to_date(t)) * 1440 + F.hour(t) * 60 + F.minute(t)).cast("long")
 
 
+def _order_keys(df: DataFrame, user: str, ts: str, tie_key: Column, groups: list[str]) -> DataFrame:
+    t = F.col(ts)
+    return df.withColumns({
+        "_u_null": F.col(user).isNull(),
+        "_u": F.coalesce(F.col(user).cast("string"), F.lit("")),
+        "_d_null": t.isNull(),
+        "_d": F.coalesce(_minute(df, ts), F.lit(0).cast("long")),
+        "_tie": F.coalesce(tie_key, F.lit(0).cast("long")),
+    }).withColumns({
+        # one number that never falls as (second, tie) goes up
+        "_at": F.coalesce(F.second(t), F.lit(0)).cast("double") * float(1 << 63) * 2 + F.col("_tie").cast("double"),
+        "_bucket": F.pmod(F.xxhash64(*groups), F.lit(BUCKETS)),
+    })
+
+
 def session_number(df: DataFrame, *, tie: str | None = None, user: str = "user_id",
-                   ts: str = "timestamp", hot_rows: int = HOT_ROWS) -> DataFrame:
+                   ts: str = "timestamp", hot_rows: int = HOT_ROWS,
+                   hot_from: DataFrame | None = None) -> DataFrame:
     """``row_number`` of each session within its user, by (timestamp, tie).
 
     A single user may own a third of all rows, so rows are numbered inside
@@ -87,6 +103,10 @@ def session_number(df: DataFrame, *, tie: str | None = None, user: str = "user_i
     thousandth of all, so at most a thousand) are numbered in parts, ranges of
     their (second, tie) span.
 
+    ``hot_from``: a table whose rows include those of ``df`` (the raw sessions), to
+    count the buckets on instead: the numbers stay the same, and it reads the
+    three order columns only, without what cleaning joins and filters by.
+
     The sizes come from a narrow count of the keys; the wide rows are shuffled
     and sorted once, by the group keys. Null users and null timestamps are
     numbered too (null-flag keys; a null time comes first).
@@ -95,19 +115,14 @@ def session_number(df: DataFrame, *, tie: str | None = None, user: str = "user_i
     names = [*groups, "_part"]
     tie_key, after = _tie(df, tie)
     t = F.col(ts)
-    keyed = df.withColumns({
-        "_u_null": F.col(user).isNull(),
-        "_u": F.coalesce(F.col(user).cast("string"), F.lit("")),
-        "_d_null": t.isNull(),
-        "_d": F.coalesce(_minute(df, ts), F.lit(0).cast("long")),
-        "_tie": F.coalesce(tie_key, F.lit(0).cast("long")),
-    }).withColumns({
-        # one number that never falls as (second, tie) goes up
-        "_at": F.coalesce(F.second(t), F.lit(0)).cast("double") * float(1 << 63) * 2 + F.col("_tie").cast("double"),
-        "_bucket": F.pmod(F.xxhash64(*groups), F.lit(BUCKETS)),
-    })
-    buckets = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"), F.min("_at").alias("low"),
-                                           F.max("_at").alias("high"))
+    keyed = _order_keys(df, user, ts, tie_key, groups)
+    counted = keyed
+    if hot_from is not None:
+        hot_tie, more = _tie(hot_from, tie)
+        if not after and not more:  # else ties are broken by columns that the tables do not share
+            counted = _order_keys(hot_from, user, ts, hot_tie, groups)
+    buckets = counted.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"), F.min("_at").alias("low"),
+                                             F.max("_at").alias("high"))
     found = buckets.agg(F.collect_list(F.struct("_bucket", "n", "low", "high")).alias("all"),
                         F.sum("n").alias("rows"))
     least = F.greatest(F.lit(hot_rows), F.col("rows") / 1000)
@@ -132,12 +147,12 @@ def session_number(df: DataFrame, *, tie: str | None = None, user: str = "user_i
             .drop(*names, "_tie", "_at", "_bucket", "_local", "_off"))
 
 
-def transform(df: DataFrame, *, tie: str | None = None) -> DataFrame:
+def transform(df: DataFrame, *, tie: str | None = None, hot_from: DataFrame | None = None) -> DataFrame:
     """Whole enrichment: calendar, length bucket, purchase flag, rating
     bucket, session number. Unused derived columns are pruned by Catalyst
     (an unreferenced ``session_number`` removes its window and join)."""
     out = review_category(purchase_flag(session_category(time_features(df))))
-    return session_number(out, tie=tie)
+    return session_number(out, tie=tie, hot_from=hot_from)
 
 
 def pages_per_minute(df: DataFrame) -> DataFrame:

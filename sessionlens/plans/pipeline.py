@@ -45,7 +45,7 @@ def run(raw: DataFrame, out_dir: str, *, as_of=None, exact: bool = False,
             written[f"{group}/{name}"] = path
 
     sink("audit", {"null_counts": clean.null_counts(add(raw)), "clean_audit": clean.clean_audit(raw)})
-    enriched = stage(features.transform(add(clean.clean_sessions(raw))), how=stage_how)
+    enriched = stage(features.transform(add(clean.clean_sessions(raw)), hot_from=raw), how=stage_how)
     staged = [enriched]
     try:
         write_parquet(enriched, os.path.join(out_dir, "enriched"), partition_by=["year", "month"])

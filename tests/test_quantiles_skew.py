@@ -141,3 +141,17 @@ def test_session_number_hot_instants_null_times_and_clock_change(spark):
                     == {r.x: r.session_number for r in _one_window(bare, digest).collect()})
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_hot_keys_counted_on_another_table_give_the_same_numbers(spark):
+    """The raw table has more rows than the one that is numbered, or other ones
+    altogether: the parts differ, the numbers don't."""
+    df = _hot_user_sessions(spark).withColumn("timestamp", F.date_trunc("hour", "timestamp"))
+    df = df.withColumn("timestamp", F.when(F.col("session_id") % 4 > 0, F.lit("2024-01-01 10:00:00").cast("timestamp")).otherwise(F.col("timestamp")))
+    want = {r.session_id: r.session_number for r in _one_window(df).collect()}
+    more = df.unionByName(df.withColumn("session_id", F.col("session_id") + 50_000))
+    for other in (more, more.where("session_id % 5 = 0"), more.limit(0), df.drop("session_id")):
+        got = {r.session_id: r.session_number for r in features.session_number(df, hot_rows=20, hot_from=other).collect()}
+        assert got == want
+    plan = features.session_number(df, hot_from=more.select("session_id", "user_id", "timestamp"))
+    assert plan.count() == df.count()
