@@ -2,9 +2,11 @@
 
 A log holds events per conversation: ``delta`` appends to a message, ``edit``
 replaces what it says so far, ``regenerate`` empties it (deltas follow),
-``delete`` removes it; a ``turn`` is a whole message by itself. Events are applied by sequence number and folded into
+``delete`` removes it. Events are applied by sequence number and folded into
 one text per message; messages are rendered in the order of their first event
-and joined per conversation.
+and joined per conversation. Finished turns become the log that a chat service
+would have kept of them: an answer's first attempt, its regeneration and the
+streamed deltas; a question's first words and the edit to what it says.
 
 Template: a turn is ``<s>[ROLE]role[/ROLE]text</s>``. Inside roles and texts
 every control string gets a backslash after its first character (``<\\s>``), and
@@ -17,8 +19,9 @@ events is not gathered for them; only the finished turns of a conversation
 meet, as its formatted text is one value.
 
 Cases: a null text or role is empty. Turns with equal numbers are ordered by
-role, then a digest of the text; repeated rows are turns of their own. Null turn numbers come
-first. A null conversation id is a conversation. An event without a message
+role, then a digest of the text; repeated rows are turns of their own, told apart
+by a copy number. Null turn numbers come first. A text of any length is streamed as
+deltas and rendered whole. A null conversation id is a conversation. An event without a message
 id, or of another kind, is ignored. Empty tables give no rows; extra columns
 are ignored.
 """
@@ -34,7 +37,9 @@ CONTROL = r"/?s>|/?ROLE\]|/?INST\]|/?SYS\]"
 ESCAPE = rf"(?i)([<\[])(\\*)({CONTROL})"
 UNESCAPE = rf"(?i)([<\[])\\(\\*)({CONTROL})"
 TRAINED = "assistant"
-KINDS = ("delta", "edit", "regenerate", "delete", "turn")
+KINDS = ("delta", "edit", "regenerate", "delete")
+STREAMED = 1024  # code points of a delta
+ATTEMPT = 8      # of what is edited or regenerated away
 
 
 def escape(text: Column) -> Column:
@@ -48,32 +53,46 @@ def unescape(text: Column) -> Column:
 # --- events ------------------------------------------------------------------
 
 def events_from_turns(turns: DataFrame) -> DataFrame:
-    """Finished turns (conv_id, turn, role, text) as a log of one ``turn`` event
-    each. Message id and sequence are the turn number, role and a digest of the
-    text, so equal rows meet in one message and stay events of their own."""
+    """The log of finished turns (conv_id, turn, role, text): conv_id, message, copy,
+    seq, kind, role, text. The message id is the turn number, the role and a digest
+    of the text; equal rows are copies of one message."""
     text, role = F.coalesce("text", F.lit("")), F.coalesce("role", F.lit(""))
-    at = F.struct("turn", role.alias("role"), F.unhex(F.md5(text)).alias("digest"))
-    return turns.select("conv_id", at.alias("message"), at.alias("seq"), F.lit("turn").alias("kind"),
-                        role.alias("role"), text.alias("text"))
+    message = F.struct("turn", role.alias("role"), F.unhex(F.md5(text)).alias("digest"))
+    rows = turns.select("conv_id", "turn", message.alias("message"), role.alias("role"), text.alias("text"))
+    same = Window.partitionBy("conv_id", "message").orderBy("turn")
+    rows = rows.withColumn("copy", F.row_number().over(same) - 1)
+
+    def event(n: Column, kind: str, said: Column) -> Column:
+        return F.struct(n.cast("int").alias("n"), F.lit(kind).alias("kind"), said.alias("text"))
+    first = event(F.lit(0), "delta", F.left("text", F.lit(ATTEMPT)))
+    pieces = F.ceil(F.length("text") / STREAMED).cast("int")
+    deltas = F.transform(F.sequence(F.lit(0), F.greatest(pieces - 1, F.lit(0))), lambda k: event(
+        k + 2, "delta", F.substring("text", k * STREAMED + 1, F.lit(STREAMED))))
+    answer = F.concat(F.array(first, event(F.lit(1), "regenerate", F.lit(""))), deltas)
+    question = F.array(first, event(F.lit(1), "edit", F.col("text")))
+    log = F.when(F.col("role") == TRAINED, answer).otherwise(question)
+    return rows.select("conv_id", "message", "copy", "turn", "role", F.explode(log).alias("e")).select(
+        "conv_id", "message", "copy", F.struct("turn", "e.n").alias("seq"), "e.kind", "role", "e.text")
 
 
 def fold(events: DataFrame) -> DataFrame:
-    """Events (conv_id, message, seq, kind, role, text) -> one row per message
-    that is left: conv_id, first (its first sequence number), message, copy,
-    role, text. Events of kind ``turn`` are messages of their own."""
+    """Events (conv_id, message, seq, kind, role, text, and copy where messages have
+    copies) -> one row per message that is left: conv_id, first (its first sequence
+    number), message, copy, role, text."""
+    if "copy" not in events.columns:
+        events = events.withColumn("copy", F.lit(0))
     known = events.where(F.col("message").isNotNull() & F.col("kind").isin(*KINDS))
     event = F.struct("seq", "kind", F.coalesce("text", F.lit("")).alias("text"), F.col("role").alias("role"))
-    log = known.groupBy("conv_id", "message").agg(F.sort_array(F.collect_list(event)).alias("log"))
+    log = known.groupBy("conv_id", "message", "copy").agg(F.sort_array(F.collect_list(event)).alias("log"))
     # only what follows the last edit, regeneration or deletion counts
-    numbered = F.transform("log", lambda e, i: F.when(~e["kind"].isin("delta", "turn"), i).otherwise(F.lit(-1)))
+    numbered = F.transform("log", lambda e, i: F.when(e["kind"] != "delta", i).otherwise(F.lit(-1)))
     log = log.withColumn("reset", F.array_max(numbered))
     tail = F.expr("slice(log, greatest(reset, 0) + 1, size(log))")
     said = F.transform("tail", lambda e: F.when(e["kind"] == "regenerate", F.lit("")).otherwise(e["text"]))
-    texts = F.when(F.col("log")[0]["kind"] == "turn", said).otherwise(F.array(F.array_join(said, "")))
     return (log.withColumn("tail", tail).where("tail[0].kind <> 'delete'")
-            .select("conv_id", F.col("log")[0]["seq"].alias("first"), "message",
+            .select("conv_id", F.col("log")[0]["seq"].alias("first"), "message", "copy",
                     F.coalesce(F.col("log")[0]["role"], F.lit("")).alias("role"),
-                    F.posexplode(texts).alias("copy", "text")))
+                    F.array_join(said, "").alias("text")))
 
 
 def render(messages: DataFrame) -> DataFrame:

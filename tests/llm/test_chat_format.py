@@ -51,3 +51,29 @@ def test_empty_table_and_native_plan(spark):
     assert df.collect() == []
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_turns_go_through_the_fold(spark, edge_docs):
+    """What is said depends on the regeneration, the edit and every delta of the log."""
+    long = "long \\ [ROLE] text 🙂" * 20_000
+    rows = [(1, 0, "user", "what? " * 9), (1, 1, "assistant", long), (1, 1, "assistant", long), (2, 0, "assistant", "short")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    log = C.events_from_turns(turns)
+    assert {r.kind for r in log.select("kind").distinct().collect()} == {"delta", "edit", "regenerate"}
+    assert log.where("conv_id = 1 and kind = 'delta' and length(text) = 1024").count() > 700
+    back = {r.conv_id: [tuple(t) for t in r.back] for r in
+            C.format_log(log).select("conv_id", C.parse_turns(F.col("formatted")).alias("back")).collect()}
+    assert back == {1: [r[2:] for r in rows[:3]], 2: [rows[3][2:]]}
+    for lost in ("kind = 'regenerate'", "kind = 'edit'", "kind = 'delta' and seq.n = 5"):
+        less = C.digests(C.format_log(log.where(f"not ({lost})"))).collect()
+        assert sorted(map(tuple, less)) != sorted(map(tuple, C.digests(C.format_log(log)).collect()))
+    docs = edge_docs.select(F.col("doc_id").alias("conv_id"), F.col("n_chars").alias("turn"), F.lit("assistant").alias("role"), "text", "rank")
+    got = {r.conv_id: r for r in C.digests(C.format_turns(docs)).collect()}
+    assert got[5].n_turns == 2 and got[5].loss_chars == 14 and got[1].loss_chars == 0
+    assert got[4].loss_sha256 == sha(edge_docs.where("doc_id = 4").first().text)
+
+
+def test_a_delta_after_an_edit_stays_in_its_message(spark):
+    log = [(1, "a", 1, "edit", "user", "Hi"), (1, "a", 2, "delta", "user", "!")]
+    f = C.digests(C.format_log(spark.createDataFrame(log, EVENTS))).first()
+    assert f.n_turns == 1 and f.turns_sha256 == sha("user\nHi!\n")
