@@ -5,13 +5,17 @@ runs of base64 or hex letters and armoured blocks - count only after they
 decode to something with the inner structure of a key or a signed token:
 
 * ``pem``: an armoured private key whose body decodes to one of the next two
-  (or, when its headers say ENCRYPTED, to whole cipher blocks);
+  (or, when its headers say ENCRYPTED, to whole cipher blocks); line breaks may be
+  written as escapes, as in JSON. An END belongs to the last BEGIN before it;
 * ``der``: PKCS#1, PKCS#8, encrypted PKCS#8 or SEC1 key; every nested length
   must fit its parent exactly;
 * ``openssh``: the magic string followed by length-prefixed fields that fill
   the blob;
 * ``jwt``: header and payload are JSON objects, the header names an algorithm.
 
+Base64 of the last but one and the one before may be wrapped over lines without
+armour: the first bytes tell how far a key goes (``MAX_KEY`` bytes at most).
+
 Cases: a null text is empty (no spans; the digest of the empty string).
 Offsets count code points, ends are exclusive. Repeated rows are each
 reported; an empty table gives no rows; extra columns are ignored. Whole
@@ -25,6 +29,7 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,12 +47,16 @@ HEX = re.compile(r"[0-9a-f]{24,}")  # whole runs: the same as [0-9a-f]+ with 24
 ASSIGN_MIN, ACCESS_MIN = 6, 20
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40})PRIVATE KEY-----([A-Za-z0-9+/=\s:,.-]*?)-----END \1PRIVATE KEY-----")
+ARMOUR = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]{0,40})PRIVATE KEY-----")
+ARMOURED = re.compile(r"[A-Za-z0-9+/=\s:,.-]*")
+BREAK = re.compile(r"\\+[nr]")  # a line break as an escape, escaped again or not
+WRAPPED = re.compile(r"[A-Za-z0-9+/]+=*|(?:[ \t]*\r?\n[ \t]*|(?:\\+[nr])+)(?=[A-Za-z0-9+/])")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
-HEX_ANY = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{78,}")
+HEX_ANY = re.compile(r"(?<![0-9A-Fa-f])(?:30|6[Ff]70656[Ee])[0-9A-Fa-f]{70,}")
 JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
 OPENSSH_MAGIC = b"openssh-key-v1\0"
 SHORTEST = 20  # no run that the access or hex scans can take is shorter
+MAX_KEY = 16 << 10  # bytes of a wrapped key
 LONG = 40  # nor one that the base64 and DER in hex scans can take; tokens may be
 
 
@@ -124,24 +133,30 @@ def is_der_key(blob: bytes) -> bool:
     return False
 
 
-def is_openssh_key(blob: bytes) -> bool:
+def openssh_size(blob: bytes) -> int:
+    """How many bytes an OpenSSH key that starts so takes, as far as the blob tells:
+    more than the blob has where it goes on; 0 for no key."""
+    at, fields = len(OPENSSH_MAGIC), 0
     if not blob.startswith(OPENSSH_MAGIC):
-        return False
-    at, fields = len(OPENSSH_MAGIC), []
-
-    def take():
-        nonlocal at
-        n = int.from_bytes(blob[at:at + 4], "big")
-        if at + 4 + n > len(blob):
-            return False
-        fields.append(blob[at + 4:at + 4 + n])
-        at += 4 + n
-        return True
-
-    if not (take() and take() and take()):
-        return False
-    keys, at = int.from_bytes(blob[at:at + 4], "big"), at + 4
-    return 1 <= keys <= 16 and all(take() for _ in range(keys + 1)) and at == len(blob)
+        return 0
+    keys = None
+    while keys is None or fields < 3 + keys + 1:
+        if at + 4 > len(blob):
+            return at + 4
+        n, at = int.from_bytes(blob[at:at + 4], "big"), at + 4
+        if fields == 3 and keys is None:
+            keys = n
+            if not 1 <= keys <= 16:
+                return 0
+            continue
+        at, fields = at + n, fields + 1
+        if at > MAX_KEY:
+            return 0
+    return at
+
+
+def is_openssh_key(blob: bytes) -> bool:
+    return 0 < openssh_size(blob) == len(blob)
 
 
 def is_jwt(header: str, payload: str, signature: str) -> bool:
@@ -154,36 +169,101 @@ def is_jwt(header: str, payload: str, signature: str) -> bool:
     return (signature == "") if head["alg"].lower() == "none" else bool(_b64(signature))
 
 
+def key_kind(blob: bytes | None) -> str | None:
+    if blob and is_der_key(blob):
+        return "der"
+    return "openssh" if blob and is_openssh_key(blob) else None
+
+
+def armoured(text: str):
+    """(start, end, body) of armoured private keys, in one pass over the markers."""
+    begin = None
+    for m in ARMOUR.finditer(text):
+        if m[1] == "BEGIN":
+            begin = m
+        elif begin is not None:
+            body = BREAK.sub("\n", text[begin.end():m.start()])
+            if begin[2] == m[2] and ARMOURED.fullmatch(body):
+                yield begin.start(), m.end(), body
+            begin = None
+
+
+def unwrapped(text: str, start: int) -> tuple[bytes | None, int]:
+    """The key, by its own length, that base64 lines from ``start`` on spell, and
+    where it ends."""
+    head = _b64(text[start:start + 24]) or b""
+    if head.startswith(OPENSSH_MAGIC):
+        size, known = openssh_size(head), len(head)
+        while size > known:  # a few fields, each of which says where it ends
+            blob = _letters(text, start, size)[0] or b""
+            if len(blob) < size:
+                return None, start
+            size, known = openssh_size(blob), size
+    else:
+        top = _tlv(head + bytes(MAX_KEY), 0, MAX_KEY)
+        size = top[2] if top and top[0] == SEQUENCE else None
+    return _letters(text, start, size) if size else (None, start)
+
+
+def _letters(text: str, start: int, size: int) -> tuple[bytes | None, int]:
+    """At most ``size`` bytes of base64 from ``start`` on, and where they end."""
+    left, parts, at = -(-size // 3) * 4, [], start
+    while left > 0 and (m := WRAPPED.match(text, at)):
+        at = m.end()
+        if m[0][0] not in " \t\r\n\\":
+            parts.append(m[0][:left])
+            at -= max(0, len(m[0]) - left)
+            left -= len(parts[-1])
+            if m[0][-1] == "=":
+                break
+    spelled = "".join(parts)
+    blob = _b64(spelled if "=" in spelled else spelled[:len(spelled) // 4 * 4])
+    return (blob[:size] if blob else None), at
+
+
 def confirmed_spans(text: str, longest: int | None = None) -> list[tuple[int, int, str]]:
     """Spans whose decoded content has the structure of a key or token."""
     out, taken = [], []
     if "PRIVATE KEY-----" in text:
-        for m in PEM.finditer(text):
-            body, encrypted = m[2], "ENCRYPTED" in m[2]
+        for start, end, body in armoured(text):
+            encrypted = "ENCRYPTED" in body
             if encrypted:
                 body = re.split(r"\n\s*\n", body, maxsplit=1)[-1]
             blob = _b64(body)
             if blob and (is_der_key(blob) or is_openssh_key(blob)
                          or encrypted and len(blob) >= 32 and len(blob) % 8 == 0):
-                out.append((m.start(), m.end(), "pem"))
-                taken.append((m.start(), m.end()))
-    free = lambda m: not any(s < m.end() and m.start() < e for s, e in taken)
+                out.append((start, end, "pem"))
+                taken.append((start, end))
+    taken.append((len(text) + 1, len(text) + 1))
+    starts = [s for s, _ in taken]  # ascending, apart
+
+    def free(m):
+        k = bisect_right(starts, m.start())
+        return (not k or taken[k - 1][1] <= m.start()) and starts[k] >= m.end()
+
     if "eyJ" in text:
         for m in JWT.finditer(text):
             if free(m) and is_jwt(m[1], m[2], m[3]):
                 out.append((m.start(), m.end(), "jwt"))
     if longest is not None and longest < LONG:
         return out
+    at = 0
     for m in BASE64.finditer(text):
-        if m[0][0] in "Mb" and free(m):
-            blob = _b64(m[0])
-            if blob and is_der_key(blob):
-                out.append((m.start(), m.end(), "der"))
-            elif blob and is_openssh_key(blob):
-                out.append((m.start(), m.end(), "openssh"))
+        if m[0][0] in "Mb" and m.start() >= at and free(m):
+            blob, at = _b64(m[0]), m.end()
+            kind = key_kind(blob)
+            if not kind:
+                blob, at = unwrapped(text, m.start())
+                kind = key_kind(blob)
+            if kind:
+                out.append((m.start(), at, kind))
+            else:
+                at = m.end()
     for m in HEX_ANY.finditer(text):
-        if len(m[0]) % 2 == 0 and free(m) and is_der_key(bytes.fromhex(m[0])):
-            out.append((m.start(), m.end(), "der"))
+        if len(m[0]) % 2 == 0 and free(m):
+            kind = key_kind(bytes.fromhex(m[0]))
+            if kind:
+                out.append((m.start(), m.end(), kind))
     return out
 
 
