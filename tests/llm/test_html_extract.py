@@ -121,3 +121,76 @@ def test_edges(spark):
     assert extract(spark, []) == []
     long = "word " * 200_000
     assert extract(spark, [("http://f.org", f"<article><p>{long}</p></article>")]) == [long.strip()]
+
+
+def random_host(rng, pages, copies):
+    """Div-only pages: frames in one order, lists of any length, optional boxes, own text."""
+    menu = "".join(f"<a>m{i}</a>" for i in range(rng.randrange(1, 4)))
+    boxes = [f"<div><p>box {i}</p><p>of all pages {i}</p><p>x{i}</p></div>" for i in range(3)]
+    out = []
+    for k in range(pages):
+        shown = [b for i, b in enumerate(boxes) if i == 0 or rng.random() < 0.7]
+        rows = "".join(f"<li>row {rng.randrange(3)}</li>" for _ in range(rng.randrange(0, 4)))
+        own = "".join(f"<p>text {rng.random()} of page {k}</p>" for _ in range(rng.randrange(1, 4)))
+        out.append(f"<html><body><div>{menu}</div>{shown[0]}<ul>{rows}</ul><div>{own}</div>{''.join(shown[1:])}"
+                   f"<div><p>Terms</p><p>Made by us</p></div></body></html>")
+    return out + [out[rng.randrange(pages)] for _ in range(copies)]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_classes_against_whole_occurrence_vectors(spark, seed):
+    """Equivalence classes by the vectors themselves, not by sums of hashes."""
+    import json
+    import random
+    rng = random.Random(seed)
+    hosts = {f"h{n}.org": random_host(rng, n, c) for n, c in ((2, 0), (3, 4), (12, 30), (25, 5))}
+    rows = [(i, f"http://{h}/{i}", p) for i, (h, p) in enumerate((h, p) for h, ps in hosts.items() for p in ps)]
+    prepared = H._prepared(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    scratch = H.Scratch(spark, "t")
+    distinct = scratch.write(H.distinct_bodies(scratch.write(H.bodies(prepared.repartition(4)), "b")), "d")
+    got = {r.host: {(c["p"], tuple(sorted(c["t"]))) for c in json.loads(r.template)} for r in H.templates(distinct).collect()}
+    per_host = {}
+    for r in distinct.collect():
+        per_host.setdefault(r.host, []).append(r.tokens)
+    for h, pages in hosts.items():
+        bodies = per_host[h]
+        assert len(bodies) == len({tuple(H.Page(p).tokens) for p in pages})  # copies once
+        vectors = {}
+        for token in {t for b in bodies for t in b}:
+            vectors.setdefault(tuple(b.count(token) for b in bodies), []).append(token)
+        want = {(sum(v), tuple(sorted(ts))) for v, ts in vectors.items()
+                if max(v) == 1 and sum(v) >= H.MIN_PAGES and sum(v) > H.MOST * len(bodies) and len(ts) >= H.CLASS_SIZE}
+        assert got.get(h, set()) == want, h
+    assert got.get("h2.org", set()) == set() and len(got["h25.org"]) >= 2
+    # what the template leaves open is the text that pages have of their own
+    texts = extract(spark, [(u, p) for _, u, p in rows])
+    for (_, url, page), text in zip(rows, texts):
+        own = " ".join(re.findall(r"<p>(text [^<]*)</p>", page))
+        if "h25" in url:
+            assert own in text and "Terms" not in text and "box 0" not in text
+
+
+def test_valid_places_are_ordered_and_nested():
+    import itertools
+    import random
+    rng = random.Random(5)
+    page = H.Page("")
+    for _ in range(300):
+        page.tokens = [rng.randrange(9) for _ in range(rng.randrange(0, 12))]
+        classes = [rng.sample(range(9), rng.randrange(2, 4)) for _ in range(3)]
+        accepted = []
+        for tokens in classes:
+            if any(page.tokens.count(t) != 1 for t in tokens):
+                continue
+            places = [page.tokens.index(t) for t in tokens]
+            if places != sorted(places):
+                continue
+
+            def inside(a, b):
+                cuts = [-1, *b, len(page.tokens)]
+                return any(all(low < x < high for x in a) for low, high in itertools.pairwise(cuts))
+            if all(set(places) & set(o) == set() and (inside(places, o) or inside(o, places)) for o in accepted):
+                accepted.append(places)
+        # classes of one host share no token
+        if len({t for c in classes for t in c}) == sum(map(len, classes)):
+            assert H.valid_places(page, classes) == {p for a in accepted for p in a}
