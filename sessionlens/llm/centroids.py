@@ -1,7 +1,9 @@
 """Centroid clustering of integer vectors with n-simplex projection.
 
-A few of the starting centroids are the pivots. Their distances to every vector
-are worked out once and kept with it. The pivots span a simplex; the distances
+The pivots are the starting centroids and those that the same rounds lead to on a
+bounded sample (``MAX_SAMPLE`` vectors), ``PIVOTS`` at most: later centroids lie near
+the space they span, which keeps the bounds narrow. Their distances to every vector are
+worked out once and kept with it. The pivots span a simplex; the distances
 of a vector to them place an apex over it: its coordinates in the simplex's
 space and its altitude. Between the apexes of a vector and a centroid the
 Euclidean distance is a lower bound of the true one, and with the sign of one
@@ -36,10 +38,12 @@ from .common import Scratch, map_arrow
 DIMENSIONS = 64
 CENTROIDS = 16
 ROUNDS = 3
-PIVOTS = 10
+PIVOTS = 32
+MAX_SAMPLE = 8_192
 SCALE = 64
 LIMIT = 1 << 20  # of a component
-SLACK = 1e-9     # of the largest distance met: rounding of the bounds
+SLACK = 1e-6     # of the largest distance met: rounding of the bounds
+FLAT = 1e-2      # of its distances: a lower altitude of a pivot adds nothing
 
 
 # --- geometry ----------------------------------------------------------------
@@ -53,7 +57,7 @@ class Simplex:
         self.corners = np.zeros((0, 0))
         for p in pivots.astype(np.int64):
             apex = self.apexes(self.distances(p[None]))[0] if len(self.pivots) else np.zeros(0)
-            if len(self.pivots) and apex[-1] <= 1e-6 * max(1.0, float(np.abs(apex).max())):
+            if len(self.pivots) and apex[-1] <= FLAT * max(1.0, float(np.abs(apex).max())):
                 continue
             corners = np.zeros((len(self.pivots) + 1, len(apex)))
             corners[:-1, :self.corners.shape[1]] = self.corners
@@ -182,20 +186,38 @@ def _assign(table: DataFrame, centroids: np.ndarray, simplex: Simplex) -> DataFr
                                  "distance long, compared long")
 
 
-def _pivots(centroids: np.ndarray, count: int) -> np.ndarray:
-    """Starting centroids that lie far apart: each next one is the farthest from
-    those chosen."""
-    if not len(centroids):
-        return centroids
-    chosen = [0]
-    while len(chosen) < min(count, len(centroids)):
-        gap = squared(centroids, centroids[chosen]).min(axis=1)
+def means(vectors: np.ndarray, cluster: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """Floored means of the clusters; an empty one keeps its centroid."""
+    out = centroids.copy()
+    for j in np.unique(cluster):
+        mine = vectors[cluster == j]
+        out[j] = mine.sum(axis=0) // len(mine)
+    return out
+
+
+def sampled_centroids(table: DataFrame, centroids: np.ndarray, rounds: int, max_sample: int) -> np.ndarray:
+    """Where the rounds lead on about ``max_sample`` vectors, twice as many at most."""
+    share = min(1.0, max_sample / max(1, table.count()))
+    rank = F.pmod(F.xxhash64("vec_id", "v"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    rows = table.where(rank < share).select("v").limit(2 * max_sample).collect()
+    sample = np.array([r["v"] for r in rows], np.int64)
+    for _ in range(rounds if rows else 0):
+        centroids = means(sample, squared(sample, centroids).argmin(axis=1), centroids)
+    return centroids
+
+
+def far_apart(points: np.ndarray, count: int) -> np.ndarray:
+    """At most ``count`` of the points; each next one is the farthest from those
+    chosen."""
+    chosen = [0] if len(points) else []
+    while len(chosen) < min(count, len(points)):
+        gap = squared(points, points[chosen]).min(axis=1)
         chosen.append(int(gap.argmax()))
-    return centroids[chosen]
+    return points[chosen]
 
 
 def cluster(vectors: DataFrame, *, k: int = CENTROIDS, rounds: int = ROUNDS, pivots: int = PIVOTS,
-            dimensions: int = DIMENSIONS, column: str = "embedding") -> DataFrame:
+            max_sample: int = MAX_SAMPLE, dimensions: int = DIMENSIONS, column: str = "embedding") -> DataFrame:
     """One row per kept vector: vec_id, cluster, distance (squared), compared (exact
     comparisons, a batch's on its first row), cluster_inertia, inertia, centroid."""
     scratch, spark = Scratch(vectors.sparkSession, "centroids"), vectors.sparkSession
@@ -205,7 +227,8 @@ def cluster(vectors: DataFrame, *, k: int = CENTROIDS, rounds: int = ROUNDS, piv
     if not len(centroids):
         return spark.createDataFrame([], f"vec_id {kind}, cluster int, distance long, compared long, "
                                          "cluster_inertia long, inertia long, centroid array<long>")
-    simplex = Simplex(_pivots(centroids, pivots))
+    later = sampled_centroids(kept, centroids, rounds, max_sample)
+    simplex = Simplex(far_apart(np.vstack([centroids, later]), pivots))
     table = scratch.write(_with_distances(kept, simplex), "distances")
     scratch.drop("vectors")
     for _ in range(rounds):
