@@ -85,6 +85,7 @@ def top_terms(df: DataFrame, n: int = 10,
 
 TRACKED = 1 << 16    # terms that a task's sketch follows, at most
 SURVIVORS = 4096     # terms a bucket that are counted exactly
+SLOTS = 64           # sketches a bucket that are merged last
 
 
 def top_terms_sketched(df: DataFrame, n: int = 10,
@@ -100,8 +101,13 @@ def top_terms_sketched(df: DataFrame, n: int = 10,
     rated = df.filter(F.col("review_category").isin(*categories) & F.col(text).isNotNull())
     words = rated.select("review_category", F.explode(tokens(text)).alias("term"))
     named = min(SURVIVORS, tracked)
-    sketches = words.groupBy("review_category").agg(
-        F.expr(f"approx_top_k(term, {named}, {tracked})").alias("items"), F.count(F.lit(1)).alias("words")).collect()
+    # the sketches of many tasks meet in SLOTS tasks, and theirs in one
+    slots = words.withColumn("slot", F.pmod(F.spark_partition_id(), F.lit(SLOTS))).groupBy("review_category", "slot").agg(
+        F.expr(f"approx_top_k_accumulate(term, {tracked})").alias("sketch"), F.count(F.lit(1)).alias("words"))
+    merged = slots.groupBy("review_category").agg(
+        F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"), F.sum("words").alias("words"))
+    sketches = merged.select("review_category", "words",
+                             F.expr(f"approx_top_k_estimate(sketch, {named})").alias("items")).collect()
     spark, kind = df.sparkSession, "review_category string, term string"
     bound = {r.review_category: max(2 * 3.5 * r.words / tracked,
                                     min((i["count"] for i in r["items"]), default=0) if len(r["items"]) == named else 0)
