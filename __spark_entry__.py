@@ -8,7 +8,6 @@ exact quantiles) so they are comparable with the SQL oracle.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline
@@ -19,7 +18,7 @@ from oracle.sql import AS_OF
 from oracle.sql import oracle_sql as _oracle_sql
 from sessionlens.operators import (clean, cohorts, descriptive, features, prediction,
                                    quality, reviews, segmentation, series, temporal)
-from sessionlens.config import scratch_path
+from sessionlens.config import scratch_folder
 from sessionlens.functions import sketches
 from sessionlens.plans import reports, stage
 from sessionlens.schema import QUANTILE_REL_ERROR, RFM_QUINTILES, SESSION_COLUMNS
@@ -75,13 +74,21 @@ def enriched(spark: SparkSession, sf_dir: str, text: bool = False) -> DataFrame:
     return _memo("enriched", spark, sf_dir, text, build)
 
 
+def numbered(spark: SparkSession, sf_dir: str, text: bool = False) -> DataFrame:
+    """The enriched table for results that read the session number: its keys are counted
+    twice before the rows are numbered, so the cleaned table is derived and written
+    once, and those counts read its order columns only."""
+    out = features.transform(stage(cleaned(spark, sf_dir), how="table"))
+    return attach_text(spark, sf_dir, out) if text else out
+
+
 def _on_enriched(op: Callable[[DataFrame], DataFrame], text: bool = False):
     return lambda spark, sf_dir: op(enriched(spark, sf_dir, text))
 
 
 def _written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder once, for results that read it several times."""
-    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    path = scratch_folder(spark, name)
     write_parquet(df, path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -153,7 +160,7 @@ def _purchase_rf(spark, sf_dir):
 
 def _keeper(spark):
     """Writes a part of the grid search, so a lost executor fits no forest again."""
-    base = scratch_path(spark, f"grid-{uuid.uuid4().hex}")
+    base = scratch_folder(spark, "grid")
 
     def keep(df, name):
         df.write.parquet(f"{base}/{name}")
@@ -202,7 +209,7 @@ def _saved_model(signal: bool):
     """The model is saved, loaded again and scores the test rows."""
     def run(spark, sf_dir):
         model, _, test = _lr_model(spark, sf_dir, signal)
-        path = scratch_path(spark, f"model-{uuid.uuid4().hex}")
+        path = scratch_folder(spark, "model")
         prediction.save(model, path)
         return _scored(prediction.score(prediction.load(path), test, ordered=False))
     return run
@@ -216,7 +223,7 @@ def _scored(scored):
 def _scan_csv(spark, sf_dir):
     """CSV sink then CSV scan with the fixed schema: the session table is
     exported by Spark into the shared checkpoint folder and read back."""
-    path = scratch_path(spark, f"sessions-csv-{uuid.uuid4().hex}")
+    path = scratch_folder(spark, "sessions-csv")
     write_csv(escape_breaks(raw(spark, sf_dir, text=True).select(*SESSION_COLUMNS), "review_text"), path)
     return unescape_breaks(read_sessions_csv(spark, path), "review_text")
 
@@ -236,7 +243,7 @@ def _faulty_csv(spark, sf_dir):
     line = F.to_csv(F.struct(*SESSION_COLUMNS), {"escape": '"', "ignoreLeadingWhiteSpace": "false",
                                                  "ignoreTrailingWhiteSpace": "false"})
     line = F.when(case == 4, F.concat(line, F.lit(",more"))).when(case == 5, F.concat("user_id", F.lit(",7,"))).otherwise(line)
-    path = scratch_path(spark, f"faulty-csv-{uuid.uuid4().hex}")
+    path = scratch_folder(spark, "faulty-csv")
     sessions.select(line.alias("value")).write.text(path)
     return read_sessions_checked(spark, path, header=False)
 
@@ -288,7 +295,7 @@ def _approximate_distinct(spark, sf_dir):
 
 def _csv_enriched(spark, sf_dir):
     """The whole way from an 11-column CSV (no session id): scan, clean, enrich."""
-    return features.transform(clean.clean_sessions(_scan_csv(spark, sf_dir)))
+    return features.transform(stage(clean.clean_sessions(_scan_csv(spark, sf_dir)), how="table"))
 
 
 def _report(build):
@@ -308,8 +315,8 @@ def _report(build):
 def _parquet_sink(spark, sf_dir):
     """Parquet sink partitioned by year/month, read back from the shared
     checkpoint folder (partition columns come back as a trailing pair)."""
-    path = scratch_path(spark, f"enriched-parquet-{uuid.uuid4().hex}")
-    write_parquet(enriched(spark, sf_dir).drop("review_text"), path, partition_by=["year", "month"])
+    path = scratch_folder(spark, "enriched-parquet")
+    write_parquet(numbered(spark, sf_dir).drop("review_text"), path, partition_by=["year", "month"])
     return spark.read.parquet(path)
 
 
@@ -319,7 +326,7 @@ def _time_features(spark, sf_dir):
 
 
 def _session_features(spark, sf_dir):
-    return features.session_features(enriched(spark, sf_dir)).drop("review_text")
+    return features.session_features(numbered(spark, sf_dir)).drop("review_text")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -341,9 +348,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "session_id", "purchase_amount", "has_purchased"),
     "review_category": lambda s, d: features.review_category(cleaned(s, d)).select(
         "session_id", "review_score", "review_category"),
-    "session_number": lambda s, d: features.session_number(cleaned(s, d), hot_from=raw(s, d)).select(
-        "session_id", "user_id", "timestamp", "session_number"),
-    "enriched_sessions": lambda s, d: enriched(s, d, text=True),
+    "session_number": lambda s, d: numbered(s, d).select("session_id", "user_id", "timestamp", "session_number"),
+    "enriched_sessions": lambda s, d: numbered(s, d, text=True),
     # cleaned sessions staged in the shared folder, then enriched
     "staged_sessions": lambda s, d: attach_text(s, d, features.transform(stage(cleaned(s, d), how="checkpoint"))),
     "pages_per_minute": lambda s, d: features.pages_per_minute(enriched(s, d)).select(

@@ -10,7 +10,9 @@ import atexit
 import os
 import shutil
 import tempfile
+import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 
@@ -71,3 +73,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if base is None:
         raise RuntimeError("set spark.checkpoint.dir to a shared folder")
     return os.path.join(base, name)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder through Spark's file systems."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new sub-path of the checkpoint folder, for a table that lazy results read.
+    It is deleted when Python ends, if its session still runs then."""
+    path, context = scratch_path(spark, f"{name}-{uuid.uuid4().hex}"), spark.sparkContext
+
+    def end() -> None:
+        if context is SparkContext._active_spark_context:
+            delete_path(spark, path)
+    atexit.register(end)
+    return path

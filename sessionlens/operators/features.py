@@ -108,7 +108,8 @@ def session_number(df: DataFrame, *, tie: str | None = None, user: str = "user_i
     three order columns only, without what cleaning joins and filters by.
 
     The sizes come from a narrow count of the keys; the wide rows are shuffled
-    and sorted once, by the group keys. Null users and null timestamps are
+    and sorted once, by the group keys. ``df`` is read three times, twice by its order
+    columns only: if it is dear to derive, write it first (``stage(how="table")``). Null users and null timestamps are
     numbered too (null-flag keys; a null time comes first).
     """
     groups = ["_u_null", "_u", "_d_null", "_d"]

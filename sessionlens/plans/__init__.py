@@ -1,5 +1,5 @@
 """Compositions of operators: named reports, staging and the end-to-end run."""
 
-from sessionlens.plans.staging import stage
+from sessionlens.plans.staging import stage, unstage
 
-__all__ = ["stage"]
+__all__ = ["stage", "unstage"]

@@ -4,7 +4,7 @@ every report -> Parquet sink.
 The raw source is read by the null audit, the row audit, the raw mean and the
 main pass, each with its own columns; the enriched table and the per-user table
 are staged once and every result reads the staged copies.
-With ``stage_how="checkpoint"`` the staged table lives in the cluster's
+With ``stage_how="checkpoint"`` or ``"table"`` the staged tables live in the cluster's
 ``spark.checkpoint.dir`` so lost executors cost a re-read, not a recompute.
 
 usage: python -m sessionlens.plans.pipeline --csv PATH --out DIR [--as-of YYYY-MM-DD]
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sessionlens.operators import clean, features, quality, segmentation
 from sessionlens.plans import reports
-from sessionlens.plans.staging import stage
+from sessionlens.plans.staging import stage, unstage
 from sessionlens.sources import read_sessions_csv, session_view, write_parquet
 from sessionlens.sources.tables import attach_text
 
@@ -45,8 +45,13 @@ def run(raw: DataFrame, out_dir: str, *, as_of=None, exact: bool = False,
             written[f"{group}/{name}"] = path
 
     sink("audit", {"null_counts": clean.null_counts(add(raw)), "clean_audit": clean.clean_audit(raw)})
-    enriched = stage(features.transform(add(clean.clean_sessions(raw)), hot_from=raw), how=stage_how)
-    staged = [enriched]
+    valid, staged = add(clean.clean_sessions(raw)), []
+    if stage_how == "table":  # session numbers count the keys twice: on the written order columns
+        staged.append(stage(valid, how=stage_how))
+        enriched = stage(features.transform(staged[0]), how=stage_how)
+    else:
+        enriched = stage(features.transform(valid, hot_from=raw), how=stage_how)
+    staged.append(enriched)
     try:
         write_parquet(enriched, os.path.join(out_dir, "enriched"), partition_by=["year", "month"])
         written["enriched"] = os.path.join(out_dir, "enriched")
@@ -59,9 +64,9 @@ def run(raw: DataFrame, out_dir: str, *, as_of=None, exact: bool = False,
         sink("dashboard", reports.dashboard(enriched))
         sink("quality", {"profile": quality.data_quality(enriched, exact=exact)})
     finally:
-        if stage_how == "persist":
+        if stage_how in ("persist", "table"):
             for df in staged:
-                df.unpersist()
+                unstage(df)
     return written
 
 
@@ -74,7 +79,7 @@ def main() -> None:
     ap.add_argument("--as-of", default=None)
     ap.add_argument("--exact", action="store_true")
     ap.add_argument("--zone", default="UTC", help="time zone of hours, days and months")
-    ap.add_argument("--stage", default="persist", choices=["persist", "checkpoint", "none"])
+    ap.add_argument("--stage", default="persist", choices=["persist", "checkpoint", "table", "none"])
     args = ap.parse_args()
     spark = (SparkSession.builder.appName("sessionlens")
              .config("spark.sql.session.timeZone", args.zone)

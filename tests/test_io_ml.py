@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from sessionlens.operators import clean, features, prediction
-from sessionlens.plans.staging import stage
+from sessionlens.plans.staging import stage, unstage
 from sessionlens.sources import read_sessions_csv, session_view, write_csv, write_parquet
 
 SF = "/root/testdata/sf0.001"
@@ -52,6 +52,19 @@ def test_checkpoint_staging_cuts_lineage(spark):
     assert "LogicalRDD" in staged._jdf.queryExecution().analyzed().toString()
 
 
+def test_table_staging_reads_the_columns_asked_for_and_is_freed(spark):
+    df = clean.clean_sessions(session_view(spark, SF, with_text=False))
+    staged = stage(df, how="table")
+    assert staged.dtypes == df.dtypes and sorted(staged.collect(), key=str) == sorted(df.collect(), key=str)
+    plan = staged.select("user_id")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<user_id:string>" in plan and "orders.parquet" not in plan
+    folder = os.path.dirname(staged.inputFiles()[0].removeprefix("file://"))
+    assert os.path.isdir(folder)
+    unstage(staged)
+    assert not os.path.exists(folder)
+    assert unstage(stage(df)) is None  # a persisted one
+
+
 def _learnable(spark, n=2000):
     df = spark.range(n).select(
         F.col("id").alias("session_id"),

@@ -84,6 +84,17 @@ def test_session_number_never_partitions_rows_by_user_alone(spark):
     assert len(re.findall(r"Window \[row_number", plan)) == 1
 
 
+def test_numbered_results_derive_the_session_view_once(spark):
+    import re
+    for key in ("session_number", "session_features"):
+        plan = _plan(E.queries()[key](spark, SF))
+        assert "orders.parquet" not in plan and "lineitem.parquet" not in plan, key
+        # the hot-key count and the group sizes read the order columns only
+        reads = re.findall(r"Scan parquet.*?ReadSchema: struct<([^>]*)", plan, re.S)
+        narrow = [r for r in reads if {c.split(":")[0] for c in r.split(",")} <= {"session_id", "user_id", "timestamp"}]
+        assert len(narrow) >= 2, (key, reads)
+
+
 def test_data_quality_shuffles_no_text(spark):
     df = E.queries()["data_quality"](spark, SF)
     plan = _plan(df)
