@@ -7,10 +7,14 @@ equivalence class; a class is large and frequent enough to be template when it
 has ``CLASS_SIZE`` tokens, one a page, on more than ``MOST`` of the host's distinct
 bodies, and on ``MIN_PAGES`` at least. On a page a class is valid when its tokens come in the class's order, and classes
 are nested: one lies within one gap of the other. What valid classes leave
-open are the slots, and the main text is the slots' text inside the article
-(the page's ``article`` or ``main`` elements, or the body without them), less
-the elements that stand for menus, headers, footers, sidebars, notices,
-adverts, forms and comments by their tag, role or class.
+open are the slots. The main slot of a host is the innermost container of its
+template that holds more than ``MAIN_SHARE`` of what the slots hold, added up over its
+distinct bodies. The main text is the slots' text inside the article: of the page's
+``article`` and ``main`` elements those that the main slot lies in or meets (all of them
+where the host has no template or the page not its main slot, or where they lie elsewhere),
+or the body of a page without such elements; less the elements that stand for menus,
+headers, footers, sidebars, notices, adverts, forms and comments by their tag, role
+or class.
 
 Vectors are compared by two 30-bit sums of page hashes times counts, which
 add up before any shuffle: a host with a third of all pages is no large group.
@@ -18,7 +22,7 @@ A copy counts once: pages with the same tokens are one body, and so are pages
 with the same longest text of whose text ``NEAR`` or more is on other bodies too.
 Where unmarked menus hold so much of the text of nearly all pages, or a host has
 fewer than ``MIN_PAGES`` bodies, menus cannot be told from copies and stay.
-Template text goes only outside articles: what a page marks as its article
+Template text goes only outside articles: an article that the main slot names
 stays whole, however many pages of the host repeat it.
 
 Cases: null or empty html gives an empty text. A null url is a host of its
@@ -46,6 +50,8 @@ CLASS_SIZE = 3
 MOST = 0.5
 MIN_PAGES = 3
 NEAR = 0.8
+MAIN_SHARE = 0.5
+ALL = -1  # in place of a token: the whole page
 
 # Names of elements and the words of class, id and role that mark them.
 RAW = ("script", "style", "textarea", "title", "iframe")  # without an end tag they last to the end of the page
@@ -131,7 +137,10 @@ class Page:
         self.texts: list[tuple[int, str, bool, bool]] = []  # token place, text, in main, in boilerplate
         self.breaks: set[int] = set()                       # token places where a block ends
         self.has_main = False
-        stack: list[tuple[str, int, bool, bool]] = []       # name, path, in main, in boilerplate
+        self.ends: dict[int, int] = {}                      # place of a container's tag: place where it ends
+        self.spans: dict[int, tuple[int, int]] = {}         # the same as numbers of text pieces
+        self.mains: list[int] = []                          # places of outermost main elements
+        stack: list[tuple[str, int, bool, bool, int, int]] = []  # name, path, in main, in boilerplate, place, piece
         open_names: dict[str, int] = {}
         path, main, boiler = 0, False, False
         for m in _lexed(source or ""):
@@ -158,18 +167,36 @@ class Page:
             if closing:
                 if open_names.get(name):
                     while stack:
-                        top, path, main, boiler = stack.pop()
+                        top, path, main, boiler, at, piece = stack.pop()
                         open_names[top] -= 1
+                        self._ended(top, at, piece, len(self.tokens) - 1)
                         if top == name:
                             break
             elif name not in VOID and not tag.endswith("/>"):
-                stack.append((name, path, main, boiler))
+                at = len(self.tokens) - 1
+                stack.append((name, path, main, boiler, at, len(self.texts)))
                 open_names[name] = open_names.get(name, 0) + 1
                 if name in CONTAINERS:
                     path = xxh64_intdigest(marked, path)
                 boiler = boiler or kind == _WHOLE or kind == _INNER and not main
                 if name in MAIN and not boiler:
+                    if not main:
+                        self.mains.append(at)
                     main = self.has_main = True
+        for name, _, _, _, at, piece in stack:
+            self._ended(name, at, piece, len(self.tokens))
+
+    def _ended(self, name: str, at: int, piece: int, end: int) -> None:
+        if name in CONTAINERS:
+            self.ends[at], self.spans[at] = end, (piece, len(self.texts))
+
+    def lengths(self) -> list[int]:
+        """Per token the code points of its text, wherever it stands."""
+        out = [0] * len(self.tokens)
+        for at, said, _, _ in self.texts:
+            if at >= 0:
+                out[at] = len(" ".join(said.split()))
+        return out
 
     def sizes(self) -> list[int]:
         """Per token the code points that it may give to the main text."""
@@ -179,13 +206,25 @@ class Page:
                 out[at] = len(" ".join(said.split()))
         return out
 
-    def text(self, template: set[int]) -> str:
-        """Main text. ``template``: places of template tokens. A block goes only
-        as a whole, and none of an article."""
+    def articles(self, slot: int | None) -> bytearray:
+        """Which text pieces belong to an article. ``slot``: place of the main slot."""
+        spans = [self.spans[at] for at in self.mains]
+        if slot in self.spans:
+            first, end = self.spans[slot]
+            spans = [(a, b) for a, b in spans if a < end and first < b] or spans
+        out = bytearray(len(self.texts))
+        for a, b in spans:
+            out[a:b] = b"\1" * (b - a)
+        return out
+
+    def text(self, template: set[int], slot: int | None = None) -> str:
+        """Main text. ``template``: places of template tokens, ``slot``: of the main
+        slot. A block goes only as a whole, and none of an article."""
+        articles = self.articles(slot)
         blocks: list[list[tuple[int, str]]] = [[]]
         last = None
-        for k, (at, said, main, boiler) in enumerate(self.texts):
-            if boiler or self.has_main and not main:
+        for k, (at, said, _, boiler) in enumerate(self.texts):
+            if boiler or self.has_main and not articles[k]:
                 continue
             if last is not None and any(b in self.breaks for b in range(last + 1, k + 1)):
                 blocks.append([])
@@ -201,10 +240,19 @@ class Page:
         return " ".join(" ".join("".join(said for _, said in block) for block in slots).split())
 
 
+def main_slot(page: Page, template: set[int], token: int | None) -> int | None:
+    """Place of the main slot's tag on the page."""
+    return next((at for at in sorted(template) if page.tokens[at] == token), None)
+
+
 def valid_places(page: Page, classes: list) -> set[int]:
     """Places of tokens of the classes that are ordered and nested on the page."""
+    return _valid(page.tokens, classes)
+
+
+def _valid(on_page: list[int], classes: list) -> set[int]:
     where: dict[int, list[int]] = {}
-    for at, token in enumerate(page.tokens):
+    for at, token in enumerate(on_page):
         where.setdefault(token, []).append(at)
     accepted: list[np.ndarray] = []
     out: set[int] = set()
@@ -232,7 +280,8 @@ def _prepared(pages: DataFrame) -> DataFrame:
 
 
 def bodies(prepared: DataFrame) -> DataFrame:
-    """(host, body, tokens, sizes): each page's tokens, equal ones of a host once."""
+    """(host, body, tokens, sizes, lengths, ends): each page's tokens, equal ones of a
+    host once. ``lengths``: of all text, ``ends``: of containers (0: none)."""
     def run(batches):
         for batch in batches:
             found: dict[tuple[str, int], tuple] = {}
@@ -241,20 +290,27 @@ def bodies(prepared: DataFrame) -> DataFrame:
                 tokens = np.array(page.tokens, dtype=np.int64)
                 body = xxh64_intdigest(tokens.tobytes()) >> 1
                 if (host, body) not in found:
-                    found[host, body] = tokens, np.array(page.sizes(), dtype=np.int32)
+                    ends = np.zeros(len(tokens), dtype=np.int32)
+                    ends[list(page.ends)] = list(page.ends.values())
+                    found[host, body] = (tokens, np.array(page.sizes(), dtype=np.int32),
+                                         np.array(page.lengths(), dtype=np.int32), ends)
             if found:
                 hosts, keys = zip(*found)
-                tokens, sizes = zip(*found.values())
+                tokens, *numbers = zip(*found.values())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(hosts, pa.string()), pa.array(keys, pa.int64()),
-                     pa.array(tokens, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int32()))],
-                    names=["host", "body", "tokens", "sizes"])
-    pages = map_arrow(prepared.select("html", "host"), run, "host string, body long, tokens array<long>, sizes array<int>")
-    return pages.groupBy("host", "body").agg(F.first("tokens").alias("tokens"), F.min("sizes").alias("sizes"))
+                     pa.array(tokens, pa.list_(pa.int64())), *(pa.array(n, pa.list_(pa.int32())) for n in numbers)],
+                    names=["host", "body", "tokens", "sizes", "lengths", "ends"])
+    pages = map_arrow(prepared.select("html", "host"), run, "host string, body long, tokens array<long>, "
+                                                            "sizes array<int>, lengths array<int>, ends array<int>")
+    least = F.min(F.struct("sizes", "lengths", "ends")).alias("least")
+    return (pages.groupBy("host", "body").agg(F.first("tokens").alias("tokens"), least)
+            .select("host", "body", "tokens", "least.sizes", "least.lengths", "least.ends"))
 
 
 def distinct_bodies(found: DataFrame) -> DataFrame:
-    """(host, body, tokens): one body of each group of near copies, and all others."""
+    """(host, body, tokens, lengths, ends): one body of each group of near copies, and
+    all others."""
     place = F.explode(F.arrays_zip("tokens", "sizes")).alias("at")
     texts = (found.select("host", "body", place).select("host", "body", "at.tokens", "at.sizes")
              .where(F.col("sizes") > 0))
@@ -269,7 +325,7 @@ def distinct_bodies(found: DataFrame) -> DataFrame:
     return (found.withColumn("size", size)
             .join(own, (F.col("host") == F.col("of")) & (F.col("body") == F.col("is")), "left")
             .groupBy("host", group.alias("group"))
-            .agg(F.min(F.struct("body", "tokens")).alias("one")).select("host", "one.body", "one.tokens"))
+            .agg(F.min(F.struct("body", "tokens", "lengths", "ends")).alias("one")).select("host", "one.*"))
 
 
 def occurrence_sums(found: DataFrame) -> DataFrame:
@@ -321,6 +377,38 @@ def templates(found: DataFrame) -> DataFrame:
     return classes.groupBy("host").agg(F.to_json(F.sort_array(F.collect_list(one), asc=False)).alias("template"))
 
 
+def main_slots(found: DataFrame, templates: DataFrame) -> DataFrame:
+    """(host, slot): the token that opens a host's main slot."""
+    def run(batches):
+        for batch in batches:
+            sums: dict[tuple[str, int], list] = {}
+            for host, tokens, lengths, ends, template in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                template = _valid(tokens, _classes(template))
+                upto = np.concatenate([[0], np.cumsum([0 if at in template else n for at, n in enumerate(lengths)])])
+                held = [(tokens[at], at, int(upto[ends[at]] - upto[at])) for at in template if ends[at]]
+                for token, at, size in [(ALL, 0, int(upto[-1])), *held]:
+                    total = sums.setdefault((host, token), [0, 0, 0])
+                    total[0] += size
+                    total[1] += at
+                    total[2] += 1
+            if sums:
+                hosts, tokens = zip(*sums)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(hosts, pa.string()), pa.array(tokens, pa.int64()), *(pa.array(c) for c in zip(*sums.values()))],
+                    names=["host", "token", "size", "at", "pages"])
+    of = templates.select(F.col("host").alias("of"), "template")
+    joined = found.join(of, F.col("host") == F.col("of"))
+    sums = (map_arrow(joined.select("host", "tokens", "lengths", "ends", "template"), run,
+                      "host string, token long, size long, at long, pages long")
+            .groupBy("host", "token").agg(*(F.sum(c).alias(c) for c in ("size", "at", "pages"))))
+    share = F.max(F.when(F.col("token") == ALL, F.col("size"))).alias("all")
+    # containers of a template are fewer than the tokens of a page; equal sizes: the inner one
+    element = F.struct("size", (-F.col("at") / F.col("pages")).alias("before"), "token")
+    held = F.collect_list(F.when(F.col("token") != ALL, element)).alias("held")
+    return (sums.groupBy("host").agg(share, held)
+            .select("host", F.array_min(F.filter("held", lambda e: e["size"] > F.col("all") * MAIN_SHARE))["token"].alias("slot")))
+
+
 @lru_cache(maxsize=2_000)
 def _classes(template: str | None) -> list:
     return [c["t"] for c in json.loads(template)] if template else []
@@ -334,7 +422,10 @@ def extract(pages: DataFrame) -> DataFrame:
     distinct = scratch.write(distinct_bodies(read), "distinct")
     found = scratch.write(templates(distinct), "templates")
     scratch.drop("bodies")
+    slots = main_slots(distinct, found).withColumnRenamed("host", "of")
+    found = scratch.write(found.join(slots, F.col("host") == F.col("of"), "left").drop("of"), "slots")
     scratch.drop("distinct")
+    scratch.drop("templates")
     # one template row per host: small tables are broadcast by their size, else
     # the shuffled join is split where a host is hot
     joined = prepared.join(found.withColumnRenamed("host", "of"), F.col("host") == F.col("of"), "left")
@@ -342,13 +433,14 @@ def extract(pages: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             texts = []
-            for source, template in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            for source, template, slot in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4))):
                 page = Page(source)
-                texts.append(page.text(valid_places(page, _classes(template))))
+                places = valid_places(page, _classes(template))
+                texts.append(page.text(places, main_slot(page, places, slot)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    return map_arrow(joined.select("page_id", "url", "html", "template"), run,
+    return map_arrow(joined.select("page_id", "url", "html", "template", "slot"), run,
                      f"page_id {kind}, url string, text string, n_chars long")

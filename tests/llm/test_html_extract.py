@@ -123,6 +123,67 @@ def test_edges(spark):
     assert extract(spark, [("http://f.org", f"<article><p>{long}</p></article>")]) == [long.strip()]
 
 
+def teasers(k, tag="div"):
+    """A page whose main text stands in one article, between teasers that are articles too."""
+    cards = "".join(f"<article><h3>Card {k}.{i}</h3></article>" for i in range(k % 3 + 1))
+    return (f"<html><body><div><a>Home</a><a>News</a></div><div>{cards}</div><section><{tag}><h1>Title {k}</h1>"
+            f"<p>{' '.join(own(k, 6))}</p></{tag}></section><div><p>Terms {k}</p></div></body></html>")
+
+
+def test_main_slot_tells_the_article_from_teasers(spark):
+    pages = [("http://t.org/", teasers(k, "article")) for k in range(9)] + [("http://one.org/", teasers(1, "article"))]
+    got = extract(spark, pages)
+    assert got[:9] == [f"Title {k} {' '.join(own(k, 6))}" for k in range(9)]
+    assert got[9].startswith("Card 1.0")  # one page has no template: every article counts
+    # articles that lie elsewhere than the main slot are kept, as without a slot
+    assert extract(spark, [("http://e.org/", teasers(k)) for k in range(9)])[2] == "Card 2.0 Card 2.1 Card 2.2"
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_main_slots_against_brute_force(spark, seed):
+    import json
+    import random
+    rng = random.Random(seed)
+    rows = [(k, f"http://h{h}.org/{k}", p) for h in range(3) for k, p in enumerate(
+        random_host(rng, 9, 4) if h else [teasers(k, "article") for k in range(9)])]
+    scratch = H.Scratch(spark, "t")
+    bodies = H.bodies(H._prepared(spark.createDataFrame(rows, "page_id long, url string, html string")).repartition(3))
+    distinct = scratch.write(H.distinct_bodies(bodies), "d")
+    found = scratch.write(H.templates(distinct), "f")
+    got = {r.host: r.slot for r in H.main_slots(distinct, found).collect()}
+    assert len(got) == 3
+    for host, slot in got.items():
+        pages = {tuple(page.tokens): page for page in (H.Page(p) for _, url, p in rows if host in url)}.values()
+        classes = [c["t"] for c in json.loads(found.where(f"host = '{host}'").first().template)]
+        held, everything = {}, 0
+        for page in pages:
+            places = H.valid_places(page, classes)
+            text = [(at, len(" ".join(said.split()))) for at, said, _, _ in page.texts if at >= 0 and at not in places]
+            everything += sum(n for _, n in text)
+            for at in places & set(page.ends):
+                size, where = held.get(page.tokens[at], (0, []))
+                inside = sum(n for t, n in text if at < t < page.ends[at])
+                held[page.tokens[at]] = size + inside, [*where, at]
+        best = [(size, -sum(where) / len(where), token) for token, (size, where) in held.items()
+                if size > H.MAIN_SHARE * everything]
+        assert slot == min(best)[2]
+
+
+def test_slots_of_the_table_are_its_articles(spark):
+    """On the given pages the template alone, without tag names, leads to the article."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    distinct = H.distinct_bodies(H.bodies(H._prepared(pages)))
+    found = H.Scratch(spark, "t").write(H.templates(distinct), "f")
+    slots = {r.host: r.slot for r in H.main_slots(distinct, found).collect()}
+    with_slot = article = 0
+    for r in pages.collect():
+        page, slot = H.Page(r.html), slots.get(H.host_of(r.url))
+        if slot in page.tokens:
+            with_slot += 1
+            article += page.tokens.index(slot) in page.mains
+    assert with_slot and article >= 0.9 * with_slot, (with_slot, article)
+
+
 def random_host(rng, pages, copies):
     """Div-only pages: frames in one order, lists of any length, optional boxes, own text."""
     menu = "".join(f"<a>m{i}</a>" for i in range(rng.randrange(1, 4)))
