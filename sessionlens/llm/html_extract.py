@@ -136,6 +136,7 @@ class Page:
         self.tokens: list[int] = []
         self.texts: list[tuple[int, str, bool, bool]] = []  # token place, text, in main, in boilerplate
         self.breaks: set[int] = set()                       # token places where a block ends
+        self.long: dict[int, int] = {}                      # place of a text: its code points
         self.has_main = False
         self.ends: dict[int, int] = {}                      # place of a container's tag: place where it ends
         self.spans: dict[int, tuple[int, int]] = {}         # the same as numbers of text pieces
@@ -147,9 +148,10 @@ class Page:
             tag, text = m[2], m[3]
             if text is not None:
                 said = _html.unescape(text)
-                if said.strip():
+                if words := " ".join(said.split()):
                     self.texts.append((len(self.tokens), said, main, boiler))
-                    self.tokens.append(xxh64_intdigest(" ".join(said.split()), path) >> 1)
+                    self.long[len(self.tokens)] = len(words)
+                    self.tokens.append(xxh64_intdigest(words, path) >> 1)
                 elif self.texts:
                     self.texts.append((-1, " ", main, boiler))
                 continue
@@ -192,18 +194,14 @@ class Page:
 
     def lengths(self) -> list[int]:
         """Per token the code points of its text, wherever it stands."""
-        out = [0] * len(self.tokens)
-        for at, said, _, _ in self.texts:
-            if at >= 0:
-                out[at] = len(" ".join(said.split()))
-        return out
+        return [self.long.get(at, 0) for at in range(len(self.tokens))]
 
     def sizes(self) -> list[int]:
         """Per token the code points that it may give to the main text."""
         out = [0] * len(self.tokens)
-        for at, said, main, boiler in self.texts:
+        for at, _, main, boiler in self.texts:
             if at >= 0 and not boiler and (main or not self.has_main):
-                out[at] = len(" ".join(said.split()))
+                out[at] = self.long[at]
         return out
 
     def articles(self, slot: int | None) -> bytearray:
@@ -382,9 +380,16 @@ def main_slots(found: DataFrame, templates: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             sums: dict[tuple[str, int], list] = {}
-            for host, tokens, lengths, ends, template in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            numbers = [batch.column(i).flatten().to_numpy() for i in (2, 3)]
+            starts = batch.column(2).offsets.to_numpy() - batch.column(2).offsets[0].as_py()
+            hosts, pages, templated = (batch.column(i).to_pylist() for i in (0, 1, 4))
+            for host, tokens, template, start in zip(hosts, pages, templated, starts):
+                lengths, ends = (n[start:start + len(tokens)] for n in numbers)
                 template = _valid(tokens, _classes(template))
-                upto = np.concatenate([[0], np.cumsum([0 if at in template else n for at, n in enumerate(lengths)])])
+                upto = np.zeros(len(tokens) + 1, np.int64)
+                upto[1:] = lengths
+                upto[[at + 1 for at in template]] = 0
+                upto = upto.cumsum()
                 held = [(tokens[at], at, int(upto[ends[at]] - upto[at])) for at in template if ends[at]]
                 for token, at, size in [(ALL, 0, int(upto[-1])), *held]:
                     total = sums.setdefault((host, token), [0, 0, 0])
