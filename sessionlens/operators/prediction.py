@@ -6,7 +6,8 @@ Training is distributed by MLlib (tree aggregates for LR, per-partition
 statistics for forests); the driver only holds model parameters. The features
 take few values, so the logistic model is fitted on counts of equal rows: one
 pass over the sessions, then iterations over at most as many rows as there are
-combinations of values.
+combinations of values. The grid search grows one forest for all depths of a
+candidate: a tree grown to depth 5 is the upper part of the one grown to 15.
 """
 
 from __future__ import annotations
@@ -14,14 +15,19 @@ from __future__ import annotations
 from itertools import product
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import (LogisticRegression, RandomForestClassificationModel,
+                                       RandomForestClassifier)
 from pyspark.ml.feature import (OneHotEncoder, StandardScaler, StandardScalerModel,
                                 StringIndexer, VectorAssembler)
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sessionlens.config import delete_path, scratch_folder
+
 NUMERIC_FEATURES = ["session_duration", "pages_viewed", "hour"]
 CATEGORICAL_FEATURES = ["device_type", "product_category", "day_of_week"]
 LABEL = "label"
@@ -111,10 +117,12 @@ def fit_logistic(train: DataFrame, *, max_iter: int = 500, reg: float = 0.01, el
 SCORE_BINS = 4096
 
 
-def score_counts(scored: DataFrame, by: tuple[str, ...] = (), score: str = "probability") -> DataFrame:
-    """(by, score, positives, negatives): rows per distinct probability of label 1."""
+def score_counts(scored: DataFrame, by: tuple[str, ...] = (), score: str | Column = "probability") -> DataFrame:
+    """(by, score, positives, negatives): rows per distinct probability of label 1,
+    from a vector of probabilities (its name) or a column."""
     positive = F.col(LABEL) > 0
-    return scored.groupBy(*by, vector_to_array(score)[1].alias("score")).agg(
+    value = vector_to_array(score)[1] if isinstance(score, str) else score
+    return scored.groupBy(*by, value.alias("score")).agg(
         F.count_if(positive).alias("positives"), F.count_if(~positive).alias("negatives"))
 
 
@@ -205,27 +213,107 @@ def folded(train: DataFrame, folds: int = 3, seed: int = 42, key: str | None = N
     return train.withColumn("fold", F.pmod(F.xxhash64(row_key(train, key), F.lit(seed)), F.lit(folds)).cast("int"))
 
 
+def cut_leaves(tree: np.ndarray, left: np.ndarray, right: np.ndarray, counts: np.ndarray, depth: int) -> np.ndarray:
+    """Class shares of a forest cut at ``depth``, per leaf of the whole forest (trees
+    one after the other, leaves from left to right).
+
+    A node at that depth becomes a leaf, and as in MLlib leaves of one parent that
+    predict the same class become one. Nodes are in preorder, with the places of
+    their children or -1."""
+    inner, nodes = left >= 0, np.arange(len(tree))
+    levels = [np.flatnonzero(np.r_[True, tree[1:] != tree[:-1]][:len(tree)])]
+    while len(up := levels[-1][inner[levels[-1]]]):
+        levels.append(np.r_[left[up], right[up]])
+    says, leaf = counts.argmax(axis=1), ~inner
+    for n, level in enumerate(levels[depth::-1]):
+        if n == 0 and len(levels) > depth:
+            leaf[level] = True
+        up = level[~leaf[level]]
+        same = leaf[left[up]] & leaf[right[up]] & (says[left[up]] == says[right[up]])
+        says[up[same]], leaf[up[same]] = says[left[up[same]]], True
+    at = nodes.copy()  # the leaf of the cut tree above a node, or the node
+    for level in levels:
+        up = level[inner[level]]
+        ended = leaf[at[up]]
+        for child in (left[up], right[up]):
+            at[child] = np.where(ended, at[up], child)
+    ends = counts[at[~inner]]
+    return ends / np.maximum(ends.sum(axis=1, keepdims=True), 1e-300)
+
+
+def forest_nodes(model: RandomForestClassificationModel) -> tuple[np.ndarray, ...]:
+    """Tree, left and right child (places, -1 in leaves) and class counts of the
+    nodes, from the saved form of the model."""
+    spark = SparkSession.active()
+    path = scratch_folder(spark, "forest")
+    save(model, path)
+    rows = (spark.read.parquet(f"{path}/data").select("treeID", "nodeData.id", "nodeData.leftChild", "nodeData.rightChild",
+                                                       "nodeData.impurityStats").toArrow())
+    delete_path(spark, path)
+    tree, node, left, right = (rows.column(i).to_numpy().astype(np.int64) for i in range(4))
+    order = np.lexsort((node, tree))
+    counts = np.array(rows.column(4).combine_chunks().flatten()).reshape(len(tree), -1)[order]
+    tree, left, right = tree[order], left[order], right[order]
+    first = np.searchsorted(tree, tree)
+    return tree, np.where(left < 0, -1, left + first), np.where(right < 0, -1, right + first), counts
+
+
+def cut_forest_scores(scored: DataFrame, nodes: tuple[np.ndarray, ...], depth: int) -> DataFrame:
+    """(label, probability) of rows with their ``leaves`` in a forest, when its trees
+    are cut at ``depth``."""
+    tree, left, _, _ = nodes
+    shares, first = cut_leaves(*nodes, depth), np.r_[0, np.cumsum(np.bincount(tree[left < 0]))]
+    sent = scored.sparkSession.sparkContext.broadcast((shares, first))
+
+    def run(batches):
+        shares, first = sent.value
+        for batch in batches:
+            leaves = batch.column(1).flatten().to_numpy().astype(np.int64).reshape(-1, len(first) - 1)
+            votes = np.zeros((len(leaves), shares.shape[1]))
+            for t in range(leaves.shape[1]):
+                votes += shares[leaves[:, t] + first[t]]
+            votes /= votes.sum(axis=1, keepdims=True)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(votes[:, 1])], names=[LABEL, "probability"])
+    kind = scored.schema[LABEL].dataType.simpleString()
+    return scored.select(LABEL, vector_to_array("leaves").alias("leaves")).mapInArrow(run, f"{LABEL} {kind}, probability double")
+
+
 def out_of_fold_counts(train: DataFrame, candidates: list[dict], *, folds: int = 3, seed: int = 42,
                        parallelism: int = 1, key: str | None = None, keep=lambda df, name: df) -> DataFrame:
     """(candidate, fold, score, positives, negatives): every row scored by the
     forests that did not see its fold, as counts per distinct score. Features are
-    indexed and assembled once. ``keep`` gets each part of the table and a name for
+    indexed and assembled once. Candidates that differ in depth alone share one
+    forest, grown to the greatest and cut for the others: with the same seed MLlib
+    grows the same upper levels. ``keep`` gets each part of the table and a name for
     it, to write it where a lost executor should not fit its forest again."""
     features = Pipeline(stages=feature_stages()).fit(train)
     ready = keep(features.transform(folded(train, folds, seed, key)).select("features", LABEL, "fold"), "features")
+    shared: dict[tuple, dict[int, int]] = {}
+    for number, how in enumerate(candidates):
+        same = tuple(sorted((k, v) for k, v in how.items() if k != "max_depth"))
+        shared.setdefault(same, {})[number] = how.get("max_depth", 5)
 
     def part(job):
-        (number, how), fold = job
-        rf = forest_pipeline(seed=seed, **how).getStages()[-1]
-        scored = rf.fit(ready.where(F.col("fold") != fold)).transform(ready.where(F.col("fold") == fold))
-        counts = score_counts(scored).select(F.lit(number).alias("candidate"), F.lit(fold).alias("fold"),
-                                             "score", "positives", "negatives")
-        return keep(counts, f"scores-{number}-{fold}")
-
+        (how, depths), fold = job
+        deepest = max(depths.values())
+        rf = forest_pipeline(seed=seed, max_depth=deepest, **dict(how)).getStages()[-1]
+        cut = min(depths.values()) < deepest
+        model = (rf.setLeafCol("leaves") if cut else rf).fit(ready.where(F.col("fold") != fold))
+        scored, nodes, out = model.transform(ready.where(F.col("fold") == fold)), forest_nodes(model) if cut else None, {}
+        for number, depth in depths.items():
+            counts = (score_counts(scored) if depth == deepest
+                      else score_counts(cut_forest_scores(scored, nodes, depth), score=F.col("probability")))
+            counts = counts.select(F.lit(number).alias("candidate"), F.lit(fold).alias("fold"),
+                                   "score", "positives", "negatives")
+            out[number, fold] = keep(counts, f"scores-{number}-{fold}")
+        return out
+
+    # the forests with most trees first, so that none is left over at the end
+    jobs = sorted(product(shared.items(), range(folds)), key=lambda job: -dict(job[0][0]).get("num_trees", 0))
     with ThreadPool(parallelism) as pool:
-        parts = pool.map(part, product(enumerate(candidates), range(folds)), chunksize=1)
-    out = parts[0]
-    for p in parts[1:]:
+        parts = {k: v for made in pool.map(part, jobs, chunksize=1) for k, v in made.items()}
+    out, *others = (parts[k] for k in sorted(parts))
+    for p in others:
         out = out.unionByName(p)
     return out
 
@@ -267,7 +355,7 @@ def score(model: PipelineModel, sessions: DataFrame, ordered: bool = True) -> Da
     return out.orderBy(F.desc("purchase_probability"), row_key(sessions)) if ordered else out
 
 
-def save(model: PipelineModel, path: str) -> None:
+def save(model, path: str) -> None:
     model.write().overwrite().save(path)
 
 
