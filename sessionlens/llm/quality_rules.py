@@ -7,10 +7,12 @@ forest: random splits of small samples isolate unusual statistics after few
 steps, so short mean path lengths mean anomalous documents. The trees split on how
 far the length in words, the mean word length and the shares of symbols, repeated
 lines and repeated words lie beyond what labelled good documents show: their
-quantile of ``1 - MAX_LOSS``. The forest grows on a bounded sample (``MAX_SAMPLE``
-documents by a hash of the id, and as many good ones for the quantiles); the
-threshold on its score is calibrated on all labelled rows that pass the base
-rules: the best balance of caught low-quality rows and spared good ones with
+quantile of ``1 - MAX_LOSS``. The usual lengths, these quantiles and the
+threshold on the score are exact over all rows: nothing of them is sampled. Each tree
+grows on ``SUBSAMPLE`` rows, as the method has it, drawn from about ``MAX_SAMPLE``
+rows by a hash of the id (grown on all rows, a forest ranks labelled low-quality
+rows worse than a single rate does). The threshold is calibrated on all labelled rows
+that pass the base rules: the best balance of caught low-quality rows and spared good ones with
 at most ``MAX_LOSS`` of the good ones lost.
 
 Cases: a null or empty text has no words and fails; a very long one is judged by
@@ -23,6 +25,7 @@ judged and has no label. Empty tables give no rows; extra columns are ignored.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sessionlens.functions.quantiles import quantiles
+
 from .common import Scratch, map_arrow, per_text
 
 MIN_WORDS = 10
@@ -174,16 +179,21 @@ def grow(x: np.ndarray, *, trees: int = TREES, subsample: int = SUBSAMPLE, seed:
     return out
 
 
+def tuned(sample: np.ndarray, usual: np.ndarray, tolerance: np.ndarray) -> Forest:
+    """Forest over what rows of the statistics have beyond the tolerances."""
+    forest = grow(np.maximum(0, deviations(rates(*sample.T), usual) - tolerance))
+    forest.usual, forest.tolerance = usual, tolerance
+    return forest
+
+
 def fit(sample: np.ndarray, good: np.ndarray, max_loss: float = MAX_LOSS) -> Forest:
-    """Forest over rows of the statistics; ``good``: rows whose variety is no fault
-    (all of the sample where there are none)."""
+    """Forest over rows of the statistics in memory; ``good``: rows whose variety is no
+    fault (all of the sample where there are none). ``fit_table`` is for tables."""
     rate = rates(*sample.T)
     usual = np.median(rate[:, :2], axis=0) if len(rate) else np.zeros(2)
     known = deviations(rates(*(good if len(good) else sample).T), usual)
     tolerance = np.quantile(known, 1 - max_loss, axis=0) if len(known) else np.zeros(5)
-    forest = grow(np.maximum(0, deviations(rate, usual) - tolerance))
-    forest.usual, forest.tolerance = usual, tolerance
-    return forest
+    return tuned(sample, usual, tolerance)
 
 
 def base_failed():
@@ -231,14 +241,48 @@ def _rows(measured: DataFrame, max_sample: int) -> np.ndarray:
     return np.array([[r[c] for c in names] for r in rows], float).reshape(-1, len(names))
 
 
+RATES = [f"rate{i}" for i in range(5)]
+
+
+def per_rates(measured: DataFrame, made: Callable = lambda rate: rate) -> DataFrame:
+    """``made(rates)`` of measured rows, as columns ``RATES``."""
+    def run(batches):
+        for batch in batches:
+            rate = made(rates(*(c.to_numpy() for c in batch.columns)))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in rate.T.copy()], names=RATES)
+    return map_arrow(measured.select(*STATISTICS, "n_lines"), run, ", ".join(f"{c} double" for c in RATES))
+
+
+def exact_cuts(rows: DataFrame, columns: list[str], p: float) -> np.ndarray | None:
+    """The ``p`` quantile of each column over all rows, None without rows."""
+    found = quantiles(rows, columns, [p], exact=True).first()
+    return None if found is None or found[0] is None else np.array([v[0] for v in found])
+
+
+def tolerances(measured: DataFrame, good: DataFrame, max_loss: float = MAX_LOSS) -> tuple[np.ndarray, np.ndarray]:
+    """Median lengths of all rows, and the quantile of each deviation over all good rows
+    (all rows where there are none)."""
+    usual = exact_cuts(per_rates(measured), RATES[:2], 0.5)
+    if usual is None:
+        return np.zeros(2), np.zeros(5)
+    far = lambda rows: exact_cuts(per_rates(rows, lambda rate: deviations(rate, usual)), RATES, 1 - max_loss)
+    tolerance = far(good)
+    return usual, far(measured) if tolerance is None else tolerance
+
+
+def fit_table(measured: DataFrame, good: DataFrame, max_sample: int = MAX_SAMPLE) -> Forest:
+    return tuned(_rows(measured, max_sample), *tolerances(measured, good))
+
+
 def judge(docs: DataFrame, labels: DataFrame, *, max_sample: int = MAX_SAMPLE) -> DataFrame:
     """Per document: doc_id, the statistics, base_failed, kept, anomaly."""
     scratch = Scratch(docs.sparkSession, "quality")
     measured = scratch.write(measure(docs.select("doc_id", "text")), "measured")
     known = (labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
              .groupBy("doc_id").agg(F.min("quality").alias("quality")))
-    good = measured.where(~base_failed()).join(known.where("quality > 0").select("doc_id"), "doc_id")
-    forest = fit(_rows(measured, max_sample), _rows(good, max_sample))
+    good = scratch.write(measured.where(~base_failed()).join(known.where("quality > 0").select("doc_id"), "doc_id"), "good")
+    forest = fit_table(measured, good, max_sample)
+    scratch.drop("good")
     judged = scratch.write(scored(measured, forest), "scored")
     scratch.drop("measured")
     step = F.floor(F.col("anomaly") * STEPS).cast("int")

@@ -97,3 +97,19 @@ def test_forest_beats_every_single_rate_on_held_out_rows(spark):
     cut = np.sort(score[~low[held]])[::-1][int(R.MAX_LOSS * (~low[held]).sum())]
     caught, lost = (score[low[held]] > cut).mean(), (score[~low[held]] > cut).mean()
     assert caught > 0.95 and lost <= R.MAX_LOSS
+
+
+def test_lengths_and_tolerances_come_from_all_rows(spark):
+    """Over more rows than are drawn for the trees, against quantiles of them all."""
+    rng = np.random.default_rng(3)
+    x = np.c_[rng.integers(20, 4000, 45_001), rng.integers(100, 30_000, 45_001), rng.integers(0, 50, 45_001),
+              rng.integers(0, 9, 45_001), rng.integers(0, 300, 45_001), rng.integers(9, 20, 45_001)]
+    rows = spark.createDataFrame([(i, *r) for i, r in enumerate(x.tolist())], ["doc_id", *R.STATISTICS, "n_lines"])
+    forest = R.fit_table(rows.repartition(5), rows.where("doc_id % 2 = 0"), 500)
+    rate = R.rates(*x.astype(float).T)
+    usual = np.quantile(rate[:, :2], 0.5, axis=0, method="inverted_cdf")
+    assert np.allclose(forest.usual, usual, rtol=1e-12)
+    known = R.deviations(rate[::2], usual)
+    assert np.allclose(forest.tolerance, np.quantile(known, 1 - R.MAX_LOSS, axis=0, method="inverted_cdf"), rtol=1e-12)
+    none = R.tolerances(rows.limit(0), rows.limit(0))
+    assert not none[0].any() and not none[1].any()
