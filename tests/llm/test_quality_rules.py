@@ -107,9 +107,12 @@ def test_lengths_and_tolerances_come_from_all_rows(spark):
     rows = spark.createDataFrame([(i, *r) for i, r in enumerate(x.tolist())], ["doc_id", *R.STATISTICS, "n_lines"])
     forest = R.fit_table(rows.repartition(5), rows.where("doc_id % 2 = 0"), 500)
     rate = R.rates(*x.astype(float).T)
-    usual = np.quantile(rate[:, :2], 0.5, axis=0, method="inverted_cdf")
+    usual = np.quantile(rate[:, :2], 0.5, axis=0)
     assert np.allclose(forest.usual, usual, rtol=1e-12)
     known = R.deviations(rate[::2], usual)
-    assert np.allclose(forest.tolerance, np.quantile(known, 1 - R.MAX_LOSS, axis=0, method="inverted_cdf"), rtol=1e-12)
+    assert np.allclose(forest.tolerance, np.quantile(known, 1 - R.MAX_LOSS, axis=0), rtol=1e-12)
+    few = R.fit_table(rows.where("doc_id < 800"), rows.where("doc_id < 300"))
+    same = R.fit(x[:800].astype(float), x[:300].astype(float))
+    assert (few.usual == same.usual).all() and (few.tolerance == same.tolerance).all()
     none = R.tolerances(rows.limit(0), rows.limit(0))
     assert not none[0].any() and not none[1].any()
