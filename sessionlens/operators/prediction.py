@@ -7,13 +7,16 @@ statistics for forests); the driver only holds model parameters. The features
 take few values, so the logistic model is fitted on counts of equal rows: one
 pass over the sessions, then iterations over at most as many rows as there are
 combinations of values. The grid search grows one forest for all depths of a
-candidate: a tree grown to depth 5 is the upper part of the one grown to 15.
+candidate: a tree grown to depth 5 is the upper part of the one grown to 15. It
+grows them from the rows, as each row is drawn by itself, and scores equal rows once.
 """
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from itertools import product
 from multiprocessing.pool import ThreadPool
+from threading import Condition
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +37,7 @@ LABEL = "label"
 
 
 KEY = "session_id"
+WALKED_DEPTH = 5  # to this depth walking down is as fast as reading kept nodes
 
 
 def row_key(df: DataFrame, key: str | None = None) -> Column:
@@ -85,8 +89,10 @@ def logistic_pipeline(max_iter: int = 10, reg: float = 0.01, elastic_net: float
 
 def forest_pipeline(seed: int = 42, num_trees: int = 20, max_depth: int = 5,
                     impurity: str = "gini") -> Pipeline:
-    rf = RandomForestClassifier(labelCol=LABEL, featuresCol="features", seed=seed,
-                                numTrees=num_trees, maxDepth=max_depth, impurity=impurity)
+    """Below ``WALKED_DEPTH`` MLlib keeps the node of every row and tree. Else each level
+    would walk all rows down from the root again; the trees are the same."""
+    rf = RandomForestClassifier(labelCol=LABEL, featuresCol="features", seed=seed, numTrees=num_trees,
+                                maxDepth=max_depth, impurity=impurity, cacheNodeIds=max_depth > WALKED_DEPTH)
     return Pipeline(stages=feature_stages() + [rf])
 
 
@@ -94,9 +100,9 @@ def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
     return pipeline.fit(train)
 
 
-def row_counts(train: DataFrame) -> DataFrame:
-    """Equal training rows as one, with their number ``n``."""
-    return train.groupBy(*NUMERIC_FEATURES, *CATEGORICAL_FEATURES, LABEL).agg(F.count(F.lit(1)).alias("n"))
+def row_counts(train: DataFrame, *by: str) -> DataFrame:
+    """Equal training rows (of one ``by``) as one, with their number ``n``."""
+    return train.groupBy(*by, *NUMERIC_FEATURES, *CATEGORICAL_FEATURES, LABEL).agg(F.count(F.lit(1)).alias("n"))
 
 
 def fit_logistic(train: DataFrame, *, max_iter: int = 500, reg: float = 0.01, elastic_net: float = 0.8,
@@ -117,13 +123,16 @@ def fit_logistic(train: DataFrame, *, max_iter: int = 500, reg: float = 0.01, el
 SCORE_BINS = 4096
 
 
-def score_counts(scored: DataFrame, by: tuple[str, ...] = (), score: str | Column = "probability") -> DataFrame:
+def score_counts(scored: DataFrame, by: tuple[str, ...] = (), score: str | Column = "probability",
+                 n: str | None = None) -> DataFrame:
     """(by, score, positives, negatives): rows per distinct probability of label 1,
-    from a vector of probabilities (its name) or a column."""
-    positive = F.col(LABEL) > 0
+    from a vector of probabilities (its name) or a column. ``n``: the column that says
+    how many rows a row stands for."""
+    positive, rows = F.col(LABEL) > 0, F.col(n) if n else F.lit(1)
     value = vector_to_array(score)[1] if isinstance(score, str) else score
     return scored.groupBy(*by, value.alias("score")).agg(
-        F.count_if(positive).alias("positives"), F.count_if(~positive).alias("negatives"))
+        *[F.coalesce(F.sum(F.when(said, rows)).cast("long"), F.lit(0).cast("long")).alias(name)
+          for said, name in ((positive, "positives"), (~positive, "negatives"))])
 
 
 def roc_areas(counts: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
@@ -259,8 +268,8 @@ def forest_nodes(model: RandomForestClassificationModel) -> tuple[np.ndarray, ..
 
 
 def cut_forest_scores(scored: DataFrame, nodes: tuple[np.ndarray, ...], depth: int) -> DataFrame:
-    """(label, probability) of rows with their ``leaves`` in a forest, when its trees
-    are cut at ``depth``."""
+    """(label, n, probability) of counted rows with their ``leaves`` in a forest, when
+    its trees are cut at ``depth``."""
     tree, left, _, _ = nodes
     shares, first = cut_leaves(*nodes, depth), np.r_[0, np.cumsum(np.bincount(tree[left < 0]))]
     sent = scored.sparkSession.sparkContext.broadcast((shares, first))
@@ -268,14 +277,51 @@ def cut_forest_scores(scored: DataFrame, nodes: tuple[np.ndarray, ...], depth: i
     def run(batches):
         shares, first = sent.value
         for batch in batches:
-            leaves = batch.column(1).flatten().to_numpy().astype(np.int64).reshape(-1, len(first) - 1)
+            leaves = batch.column(2).flatten().to_numpy().astype(np.int64).reshape(-1, len(first) - 1)
             votes = np.zeros((len(leaves), shares.shape[1]))
             for t in range(leaves.shape[1]):
                 votes += shares[leaves[:, t] + first[t]]
             votes /= votes.sum(axis=1, keepdims=True)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(votes[:, 1])], names=[LABEL, "probability"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(votes[:, 1])],
+                                             names=[LABEL, "n", "probability"])
     kind = scored.schema[LABEL].dataType.simpleString()
-    return scored.select(LABEL, vector_to_array("leaves").alias("leaves")).mapInArrow(run, f"{LABEL} {kind}, probability double")
+    return scored.select(LABEL, "n", vector_to_array("leaves").alias("leaves")).mapInArrow(
+        run, f"{LABEL} {kind}, n long, probability double")
+
+
+def forest_bytes(rows: int, num_trees: int) -> int:
+    """About what MLlib holds while a forest is fitted: binned rows, and a draw and the
+    node before and after a level for each row and tree."""
+    return rows * (250 + 12 * num_trees)
+
+
+def storage_bytes(spark: SparkSession) -> int:
+    """Memory for held rows on all executors. One of several block managers is the driver's."""
+    kept, each = spark.sparkContext._jsc.sc().getExecutorMemoryStatus().valuesIterator(), []
+    while kept.hasNext():
+        each.append(kept.next()._1())
+    return sum(each) * (len(each) - 1 or 1) // len(each)
+
+
+class Room:
+    """Lets jobs in while what they hold together is within ``size``, or one alone."""
+
+    def __init__(self, size: int):
+        self.size = self.left = size
+        self.change = Condition()
+
+    @contextmanager
+    def take(self, n: int):
+        n = min(n, self.size)
+        with self.change:
+            self.change.wait_for(lambda: n <= self.left)
+            self.left -= n
+        try:
+            yield
+        finally:
+            with self.change:
+                self.left += n
+                self.change.notify_all()
 
 
 def out_of_fold_counts(train: DataFrame, candidates: list[dict], *, folds: int = 3, seed: int = 42,
@@ -284,10 +330,20 @@ def out_of_fold_counts(train: DataFrame, candidates: list[dict], *, folds: int =
     forests that did not see its fold, as counts per distinct score. Features are
     indexed and assembled once. Candidates that differ in depth alone share one
     forest, grown to the greatest and cut for the others: with the same seed MLlib
-    grows the same upper levels. ``keep`` gets each part of the table and a name for
-    it, to write it where a lost executor should not fit its forest again."""
-    features = Pipeline(stages=feature_stages()).fit(train)
-    ready = keep(features.transform(folded(train, folds, seed, key)).select("features", LABEL, "fold"), "features")
+    grows the same upper levels. Equal rows of a fold are scored once. ``keep`` gets each
+    part of the table and a name for it, to write it where a lost executor should not
+    fit its forest again.
+
+    Of the ``parallelism`` forests only as many are fitted at once as four fifths of the
+    memory for held rows take (``forest_bytes``), one at least: large ones keep the
+    cluster busy alone, and several would push each other's rows to disk."""
+    features, dealt = Pipeline(stages=feature_stages()).fit(train), folded(train, folds, seed, key)
+    ready = keep(features.transform(dealt).select("features", LABEL, "fold"), "features")
+    # in as many parts as the rows: each part reads the whole forest
+    equal = (features.transform(row_counts(dealt, "fold")).select("features", LABEL, "fold", "n")
+             .coalesce(max(1, ready.rdd.getNumPartitions())).persist())
+    sizes = {r["fold"]: r["rows"] for r in equal.groupBy("fold").agg(F.sum("n").alias("rows")).collect()}
+    room = Room(storage_bytes(train.sparkSession) * 4 // 5)
     shared: dict[tuple, dict[int, int]] = {}
     for number, how in enumerate(candidates):
         same = tuple(sorted((k, v) for k, v in how.items() if k != "max_depth"))
@@ -298,11 +354,13 @@ def out_of_fold_counts(train: DataFrame, candidates: list[dict], *, folds: int =
         deepest = max(depths.values())
         rf = forest_pipeline(seed=seed, max_depth=deepest, **dict(how)).getStages()[-1]
         cut = min(depths.values()) < deepest
-        model = (rf.setLeafCol("leaves") if cut else rf).fit(ready.where(F.col("fold") != fold))
-        scored, nodes, out = model.transform(ready.where(F.col("fold") == fold)), forest_nodes(model) if cut else None, {}
+        others = sum(rows for of, rows in sizes.items() if of != fold)
+        with room.take(forest_bytes(others, rf.getNumTrees())):
+            model = (rf.setLeafCol("leaves") if cut else rf).fit(ready.where(F.col("fold") != fold))
+        scored, nodes, out = model.transform(equal.where(F.col("fold") == fold)), forest_nodes(model) if cut else None, {}
         for number, depth in depths.items():
-            counts = (score_counts(scored) if depth == deepest
-                      else score_counts(cut_forest_scores(scored, nodes, depth), score=F.col("probability")))
+            counts = (score_counts(scored, n="n") if depth == deepest
+                      else score_counts(cut_forest_scores(scored, nodes, depth), score=F.col("probability"), n="n"))
             counts = counts.select(F.lit(number).alias("candidate"), F.lit(fold).alias("fold"),
                                    "score", "positives", "negatives")
             out[number, fold] = keep(counts, f"scores-{number}-{fold}")
@@ -310,8 +368,11 @@ def out_of_fold_counts(train: DataFrame, candidates: list[dict], *, folds: int =
 
     # the forests with most trees first, so that none is left over at the end
     jobs = sorted(product(shared.items(), range(folds)), key=lambda job: -dict(job[0][0]).get("num_trees", 0))
-    with ThreadPool(parallelism) as pool:
-        parts = {k: v for made in pool.map(part, jobs, chunksize=1) for k, v in made.items()}
+    try:
+        with ThreadPool(parallelism) as pool:
+            parts = {k: v for made in pool.map(part, jobs, chunksize=1) for k, v in made.items()}
+    finally:
+        equal.unpersist()
     out, *others = (parts[k] for k in sorted(parts))
     for p in others:
         out = out.unionByName(p)
